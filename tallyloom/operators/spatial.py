@@ -146,3 +146,42 @@ def dense_tiles(tiles: DataFrame, key: str) -> DataFrame:
     return grid.join(have, [key, "row", "column"], "left").withColumn("filled", F.coalesce("filled", F.lit(False)))
 
 
+
+
+def thinned(cells: DataFrame, most: int, distance: float, x0: float, y0: float, seed: int = 0, least: int = 25, by: str = "slide_id") -> DataFrame:
+    """At most about ``most`` cells of a region: all if they are no more; else a stratified draw of three times as many, one for each class and bin of
+    ``distance`` pixels, and a second stratified draw if that is still too many. Rare classes lose least. Runs jobs for counts."""
+    from . import sampling
+
+    if cells.count() <= most:
+        return cells
+    drawn = sampling.stratified_sample(cells, "cell_id", "class_id", 3 * most, seed, least)
+    if distance > 0 and drawn.count() > most:
+        moved = drawn.withColumn("_dx", F.floor((F.col("x") - x0) / distance)).withColumn("_dy", F.floor((F.col("y") - y0) / distance))
+        first = F.row_number().over(W.partitionBy(by, "class_id", "_dx", "_dy").orderBy(F.md5(F.concat_ws("|", "cell_id", F.lit(str(seed)))), "cell_id"))
+        drawn = moved.withColumn("_n", first).where("_n = 1").drop("_n", "_dx", "_dy")
+    return sampling.stratified_sample(drawn, "cell_id", "class_id", most, seed + 13, least)
+
+
+def patch_selection(candidates: DataFrame, percent: float, seed: int, grid: int | None = None, most: int = 0, by: str = "slide_id") -> DataFrame:
+    """Patches drawn of candidates (by, x0, y0): percent of them (grid * grid with a grid), at most ``most`` (0: any number), placed in a mosaic row by row.
+
+    patch_id counts the draws from 1; mosaic_row and mosaic_column follow from it and the mosaic's columns, ceil(sqrt(n)) without a grid.
+    """
+    from ..functions.hashing import rank_hash
+    from .ranking import hash_ranked
+    from .sampling import kept_of, mosaic_place
+
+    ranked = hash_ranked(candidates, rank_hash(F.col(by), F.col("x0"), F.col("y0"), seed=seed), "x0", "y0", by=(by,), name="patch_id")
+    sizes = candidates.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    n = F.least(F.col("_n"), F.lit(grid * grid)) if grid else kept_of(F.col("_n"), percent)
+    n = F.least(n, F.lit(most)) if most and not grid else n
+    sizes = sizes.select(by, n.alias("_k"), (F.lit(grid) if grid else F.ceil(F.sqrt(n))).cast("bigint").alias("_columns"))
+    kept = ranked.join(F.broadcast(sizes), by).where("patch_id <= _k")
+    return kept.withColumns(mosaic_place(F.col("patch_id"), F.col("_columns"))).drop("_k", "_columns")
+
+
+def slide_size(header: tuple[str, str], summary: tuple[str, str], cells: DataFrame, slides: DataFrame, by: str = "slide_id") -> DataFrame:
+    """(by, width, height) from a slide's header columns, else its summary's, else its cells' greatest coordinates and 1000 more, rounded up."""
+    reach = cells.groupBy(by).agg(F.ceil(F.max("x") + 1000).alias("_x"), F.ceil(F.max("y") + 1000).alias("_y"))
+    return slides.join(reach, by, "left").select(by, F.coalesce(header[0], summary[0], "_x").cast("bigint").alias("width"), F.coalesce(header[1], summary[1], "_y").cast("bigint").alias("height"))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions import geometry as geo
 from ..functions import hashing as hs
 from ..functions import text as tx
-from ..operators import cohort, integrity, linkage, sampling, spatial, stats, validate
+from ..operators import cohort, integrity, linkage, matrices, sampling, spatial, stats, validate
 from ..operators import features as ft
 from ..operators import ml as mlx
 from . import views as v
@@ -619,6 +619,87 @@ def cross_join_plan(spark, sf_dir):
     return p.crossJoin(F.broadcast(levels)).withColumn("path", F.concat(F.lit("slides/"), F.col("source").cast("string"), F.lit("_L"), F.col("level").cast("string"), F.lit("_rgb.tif")))
 
 
+# ---- matrices and rosters
+
+
+@query(f"WITH {v.LONG}, f AS (SELECT sample_id, class_id, n / sum(n) OVER (PARTITION BY sample_id) + CASE WHEN class_id = 3 AND sample_id = 'sample_2' THEN 0.01 ELSE 0 END AS fraction FROM long QUALIFY NOT (class_id = 5 AND sample_id = 'sample_1')), c AS (SELECT sample_id, class_id, n / sum(n) OVER (PARTITION BY sample_id) AS share FROM long) SELECT coalesce(c.sample_id, f.sample_id) AS sample_id, coalesce(c.class_id, f.class_id) AS class_id, CASE WHEN share IS NULL THEN 'missing_count' WHEN fraction IS NULL THEN 'missing_fraction' WHEN NOT abs(fraction - share) <= 1e-8 + 1e-7 * abs(share) THEN 'fraction_differs' END AS problem FROM c FULL JOIN f ON c.sample_id = f.sample_id AND c.class_id = f.class_id WHERE problem IS NOT NULL")
+def matrix_mismatches(spark, sf_dir):
+    long = _long(spark, sf_dir)
+    shares = cohort.fractions(long).withColumn("fraction", F.col("fraction") + F.when((F.col("class_id") == 3) & (F.col("sample_id") == "sample_2"), 0.01).otherwise(0.0))
+    return matrices.mismatches(long, shares.where("not (class_id = 5 and sample_id = 'sample_1')"))
+
+
+_colors = "[" + ", ".join(f"'{c}'" for c in tx.CLASS_COLORS) + "]"
+
+
+@query(f"WITH {v.CELLS} SELECT class_id, class_name, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 9) AS share, ({_colors})[class_id + 1] AS color FROM cells GROUP BY 1, 2")
+def detected_celltypes(spark, sf_dir):
+    return matrices.detected(cohort.class_counts(v.cells(spark, sf_dir))).withColumn("share", F.round("share", 9))
+
+
+@query("SELECT s_name AS name, printf('case_%05d', row_number() OVER (ORDER BY lower(s_name), s_suppkey)) AS alias FROM supplier")
+def alias_numbering(spark, sf_dir):
+    return matrices.numbered(v.read(spark, sf_dir, "supplier"), [F.lower("s_name"), F.col("s_suppkey")], "case_%05d").select(F.col("s_name").alias("name"), "alias")
+
+
+@query("SELECT p_partkey AS id, p_name || CASE WHEN r > 1 THEN '__' || r ELSE '' END AS unique_name FROM (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS r FROM part)")
+def unique_names(spark, sf_dir):
+    return matrices.occurrence_names(v.read(spark, sf_dir, "part"), "p_name", "p_partkey").select(F.col("p_partkey").alias("id"), "unique_name")
+
+
+@query("SELECT p_brand AS file, p_partkey AS level, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice * 1000 + p_partkey DESC) - 1 AS INTEGER) AS \"index\" FROM part")
+def level_index(spark, sf_dir):
+    p = v.read(spark, sf_dir, "part").select(F.col("p_brand").alias("file"), F.col("p_partkey").alias("level"), (F.col("p_retailprice") * 1000 + F.col("p_partkey")).alias("scale"))
+    return matrices.level_index(p).select("file", "level", "index")
+
+
+@query(f"WITH {v.CLINICAL}, g AS (SELECT DISTINCT source, min(outcome) OVER (PARTITION BY source) AS y FROM clinical WHERE outcome IS NOT NULL), f AS (SELECT source, CAST((row_number() OVER (PARTITION BY y ORDER BY md5(source || '|0|2'), source) - 1) % 4 AS INTEGER) AS fold FROM g) SELECT doc_id, source, fold FROM clinical JOIN f USING (source) WHERE outcome IS NOT NULL")
+def grouped_folds(spark, sf_dir):
+    rows = v.clinical(spark, sf_dir).where("outcome is not null").select("doc_id", "source", "outcome")
+    return sampling.grouped_folds(rows, "source", "outcome", 4, 2).select("doc_id", "source", "fold")
+
+
+@query(f"WITH {v.CLINICAL} SELECT source, min(outcome) AS outcome, min(outcome) <> max(outcome) AS mixed FROM clinical GROUP BY 1")
+def group_outcomes(spark, sf_dir):
+    return matrices.group_outcomes(v.clinical(spark, sf_dir), "source", "outcome")
+
+
+_CANDIDATES = """candidates AS (SELECT 'slide_' || n_nationkey AS slide_id, x.x * 1000 AS x0, y.y * 800 AS y0 FROM nation, range(0, 12) x(x), range(0, 9) y(y))"""
+
+
+@query(f"WITH {_CANDIDATES}, r AS (SELECT *, row_number() OVER (PARTITION BY slide_id ORDER BY md5(concat_ws('|', slide_id, x0, y0, 6)), x0, y0) AS patch_id FROM candidates) SELECT slide_id, x0, y0, patch_id, (patch_id - 1) // 5 AS mosaic_row, (patch_id - 1) % 5 AS mosaic_column FROM r WHERE patch_id <= 22")
+def patch_selection(spark, sf_dir):
+    slides = v.read(spark, sf_dir, "nation").select(F.concat(F.lit("slide_"), F.col("n_nationkey").cast("string")).alias("slide_id"), F.lit(12).alias("nx"), F.lit(9).alias("ny"))
+    grid = slides.withColumn("x0", F.explode(F.expr("transform(sequence(0, nx - 1), i -> i * 1000L)"))).withColumn("y0", F.explode(F.expr("transform(sequence(0, ny - 1), i -> i * 800L)")))
+    return spatial.patch_selection(grid.select("slide_id", "x0", "y0"), 20.0, 6)
+
+
+@query("SELECT p_partkey AS id, CASE WHEN raw SIMILAR TO '[0-9]+_[0-9]+' THEN CAST(split_part(raw, '_', 1) AS INTEGER) END AS tile_row, CASE WHEN raw SIMILAR TO '[0-9]+_[0-9]+' THEN CAST(split_part(raw, '_', 2) AS INTEGER) END AS tile_column FROM (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_size || '_' || p_partkey WHEN 1 THEN p_size || '_' WHEN 2 THEN p_size || '_1_2' ELSE '-1_' || p_size END AS raw FROM part)")
+def tile_names(spark, sf_dir):
+    k, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    raw = F.when(k % 4 == 0, F.concat_ws("_", size, k.cast("string"))).when(k % 4 == 1, F.concat(size, F.lit("_"))).when(k % 4 == 2, F.concat(size, F.lit("_1_2"))).otherwise(F.concat(F.lit("-1_"), size))
+    at = tx.tile_position(raw)
+    return v.read(spark, sf_dir, "part").select(k.alias("id"), at["row"].alias("tile_row"), at["column"].alias("tile_column"))
+
+
+@query("WITH l AS (SELECT unnest([10.0, 20, 25, 50, 100, 200, 250, 500, 1000, 2000, 5000]) AS p) SELECT p_partkey AS id, arg_min(p, abs(p - p_size * 40 * 0.5 * 0.2) * 1000000 + p)::DOUBLE AS bar FROM part, l GROUP BY 1")
+def scale_bars(spark, sf_dir):
+    return v.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), matrices.scale_bar(F.col("p_size") * 40, F.lit(0.5)).alias("bar"))
+
+
+@query(f"WITH {v.CELLS}, s AS (SELECT 'slide_' || n_nationkey AS slide_id, CASE WHEN n_nationkey % 3 = 0 THEN 5000 END AS hw, CASE WHEN n_nationkey % 3 = 1 THEN 6000 END AS sw FROM nation), r AS (SELECT slide_id, ceil(max(x) + 1000) AS x, ceil(max(y) + 1000) AS y FROM cells GROUP BY 1) SELECT slide_id, CAST(coalesce(hw, sw, x) AS BIGINT) AS width, CAST(coalesce(hw, sw, y) AS BIGINT) AS height FROM s LEFT JOIN r USING (slide_id)")
+def slide_dimensions(spark, sf_dir):
+    k = F.col("n_nationkey")
+    slides = v.read(spark, sf_dir, "nation").select(F.concat(F.lit("slide_"), k.cast("string")).alias("slide_id"), F.when(k % 3 == 0, 5000).alias("hw"), F.when(k % 3 == 1, 6000).alias("sw"))
+    return spatial.slide_size(("hw", "hw"), ("sw", "sw"), v.cells(spark, sf_dir), slides)
+
+
+@query("SELECT event_type AS cell_type, round(sum(value), 4) AS n, round(sum(value) * 100 / sum(sum(value)) OVER (), 6) AS percent FROM events WHERE value > 0 GROUP BY 1")
+def inferred_counts(spark, sf_dir):
+    e = v.read(spark, sf_dir, "events").select(F.concat(F.lit(" "), "event_type").alias("name"), F.col("value").cast("string").alias("count"))
+    return matrices.inferred_counts(e, "name", "count").select("cell_type", F.round("n", 4).alias("n"), F.round("percent", 6).alias("percent"))
+
+
 # ---- models
 
 
