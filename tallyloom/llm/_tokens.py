@@ -14,8 +14,8 @@ DIGIT = "0-9²³¹¼½¾"
 SPLIT = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{LETTER}]+| ?[{DIGIT}]+| ?[^\t\n\r {LETTER}{DIGIT}]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+")
 #: Characters on which Unicode versions or definitions of white space could differ: such texts go to the library whole.
 FOREIGN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-\xff]")
-#: Distinct pieces that a worker remembers; about 200 bytes each.
-REMEMBERED = 500_000
+#: Distinct pieces that a worker remembers; about 170 bytes each.
+REMEMBERED = 1_500_000
 
 
 class Numbers(dict):
@@ -77,6 +77,17 @@ class Encoder:
         self.remembered = remembered
         self.dtype = np.dtype("<u2") if self.library.get_vocab_size() < 1 << 16 else np.dtype("<u4")
         self.pieces = Pieces(self.dtype)
+        self.newline = self.whole("\n")
+
+    def learn(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces one after another, and how many each has."""
+        if len(self.newline) != 1 or any(map(str.isspace, new)):
+            encoding = self.library.encode(new, is_pretokenized=True, add_special_tokens=False)
+            return np.array(encoding.ids, dtype=self.dtype), np.bincount(np.array(encoding.word_ids, dtype=np.int64), minlength=len(new))
+        # as lines of one text, which is faster: a line feed between two pieces is always a piece of its own
+        ids = np.array(self.library.encode_batch_fast(["\n".join(new)], add_special_tokens=False)[0].ids, dtype=self.dtype)
+        ends = np.flatnonzero(ids == self.newline[0])
+        return ids[ids != self.newline[0]], np.diff(np.concatenate([[-1], ends, [len(ids)]])) - 1
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
@@ -91,8 +102,7 @@ class Encoder:
         number = self.pieces.number
         at = np.fromiter(map(number.__getitem__, itertools.chain.from_iterable(split)), dtype=np.int64, count=int(counts.sum()))
         if number.new:
-            encoding = self.library.encode(number.new, is_pretokenized=True, add_special_tokens=False)
-            self.pieces.add(np.array(encoding.ids, dtype=self.dtype), np.bincount(np.array(encoding.word_ids, dtype=np.int64), minlength=len(number.new)))
+            self.pieces.add(*self.learn(number.new))
         ids, offsets = self.pieces.gather(at, counts)
         other = [i for i, t in enumerate(texts) if t and not plain[i]]
         if other:
