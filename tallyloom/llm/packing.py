@@ -26,24 +26,20 @@ PIECES = "doc_id bigint, piece int, start bigint, length int, part int, nth bigi
 def fullest(counts: dict[int, int], room: int) -> list[tuple[int, int]]:
     """(length, copies) of the fullest combination of the lengths in counts that fits in room.
 
-    Lengths enter the bitset of reachable sums from the longest to the shortest, and a sum is traced back to the first set of lengths that
-    reaches it, so long pieces go first where several combinations are as full.
+    Lengths enter the bitset of reachable sums from the shortest to the longest, and the sum is traced back from the longest: of combinations
+    as full as each other the one with the longest pieces is taken, so that short ones, which fit anywhere, are left for later bins.
     """
     mask, reach, steps = (1 << (room + 1)) - 1, 1, []
-    for length in sorted((x for x in counts if x <= room), reverse=True):
+    for length in sorted(x for x in counts if x <= room):
         copies, block = min(counts[length], room // length), 1
         while copies > 0:  # 1, 2, 4, ... copies at a time reach every number of copies
             block = min(block, copies)
-            wider = reach | (reach << (length * block)) & mask
-            if wider != reach:
-                steps.append((reach, length, block))
-                reach = wider
+            steps.append((reach, length, block))
+            reach |= (reach << (length * block)) & mask
             copies, block = copies - block, 2 * block
-        if reach >> room & 1:
-            break
     left, used = reach.bit_length() - 1, {}
     for before, length, block in reversed(steps):
-        if not before >> left & 1:
+        if left >= length * block and before >> (left - length * block) & 1:
             used[length] = used.get(length, 0) + block
             left -= length * block
     return list(used.items())
