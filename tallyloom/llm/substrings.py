@@ -148,20 +148,21 @@ def repeated_passages(docs: DataFrame, window: int = 35, carry: Sequence[str] =
     # rows are told apart by doc_id and text, so that doc_id need not be unique
     docs = docs.select(F.struct(*carry).alias("row"), "text", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("key"), F.xxhash64("text").alias("check"))
     found = stored(stretches(docs.select("text", "key", "check"), window), "stretches")
-    seeds = found.groupBy("seed").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("seed")
+    # tables with one row a key are written, or dealt out anew, before they are joined: only then can Spark split a key with very many rows on the other side
+    seeds = stored(found.groupBy("seed").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("seed"), "repeated")
     found = stored(found.join(seeds, "seed"), "seeds")
     classes = found.groupBy("seed", "stretch").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "check", "at", "n", "lead")).alias("one"))
     classes = stored(classes.select("seed", "stretch", "copies", "one.*"), "classes")
-    several = classes.groupBy("seed").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("seed")
+    several = stored(classes.groupBy("seed").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("seed"), "several")
     members = classes.join(several, "seed").groupBy("key", "check").agg(F.collect_list(F.struct("seed", "stretch", "copies", "at", "n", "lead")).alias("seeds"))
 
     # both joins with the texts read one and the same shuffle of them, which needs the same columns in both
     texts = docs.repartition(n, "key", "check")
     windows = extend(texts.join(members.hint("shuffle_hash"), ["key", "check"]).select("row", "text", "seeds"), window)
-    matched = windows.groupBy("seed", "words").agg(F.min("stretch").alias("a"), F.max("stretch").alias("b"), F.max("copies").alias("c")).where("a != b or c > 1").select("seed", "words")
+    matched = windows.groupBy("seed", "words").agg(F.min("stretch").alias("a"), F.max("stretch").alias("b"), F.max("copies").alias("c")).where("a != b or c > 1").select("seed", "words").repartition("words")
     partly = windows.join(matched, ["seed", "words"]).select("seed", "stretch", F.expr("shiftleft(1L, nth)").alias("mask"))
     wholly = classes.where("copies > 1").select("seed", "stretch", F.expr("shiftleft(1L, n) - 1").alias("mask"))
-    masks = partly.unionAll(wholly).groupBy("seed", "stretch").agg(F.bit_or("mask").alias("mask"))
+    masks = partly.unionAll(wholly).groupBy("seed", "stretch").agg(F.bit_or("mask").alias("mask")).repartition("stretch")
     repeats = found.join(masks, ["seed", "stretch"]).groupBy("key", "check").agg(F.collect_set(F.struct("at", "mask")).alias("repeats"))
     return cut(texts.join(repeats.hint("shuffle_hash"), ["key", "check"], "left").select("row", "text", "repeats"), window, layout).select("row.*", "n_words", "spans", "n_removed", "kept_text")
 
