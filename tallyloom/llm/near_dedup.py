@@ -3,19 +3,23 @@
 Every document's set of word shingles gives BANDS * ROWS MinHash samples. ROWS samples make a band key; the samples folded into a bitmap of SKETCH
 bits by parity make an odd sketch, whose XOR with another one has a number of set bits that tells the similarity closely when it is high.
 
-Documents with equal sets are one class from the start. Classes that share a band key are candidates. Pairs of a bucket are not all made: in
-round t, members whose hash falls below a bound that grows fourfold are hubs and are compared with the bucket's members that the links found so far do
-not reach. Every pair of a bucket is thus compared or connected by links when the rounds end. A comparison looks at the sketches first and, where they
-leave a link possible, at the two whole sets.
+Documents with equal sets are one class from the start. Classes that share a band key are candidates, but the pairs of a bucket are not all made.
+In each of BALLS rounds a bucket has one hub (a member of the fewest balls so far, of these the one that most others share keys with) with which the others are compared:
+first by sketches, then by whole sets. A member that the sketch puts into the hub's ball (at most twice the threshold's distance, and a margin) also leaves the shingles
+by which it differs from the hub. Members linked with the hub leave the bucket. Links of the others in the ball with anyone in it follow exactly
+from those differences, which are few: a join on the rarest of them finds every such pair (prefix filtering), and unrelated edits meet nowhere. Pairs that are in no
+ball together after that are compared each for itself.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ._components import components
@@ -26,10 +30,10 @@ from ._words import LOWER, U, Runs, find, hashes, mix
 BANDS, ROWS = 32, 5
 #: Bits of a sketch, in 64-bit words.
 SKETCH = 512
-#: Pairs whose sketches tell a similarity this far below the threshold are no links; about five standard deviations.
+#: Sketches of pairs in a ball tell at least this much less similarity than pairs have that lie twice the threshold's distance apart.
 MARGIN = 0.25
-#: Hubs of a bucket in the first round, and by how much each round has more.
-HUBS, MORE = 2, 4
+#: Rounds with one hub a bucket; what is left then is compared directly.
+BALLS = 2
 
 _random = np.random.default_rng(20250101)
 _A = _random.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -99,19 +103,24 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(sign, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>")
 
 
-def similar(pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b) of the pairs (a, b, text_a, text_b) whose whole shingle sets have 100 * |intersection| >= percent * |union|."""
+COMPARED = "hub bigint, node bigint, hub_size bigint, size bigint, linked boolean, apart array<bigint>"
+
+
+def compared(pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Of pairs (hub, node, hub_text, text): sizes of the whole sets, whether 100 * |intersection| >= percent * |union|, and the shingles that only one has."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(slices(batches, "text_a"), "text_b"):
-            sets_a, sets_b = (shingle_sets(batch.column(c), size) for c in ("text_a", "text_b"))
-            keep = []
-            for a, b in zip(sets_a, sets_b):
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(both > 0 and 100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for batch in slices(slices(batches, "hub_text"), "text"):
+            hubs, nodes = (shingle_sets(batch.column(c), size) for c in ("hub_text", "text"))
+            out = []
+            for a, b in zip(hubs, nodes):
+                apart = np.setxor1d(a, b, assume_unique=True)
+                both = (len(a) + len(b) - len(apart)) // 2
+                out.append((len(a), len(b), both > 0 and 100 * both >= percent * (both + len(apart)), apart.view(np.int64)))
+            columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())))]
+            yield pa.RecordBatch.from_arrays([batch.column("hub"), batch.column("node"), *columns], names=["hub", "node", "hub_size", "size", "linked", "apart"])
 
-    return pairs.mapInArrow(check, "a bigint, b bigint")
+    return pairs.mapInArrow(check, COMPARED)
 
 
 def _union(links: list[DataFrame]) -> DataFrame:
@@ -121,29 +130,54 @@ def _union(links: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _hubs(members: DataFrame, low: float, high: float) -> DataFrame:
-    """(a, b): each bucket's members with low <= rank < high beside those of higher rank that no links connect with them."""
-    x, y = members.where((F.col("rank") >= low) & (F.col("rank") < high)).alias("x"), members.alias("y")
-    later = (F.col("x.rank") < F.col("y.rank")) | ((F.col("x.rank") == F.col("y.rank")) & (F.col("x.node") < F.col("y.node")))
-    pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & later & (F.col("x.label") != F.col("y.label")))
-    return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-
-
-def _compare(docs: DataFrame, pairs: DataFrame, sketches: DataFrame, size: int, percent: int) -> DataFrame:
-    """The links among the pairs: first by sketches, then by whole sets."""
+def _compare(docs: DataFrame, pairs: DataFrame, sketches: DataFrame, size: int, percent: int, reach: int) -> DataFrame:
+    """COMPARED for those of the pairs (hub, node) whose sketches tell no more than reach times the threshold's distance and MARGIN."""
     samples = BANDS * ROWS
+    least = max(0.0, 1 - reach * (1 - percent / 100) - MARGIN)
     # samples of sets with similarity J differ in 2 * samples * (1 - J) elements, which set about this many bits
-    most = SKETCH / 2 * (1 - (1 - 2 / SKETCH) ** (2 * samples * (1 - (percent / 100 - MARGIN))))
-    apart = sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH // 64)), F.lit(0))
-    for end in ("a", "b"):
-        pairs = pairs.join(sketches.select(F.col("node").alias(end), F.col("sketch").alias(f"sketch_{end}")), end)
-    pairs = stored(pairs.where(apart <= most).select("a", "b").distinct(), "pairs")
-    wanted = stored(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct(), "wanted")
+    most = SKETCH / 2 * (1 - (1 - 2 / SKETCH) ** (2 * samples * (1 - least)))
+    bits = sum((F.bit_count(F.col("hub_sketch")[i].bitwiseXOR(F.col("sketch")[i])) for i in range(SKETCH // 64)), F.lit(0))
+    pairs = pairs.join(sketches, "node").join(sketches.select(F.col("node").alias("hub"), F.col("sketch").alias("hub_sketch")), "hub")
+    pairs = stored(pairs.where(bits <= most).select("hub", "node").distinct(), "pairs")
+    wanted = stored(pairs.select(F.col("hub").alias("doc_id")).unionAll(pairs.select("node")).distinct(), "wanted")
     texts = stored(docs.join(small(wanted), "doc_id"), "texts")
-    both = pairs
+    both = pairs.join(texts.select(F.col("doc_id").alias("node"), "text"), "node").join(texts.select(F.col("doc_id").alias("hub"), F.col("text").alias("hub_text")), "hub")
+    return compared(both.select("hub", "node", "hub_text", "text"), size, percent)
+
+
+def _inside(balls: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between two nodes of one hub's ball at least one of which is not linked with the hub.
+
+    Sets x and y are linked if |x ^ y| <= k * (|x| + |y|) with k = (100 - percent) / (100 + percent), and |x ^ y| is what their differences from the hub have
+    apart. So two nodes must share ``need`` of their differences or more, at least one, and their rarest len - need + 1 differences must meet. need grows with
+    both numbers of differences: nodes are put into classes by theirs, and each asks for partners of each class by as few differences as that class allows.
+    """
+    k = (100 - percent) / (100 + percent)
+    away = stored(balls.where("not linked").select("hub").distinct(), "hubs")
+    balls = stored(balls.join(away, "hub").withColumn("n", F.size("apart")), "balls")
+    top = balls.agg(F.max("n")).first()[0] or 0
+    lows = sorted({math.ceil(2 ** (i / 4)) - 1 for i in range(4 * top.bit_length() + 5)})
+    classes = [F.struct(F.lit(i).alias("i"), F.lit(low).alias("low"), F.lit(high - 1).alias("high")) for i, (low, high) in enumerate(zip(lows, lows[1:]))]
+    # a hub with very many nodes lies in one part of the table: its rows are dealt out before each becomes many
+    even = balls.repartition(int(balls.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spread = stored(even.select("hub", "node", "linked", "size", "hub_size", "n", F.explode("apart").alias("shingle")), "differences")
+    often = stored(spread.groupBy("hub", "shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1"), "shared")
+    order = F.row_number().over(W.partitionBy("hub", "node").orderBy("often", "shingle"))
+    # a difference that only one node has meets nothing, but has its place among the rarest
+    placed = spread.join(often, ["hub", "shingle"], "left").withColumn("often", F.coalesce("often", F.lit(1))).withColumn("place", order).where("often > 1")
+    own = F.filter(F.array(*classes), lambda c: (c.low <= F.col("n")) & (F.col("n") <= c.high))[0].i
+    # rounded down a little, so that no rounding of doubles can lose a pair
+    need = lambda c: F.greatest(F.lit(1), F.ceil((F.col("n") - k * (F.col("size") + F.col("hub_size")) + (1 - k) * c.low) / 2 - 1e-6))
+    asked = F.filter(F.array(*classes), lambda c: (need(c) <= F.least("n", c.high)) & (F.col("place") <= F.col("n") - need(c) + 1))
+    placed = stored(placed.select("hub", "node", "linked", "shingle", own.alias("own"), F.explode(F.transform(asked, lambda c: c.i)).alias("partner")), "placed")
+    x, y = placed.where("not linked").alias("x"), placed.alias("y")
+    meets = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.own") == F.col("y.partner")) & (F.col("x.partner") == F.col("y.own"))
+    met = x.join(y, meets & (F.col("y.linked") | (F.col("x.node") < F.col("y.node")))).select(F.col("x.hub").alias("hub"), F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     for end in ("a", "b"):
-        both = both.join(texts.select(F.col("doc_id").alias(end), F.col("text").alias(f"text_{end}")), end)
-    return stored(similar(both.select("a", "b", "text_a", "text_b"), size, percent).distinct(), "similar")
+        met = met.join(balls.select("hub", F.col("node").alias(end), F.col("size").alias(f"size_{end}"), F.col("apart").alias(f"apart_{end}")), ["hub", end])
+    both = F.size("apart_a") + F.size("apart_b") - 2 * F.size(F.array_intersect("apart_a", "apart_b"))
+    total = F.col("size_a") + F.col("size_b")
+    return stored(met.where((100 + percent) * both <= (100 - percent) * total).select("a", "b").distinct(), "inside")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -158,26 +192,41 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     signed = stored(signatures(docs, size), "signatures")
     alike = ["set_a", "set_b", "n_shingles"]
     named = signed.where("doc_id is not null and n_shingles > 0")
-    classes = named.groupBy(*alike).agg(F.min("doc_id").alias("node"))
+    classes = stored(named.groupBy(*alike).agg(F.min("doc_id").alias("node")), "classes")
     nodes = stored(named.join(classes, alike).where("doc_id = node").select("node", "bands", "sketch"), "nodes")
     membership = stored(named.select("doc_id", *alike).join(classes, alike).select("doc_id", "node").distinct(), "membership")
     first = membership.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a != z").select("doc_id", "a")
     links = [stored(membership.join(first, "doc_id").where("a != node").select("a", F.col("node").alias("b")).distinct(), "similar")]
 
     members = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    rank = F.xxhash64("node").bitwiseAND((1 << 32) - 1) / float(1 << 32)
-    members = stored(members.join(shared, "bucket").select("bucket", "m", "node", (rank * F.col("m")).alias("rank"), F.col("node").alias("label")), "buckets")
-    low, high = 0.0, float(HUBS)
-    while members.take(1):
-        links.append(_compare(docs, _hubs(members, low, high), nodes.select("node", "sketch"), size, percent))
+    shared = stored(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "shared")
+    members = stored(members.join(shared, "bucket"), "buckets")
+    company = members.groupBy("node").agg((-F.sum("m")).alias("alone"))
+    rest = stored(members.join(company, "node").select("bucket", "node", "alone", F.col("node").alias("label"), F.array().cast("array<bigint>").alias("balls")), "rest")
+    sketches = nodes.select("node", "sketch")
+    for _ in range(BALLS):
+        if not rest.take(1):
+            break
+        hubs = rest.groupBy("bucket").agg(F.min(F.struct(F.size("balls").alias("n"), "alone", "node", "label")).alias("h"))
+        hubs = stored(hubs.select("bucket", F.col("h.node").alias("hub"), F.col("h.label").alias("hub_label")), "hubs")
+        rows = stored(rest.join(hubs, "bucket").where("label != hub_label").select("bucket", "hub", "node"), "rows")
+        # what is linked with a linked node has at most twice the threshold's distance from the hub
+        balls = stored(_compare(docs, rows.select("hub", "node").distinct(), sketches, size, percent, reach=2), "compared")
+        links += [balls.where("linked").select(F.col("hub").alias("a"), F.col("node").alias("b")), _inside(balls, percent)]
         labels = components(_union(links)).select("node", F.col("root").alias("label"))
-        # buckets of which every member was a hub, or that links connect, are done
-        members = members.where(F.col("m") > high).drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        open_ = members.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("z")).where("a != z").select("bucket")
-        members = stored(members.join(open_, "bucket").select("bucket", "m", "node", "rank", "label"), "buckets")
-        low, high = high, high * MORE
-
+        # linked nodes and hubs leave their buckets; buckets that one ball covers or that links hold together are done
+        found = rows.join(balls.select("hub", "node", "linked"), ["hub", "node"]).select("bucket", "node", F.col("hub").alias("in"), "linked").dropDuplicates(["bucket", "node"])
+        rest = rest.join(found, ["bucket", "node"], "left").where("linked is null or not linked").join(hubs.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti")
+        rest = rest.withColumn("balls", F.when(F.col("in").isNull(), F.col("balls")).otherwise(F.array_append("balls", F.col("in")))).drop("label", "in", "linked")
+        rest = stored(rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).select("bucket", "node", "alone", "label", "balls"), "rest")
+        covered = rest.select("bucket", F.explode("balls").alias("ball")).groupBy("bucket", "ball").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max("n").alias("most"))
+        open_ = rest.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("z"), F.count(F.lit(1)).alias("m")).join(covered, "bucket", "left").where("a != z and m > coalesce(most, 0)").select("bucket")
+        rest = stored(rest.join(stored(open_, "open"), "bucket"), "rest")
+    # the few pairs of a bucket that no ball holds together, each for itself
+    x, y = rest.alias("x"), rest.alias("y")
+    apart = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & ~F.arrays_overlap("x.balls", "y.balls"))
+    last = _compare(docs, apart.select(F.col("x.node").alias("hub"), F.col("y.node").alias("node")).distinct(), sketches, size, percent, reach=1)
+    links.append(stored(last.where("linked").select(F.col("hub").alias("a"), F.col("node").alias("b")), "linked"))
     roots = components(_union(links))
     found = membership.join(roots, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "node")).alias("component_id"))
     out = signed.select("doc_id", "n_shingles").join(found, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
