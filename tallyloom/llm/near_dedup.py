@@ -7,8 +7,8 @@ Documents with equal sets are one class from the start. Classes that share a ban
 In each of BALLS rounds a bucket has one hub (a member of the fewest balls so far, of these the one that most others share keys with) with which the others are compared:
 first by sketches, then by whole sets. A member that the sketch puts into the hub's ball (at most twice the threshold's distance, and a margin) also leaves the shingles
 by which it differs from the hub. Members linked with the hub leave the bucket. Links of the others in the ball with anyone in it follow exactly
-from those differences, which are few: a join on the rarest of them finds every such pair (prefix filtering), and unrelated edits meet nowhere. Pairs that are in no
-ball together after that are compared each for itself.
+from those differences, which are few: a join on the rarest of them finds every such pair (prefix filtering), and unrelated edits meet nowhere. Members that are in no
+ball together after that meet by the rarest shingles of their whole sets.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ BANDS, ROWS = 32, 5
 SKETCH = 512
 #: Sketches of pairs in a ball tell at least this much less similarity than pairs have that lie twice the threshold's distance apart.
 MARGIN = 0.25
-#: Rounds with one hub a bucket; what is left then is compared directly.
+#: Rounds with one hub a bucket; what is left then meets by rare shingles.
 BALLS = 2
 
 _random = np.random.default_rng(20250101)
@@ -180,6 +180,36 @@ def _inside(balls: DataFrame, percent: int) -> DataFrame:
     return stored(met.where((100 + percent) * both <= (100 - percent) * total).select("a", "b").distinct(), "inside")
 
 
+def _meetings(docs: DataFrame, rest: DataFrame, size: int, percent: int) -> DataFrame:
+    """(hub, node): every pair of nodes left in rest (node, label) with different labels that may be linked, and few others.
+
+    Linked sets share at least percent of the larger one, so of each set's shingles, rarest first, those before the last ceil(percent * n / 100) - 1
+    hold one of the other's (prefix filtering); what many of these documents share comes last and joins nothing.
+    """
+    nodes = stored(rest.groupBy("node").agg(F.min("label").alias("label")), "left")
+    texts = docs.join(small(nodes), docs.doc_id == nodes.node).select("node", "label", "text")
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = shingle_sets(batch.column("text"), size)
+            n = pa.array([len(s) for s in sets], pa.int64())
+            own = pa.array([mix(s, 7).sum(dtype=U).astype(np.int64) for s in sets], pa.int64())
+            columns = [batch.column("node"), batch.column("label"), n, own, pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "label", "n", "own", "shingles"])
+
+    # rows that share a doc_id may have several sets: each has its own order
+    sets = texts.mapInArrow(spread, "node bigint, label bigint, n bigint, own bigint, shingles array<bigint>").dropDuplicates(["node", "n", "own"])
+    rows = stored(sets.select("node", "label", "n", "own", F.explode("shingles").alias("shingle")), "shingles")
+    often = stored(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1"), "often")
+    order = F.row_number().over(W.partitionBy("node", "n", "own").orderBy("often", "shingle"))
+    placed = rows.join(often, "shingle", "left").withColumn("often", F.coalesce("often", F.lit(1))).withColumn("place", order)
+    placed = stored(placed.where((F.col("often") > 1) & (F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).select("node", "label", "n", "shingle"), "prefixes")
+    x, y = placed.alias("x"), placed.alias("y")
+    near = (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent) & (F.col("x.label") != F.col("y.label"))
+    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & near)
+    return met.select(F.col("x.node").alias("hub"), F.col("y.node").alias("node")).distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs (doc_id, text; other columns are ignored).
 
@@ -222,11 +252,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         covered = rest.select("bucket", F.explode("balls").alias("ball")).groupBy("bucket", "ball").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max("n").alias("most"))
         open_ = rest.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("z"), F.count(F.lit(1)).alias("m")).join(covered, "bucket", "left").where("a != z and m > coalesce(most, 0)").select("bucket")
         rest = stored(rest.join(stored(open_, "open"), "bucket"), "rest")
-    # the few pairs of a bucket that no ball holds together, each for itself
-    x, y = rest.alias("x"), rest.alias("y")
-    apart = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & ~F.arrays_overlap("x.balls", "y.balls"))
-    last = _compare(docs, apart.select(F.col("x.node").alias("hub"), F.col("y.node").alias("node")).distinct(), sketches, size, percent, reach=1)
-    links.append(stored(last.where("linked").select(F.col("hub").alias("a"), F.col("node").alias("b")), "linked"))
+    if rest.take(1):  # members that no ball holds together are met by their rarest shingles, so no bucket makes all its pairs
+        last = _compare(docs, _meetings(docs, rest, size, percent), sketches, size, percent, reach=1)
+        links.append(stored(last.where("linked").select(F.col("hub").alias("a"), F.col("node").alias("b")), "linked"))
     roots = components(_union(links))
     found = membership.join(roots, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "node")).alias("component_id"))
     out = signed.select("doc_id", "n_shingles").join(found, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))

@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import pytest
-from brute import near, repeats, roots
+from brute import near, repeats, roots, shingles
 from pyspark.sql import functions as F
 
 from tallyloom.llm import exact_dedup, near_dedup, substrings
@@ -118,6 +118,21 @@ def test_near_like_brute_force(spark, size, percent):
     assert rows(got) == sorted(near(docs, size, percent), key=str)
 
 
+@pytest.mark.parametrize("size", [2, 5])
+def test_meetings_hold_every_link_and_few_others(spark, size):
+    r = random.Random(4)
+    passage = ["p%d" % i for i in range(40)]
+    own = [[r.choice("abcdefghijk") + str(r.randrange(40)) for _ in range(r.choice([3, 30, 90]))] for _ in range(40)]
+    own += [[*w[:-1], "edited"] for w in own[::3]] + [own[1], own[1][:-1]]
+    docs = [(i, " ".join(passage + w)) for i, w in enumerate(own)] + [(5, "one other text of the same id")]
+    rest = spark.createDataFrame([(i, i) for i in range(len(own))], "node long, label long")
+    found = {tuple(p) for p in near_dedup._meetings(spark.createDataFrame(docs, DOCS), rest, size, 80).collect()}
+    sets = [(i, shingles(text, size)) for i, text in docs]
+    linked = {(i, j) for i, x in sets for j, y in sets if i < j and 100 * len(x & y) >= 80 * len(x | y)}
+    assert linked and linked <= found
+    assert len(found) < len(own) * (len(own) - 1) / 2
+
+
 def test_near_odd_rows(spark):
     docs = [(None, "a b c"), (1, "a b c"), (1, "x y z"), (5, "x y z"), (6, "A B C"), (7, None), (None, None)]
     got = near_dedup.near_duplicates(spark.createDataFrame([(d, t, 1) for d, t in docs], DOCS + ", node int"), 2)
