@@ -31,21 +31,28 @@ def hash_ranked(df: DataFrame, digest: Column, *ties: str, by: tuple[str, ...] =
     return placed.drop("_digest", "_bucket", "_place", "_before", *[f"_s{i}" for i in range(len(on))])
 
 
-def running(df: DataFrame, order: str, sums: dict[str, str], by: tuple[str, ...] = (), descending: bool = False, parts: int = 64) -> DataFrame:
-    """df, one row for each value of order in a group, with running sums up to and with each row: {column: name of its running sum}.
+def edges(df: DataFrame, order: str, parts: int) -> list[float]:
+    """Approximate quantiles that cut the values of order into parts. Runs a job unless there is one part."""
+    return sorted(set(df.approxQuantile(order, [i / parts for i in range(1, parts)], 0.001))) if parts > 1 else []
 
-    The values are cut at approximate quantiles into parts; each part is summed up alone and the parts' totals, at most ``parts`` a group, are
-    added. Runs one job for the quantiles.
+
+def running(df: DataFrame, order: str, sums: dict[str, str], by: tuple[str, ...] = (), descending: bool = False, parts: int = 64, cuts: list[float] | None = None, least: bool = False) -> DataFrame:
+    """df, one row for each value of order in a group, with running sums up to and with each row: {column: name of its running sum}; minima instead if least.
+
+    The values are cut at approximate quantiles (or at cuts) into parts; each part is summed up alone and the parts' totals, at most ``parts`` a group,
+    are added. Runs one job for the quantiles.
     """
-    edges = sorted(set(df.approxQuantile(order, [i / parts for i in range(1, parts)], 0.001))) if parts > 1 else []
+    cuts = edges(df, order, parts) if cuts is None else cuts
     part = F.lit(0)
-    if edges:
-        part = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < F.col(order)))
+    if cuts:
+        part = F.size(F.filter(F.array(*[F.lit(e) for e in cuts]), lambda e: e < F.col(order)))
+    fold = F.min if least else F.sum
     keyed = df.withColumn("_part", -part if descending else part)
     key = F.desc(order) if descending else F.asc(order)
-    totals = keyed.groupBy(*by, "_part").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    totals = keyed.groupBy(*by, "_part").agg(*[fold(c).alias(f"_t_{c}") for c in sums])
     before = W.partitionBy(*by).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    totals = totals.select(*by, "_part", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_b_{c}") for c in sums])
+    totals = totals.select(*by, "_part", *[fold(f"_t_{c}").over(before).alias(f"_b_{c}") for c in sums])
     inside = W.partitionBy(*by, "_part").orderBy(key).rowsBetween(W.unboundedPreceding, 0)
-    out = keyed.select("*", *[F.sum(c).over(inside).alias(f"_i_{c}") for c in sums]).join(totals, [*by, "_part"])
-    return out.select(*df.columns, *[(F.col(f"_i_{c}") + F.col(f"_b_{c}")).alias(name) for c, name in sums.items()])
+    out = keyed.select("*", *[fold(c).over(inside).alias(f"_i_{c}") for c in sums]).join(totals, [*by, "_part"])
+    both = lambda c: F.least(f"_i_{c}", f"_b_{c}") if least else F.col(f"_i_{c}") + F.coalesce(f"_b_{c}", F.lit(0))
+    return out.select(*df.columns, *[both(c).alias(name) for c, name in sums.items()])

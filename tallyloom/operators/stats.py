@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ranking import running
+from .ranking import edges, running
 
 
 def tied(df: DataFrame, value: str, outcome: str, by: tuple[str, ...] = (), parts: int = 64) -> DataFrame:
@@ -134,12 +134,18 @@ def chi_square(df: DataFrame, feature: str = "feature", value: str = "value", ou
     return stat.select(feature, F.when(fine, F.col("x")).alias("chi2"), ((F.col("r") - 1) * (F.col("c") - 1)).cast("int").alias("dof"), F.when(fine, F.sqrt(F.col("x") / (F.col("n") * (F.least("r", "c") - 1)))).alias("v"))
 
 
-def benjamini_hochberg(df: DataFrame, p: str = "p", ties: str = "feature") -> DataFrame:
-    """df, a table of features, with q: the least p * m / rank from its rank on, at most 1; null p stay null and don't count."""
+def benjamini_hochberg(df: DataFrame, p: str = "p", parts: int = 64) -> DataFrame:
+    """df with q: the least p * m / rank from its rank on, at most 1; null p stay null and don't count.
+
+    Equal p have one q, that of the last of them, so ranks are running counts over distinct p and no task holds them all.
+    """
     known = df.where(F.col(p).isNotNull())
-    ranked = known.withColumn("_r", F.row_number().over(W.orderBy(p, ties))).crossJoin(F.broadcast(known.agg(F.count(F.lit(1)).alias("_m"))))
-    q = F.min(F.col(p) * F.col("_m") / F.col("_r")).over(W.orderBy(F.desc("_r")).rowsBetween(W.unboundedPreceding, 0))
-    done = ranked.withColumn("q", F.greatest(F.lit(0.0), F.least(F.lit(1.0), q))).drop("_r", "_m")
+    groups = known.groupBy(F.col(p).cast("double").alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    cuts = edges(groups, "_p", parts)
+    ranked = running(groups, "_p", {"_n": "_r"}, cuts=cuts).crossJoin(F.broadcast(known.agg(F.count(F.lit(1)).alias("_m"))))
+    least = running(ranked.withColumn("_s", F.col("_p") * F.col("_m") / F.col("_r")), "_p", {"_s": "_q"}, descending=True, cuts=cuts, least=True)
+    q = least.select("_p", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "_q")).alias("q"))
+    done = known.withColumn("_p", F.col(p).cast("double")).join(q, "_p").drop("_p")
     return done.unionByName(df.where(F.col(p).isNull()).withColumn("q", F.lit(None).cast("double")))
 
 
@@ -245,4 +251,4 @@ def univariate(long: DataFrame, least_numeric: float = 0.8) -> DataFrame:
     f = fisher(table).select("feature", F.col("odds").alias("statistic"), "effect", "p")
     x = chi_square(rows.where("kind = 'chi_square'")).select("feature", F.col("chi2").alias("statistic"), F.col("v").alias("effect"), chi2_p("chi2", "dof").alias("p"))
     tested = kinds.select("feature", "kind").join(u.unionAll(f).unionAll(x), "feature", "left")
-    return benjamini_hochberg(tested)
+    return benjamini_hochberg(tested, parts=1)

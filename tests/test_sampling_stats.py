@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,6 +103,21 @@ def test_univariate_kinds(spark):
     assert got["one"].p is None and all(0 <= got[k].p <= got[k].q + 1e-12 and got[k].q <= 1 for k in "nck")
 
 
+def test_benjamini_hochberg_deals_out_ranks(spark, capsys):
+    """Against a loop over sorted p, with ties; and no window holds all p values in one task."""
+    r = random.Random(6)
+    p = [(f"f{i}", None if i % 9 == 0 else r.choice([0.0, 0.5, 1.0]) if i % 5 == 0 else r.random() ** 3) for i in range(700)]
+    known, want, low = sorted((x for x in p if x[1] is not None), key=lambda x: x[1]), {}, 1.0
+    for i in range(len(known), 0, -1):
+        low = min(low, known[i - 1][1] * len(known) / i)
+        want[known[i - 1][0]] = low
+    out = stats.benjamini_hochberg(spark.createDataFrame(p, "feature string, p double"))
+    got = {x.feature: x.q for x in out.collect()}
+    assert len(got) == 700 and got == {f: want.get(f) for f, _ in p}
+    out.explain("formatted")
+    tables = re.findall(r"\n\(\d+\) Window\nInput \[\d+\]: (.*)\nArguments: .*?windowspecdefinition\((\S+)", capsys.readouterr().out)
+    assert tables and all("_part" in held and ("_t_" in held or "_part" in first) for held, first in tables), tables
+
 def test_confusion_of_one_side(spark):
     m = stats.confusion(spark.createDataFrame([(1, 0.1), (1, 0.2)], "y int, p double")).first()
     assert (m.sensitivity, m.precision, m.f1, m.specificity, m.npv) == (0, 0, 0, None, 0)
