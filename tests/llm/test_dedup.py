@@ -7,7 +7,7 @@ import pytest
 from brute import near, repeats, roots, shingles
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, near_dedup, substrings
+from tallyloom.llm import embedding_dedup, exact_dedup, near_dedup, substrings
 from tallyloom.llm._components import components
 from tallyloom.llm.embedding_dedup import near_vectors
 
@@ -179,3 +179,38 @@ def test_vectors_like_brute_force(spark):
     want = [(i, int(link[i].sum()), root[i], root[i] == i) for i in range(700)] + [(i, 0, i, True) for i, _, _ in bad]
     assert rows(near_vectors(df)) == sorted(want, key=str)
     assert near_vectors(df.where("vec_id >= 800")).count() == 7 and near_vectors(df.limit(0)).count() == 0
+
+
+def audited(spark, groups, alone=0):
+    """(nodes, links of every pair in a group) of unit vectors: groups are sizes, each member of a group near its own axis."""
+    r = np.random.default_rng(3)
+    rows, links, n = [], [], 0
+    for size in [*groups, *[1] * alone]:
+        axis = r.standard_normal(64)
+        rows += [(n + i, 0, [float(c) for c in axis + 0.01 * r.standard_normal(64)]) for i in range(size)]
+        links += [(n + i, n + j) for i in range(size) for j in range(i + 1, size)]
+        n += size
+    return spark.createDataFrame(rows, "node long, label int, vector array<double>"), links
+
+
+def test_audit_sees_small_groups_beside_a_large_one(spark):
+    nodes, links = audited(spark, [150, *[2] * 50])
+    linked = lambda x: spark.createDataFrame(x, "a long, b long")
+    large = [x for x in links if x[1] < 150]
+    assert embedding_dedup._audit(linked(links), nodes, 0.98) == (1.0, 250)
+    recall, n = embedding_dedup._audit(linked(large), nodes, 0.98)
+    assert n == 250 and abs(recall - 0.6) < 1e-9
+
+
+def test_audit_draws_on_until_nodes_have_links(spark):
+    nodes, links = audited(spark, [2] * 10, alone=980)
+    recall, n = embedding_dedup._audit(spark.createDataFrame([], "a long, b long"), nodes, 0.98)
+    assert (recall, n) == (0.0, 20)
+
+
+def test_low_recall_is_an_error(spark, monkeypatch):
+    nodes, _ = audited(spark, [2] * 10)
+    monkeypatch.setattr(embedding_dedup, "_audit", lambda *a: (0.5, 20))
+    monkeypatch.setattr(embedding_dedup, "ATTEMPTS", 1)
+    with pytest.raises(RuntimeError, match="0.5000 over 20"):
+        embedding_dedup.near_vectors(nodes.select(F.col("node").alias("vec_id"), F.col("vector").alias("embedding"), "label"))
