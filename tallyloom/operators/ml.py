@@ -10,10 +10,10 @@ from . import sampling, stats
 MISSING = "__MISSING__"
 RARE = "__RARE__"
 
-#: The grids that are searched.
+#: The grids that are searched, the reference's. 30 is MLlib's greatest depth and stands for no limit.
 GRIDS = {
-    "elastic_net": [{"c": c, "l1": l1} for c in (0.01, 0.1, 1.0, 10.0) for l1 in (0.1, 0.5, 0.9)],
-    "random_forest": [{"depth": d, "leaf": leaf} for d in (5, 10) for leaf in (1, 5)],
+    "elastic_net": [{"c": c, "l1": l1} for c in (0.01, 0.1, 1.0, 10.0) for l1 in (0.0, 0.5, 1.0)],
+    "random_forest": [{"depth": d, "leaf": leaf, "features": f} for d in (3, 30) for leaf in (2, 5) for f in ("sqrt", "0.5")],
     "dummy": [{}],
 }
 
@@ -51,7 +51,7 @@ def model(name: str, params: dict, n: int, seed: int):
     if name == "elastic_net":
         return LogisticRegression(labelCol="y", weightCol="weight", elasticNetParam=params["l1"], regParam=1 / (params["c"] * max(1, n)), standardization=False, maxIter=200)
     if name == "random_forest":
-        return RandomForestClassifier(labelCol="y", weightCol="weight", numTrees=params.get("trees", 100), maxDepth=params["depth"], minInstancesPerNode=params["leaf"], seed=seed)
+        return RandomForestClassifier(labelCol="y", weightCol="weight", numTrees=params.get("trees", 300), maxDepth=params["depth"], minInstancesPerNode=params["leaf"], featureSubsetStrategy=params.get("features", "auto"), seed=seed)
     raise ValueError(f"unknown model {name}")
 
 

@@ -707,16 +707,16 @@ def _model_table(spark, sf_dir):
     return v.clinical(spark, sf_dir).where("outcome is not null").select("doc_id", F.col("outcome").alias("y"), "lang", F.col("n_chars").cast("double").alias("n_chars"))
 
 
-def _cv(spark, sf_dir, name, grid):
-    out = mlx.nested_cv(_model_table(spark, sf_dir), "doc_id", ["n_chars"], ["lang"], name, outer=3, inner=2, seed=4, grid=grid)
+def _cv(spark, sf_dir, name):
+    out = mlx.nested_cv(_model_table(spark, sf_dir), "doc_id", ["n_chars"], ["lang"], name, outer=3, inner=2, seed=4)
     return stats.roc_auc(out, by=("fold",), parts=1).select("fold", F.round("auc", 4).alias("auc"))
 
 
 @query()
 def elastic_net_auc(spark, sf_dir):
-    return _cv(spark, sf_dir, "elastic_net", [{"c": 1.0, "l1": 0.5}])
+    return _cv(spark, sf_dir, "elastic_net")
 
 
 @query()
 def random_forest_auc(spark, sf_dir):
-    return _cv(spark, sf_dir, "random_forest", [{"depth": 5, "leaf": 5, "trees": 20}])
+    return _cv(spark, sf_dir, "random_forest")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import features, ml, ranking, sampling, stats
+from tallyloom.plans.queries import QUERIES
 
 
 def scored(n=300, seed=1):
@@ -147,3 +148,28 @@ def test_nested_cv_learns(spark):
         ml.nested_cv(df.where("y = 1 or id = 0"), "id", ["x"], [], "dummy", outer=2)
     moved = ml.permuted(df, "id", "x", 1)
     assert sorted(r.x for r in moved.collect()) == sorted(r[2] for r in rows)
+
+
+def test_nested_cv_picks_the_clear_winner(spark):
+    """The inner search has to leave the first option, which shrinks every coefficient to 0."""
+    r = random.Random(3)
+    df = spark.createDataFrame([(i, i % 2, r.gauss(3 * (i % 2), 1)) for i in range(60)], "id int, y int, x double")
+    out = ml.nested_cv(df, "id", ["x"], [], "elastic_net", outer=2, inner=2, grid=[{"c": 1e-6, "l1": 1.0}, {"c": 1.0, "l1": 0.5}])
+    assert stats.roc_auc(out, parts=1).first().auc > 0.9
+
+
+def test_model_queries_search_the_whole_grids(spark, monkeypatch):
+    assert {(g["c"], g["l1"]) for g in ml.GRIDS["elastic_net"]} == {(c, x) for c in (0.01, 0.1, 1.0, 10.0) for x in (0.0, 0.5, 1.0)}
+    assert {(g["depth"], g["leaf"], g["features"]) for g in ml.GRIDS["random_forest"]} == {(d, n, f) for d in (3, 30) for n in (2, 5) for f in ("sqrt", "0.5")}
+    forest = ml.model("random_forest", ml.GRIDS["random_forest"][1], 10, 1)
+    assert (forest.getNumTrees(), forest.getFeatureSubsetStrategy()) == (300, "0.5")
+    searched = []
+
+    def spy(df, *a, grid=None, **k):
+        searched.append(grid or ml.GRIDS[a[3]])
+        return spark.createDataFrame([(0, 0, 0.1), (0, 1, 0.9)], "fold int, y int, p double")
+
+    monkeypatch.setattr(ml, "nested_cv", spy)
+    for name in ("elastic_net_auc", "random_forest_auc"):
+        assert QUERIES[name](spark, "/root/testdata/sf0.001").first().auc == 1
+    assert searched == [ml.GRIDS["elastic_net"], ml.GRIDS["random_forest"]]
