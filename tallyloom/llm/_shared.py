@@ -10,13 +10,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that a Python step holds at a time, unless one text alone is longer.
 SLICE_BYTES = 1 << 20
 #: Rows that a table may have to be broadcast; each is a few longs, so 16 MB or less.
 BROADCAST_ROWS = 500_000
+#: Parts of a table that one key may fill before it is split, and rows that are worth a part of their own.
+PARTS, PART_ROWS = 1000, 512
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,7 +41,37 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that stored() returned, once nothing that is still to be computed reads them."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def split_join(rows: DataFrame, table: DataFrame, on: list[str], spread: Column, counted: DataFrame | None = None, narrow: bool = False) -> DataFrame:
+    """rows joined on the columns ``on`` with table, which has one row a key; a key that very many rows hold is split.
+
+    Keys with more than 1/PARTS of the rows are fewer than PARTS: they come to the driver, are dealt out to as many parts by ``spread``, and table has
+    their row once for each part. All other keys are joined as they are. counted: on and n, the number of rows of a key, where that is stored already.
+    narrow: table is a stored one of a few longs a row; up to BROADCAST_ROWS of them, it is broadcast and rows do not move.
+    """
+    if narrow and table.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), on)
+    counted = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("n")) if counted is None else counted.select(*on, "n")
+    most = max(PART_ROWS, (counted.agg(F.sum("n")).first()[0] or 0) // PARTS)
+    counted = counted.where(F.col("n") > most).select(*on, F.ceil(F.col("n") / most).cast("int").alias("parts"))
+    hot = counted.collect()  # PARTS at most
+    if not hot:
+        return rows.join(table, on)
+    hot = F.broadcast(rows.sparkSession.createDataFrame(hot, counted.schema))
+    rows = rows.join(hot, on, "left").withColumn("part", F.pmod(F.xxhash64(spread), F.coalesce("parts", F.lit(1)))).drop("parts")
+    table = table.join(hot, on, "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1)).cast("bigint") - 1))).drop("parts")
+    return rows.join(table, [*on, "part"]).drop("part")
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -1,7 +1,9 @@
 """Words of many texts at once as NumPy arrays: where they are, and 64-bit hashes of them and of runs of them.
 
-A word is a run of characters other than space and U+0009 to U+000D. Hashes are polynomials modulo 2**64 over bytes (or over
-word hashes), taken from prefix sums, then mixed; equal text has an equal hash in every process.
+A word is a run of characters other than space and U+0009 to U+000D. A word's hash is the sum of its 8-byte pieces, each mixed together with
+its place, mixed again with the word's length; a run's hash is mixed from those of the two longest stretches of 2**k values that cover it, and
+so on down to single values. Every step goes through a bijective mixer: no arithmetic between pieces or words is left that patterned text
+could cancel (polynomials modulo 2**64 give the Thue-Morse words over two letters one hash for every base). Equal text has an equal hash in every process.
 """
 
 from __future__ import annotations
@@ -13,24 +15,6 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
-_powers: list[np.ndarray] = []
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i modulo 2**64 for i up to n."""
-    if not _powers or len(_powers[0]) <= n:
-        size = max(n + 1, 1 << 16)
-        made = []
-        for base in (BASE, INVERSE):
-            row = np.full(size, base, dtype=U)
-            row[0] = 1
-            made.append(np.cumprod(row, dtype=U))
-        _powers[:] = made
-    return _powers[0], _powers[1]
-
-
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijective mixer of 64-bit values."""
     x = x + U((seed * 0xD1342543DE82EF95 + 0x2545F4914F6CDD1D) & 0xFFFFFFFFFFFFFFFF)
@@ -57,21 +41,44 @@ def find(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range."""
-    power, inverse = powers(len(data))
-    sums = np.zeros(len(data) + 1, dtype=U)
-    np.cumsum((data.astype(U) + U(1)) * power[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts])
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each byte range, none of them empty; other seeds give independent ones."""
+    if not len(starts):
+        return np.zeros(0, dtype=U)
+    padded = np.zeros(len(data) + 8, dtype=np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded.data, strides=(1,))
+    n = (ends - starts + 7) >> 3
+    first = np.cumsum(n) - n
+    place = np.arange(int(n.sum())) - np.repeat(first, n)
+    at = np.repeat(starts, n) + 8 * place
+    beyond = np.maximum(at + 8 - np.repeat(ends, n), 0).astype(U) << U(3)
+    pieces = eight[at] & (U(0xFFFFFFFFFFFFFFFF) >> beyond)
+    places = mix(np.arange(int(n.max()), dtype=U), 2 * seed + 101)
+    sums = np.add.reduceat(mix(pieces + places[place], 2 * seed + 102), first)
+    return mix(sums ^ mix((ends - starts).astype(U), 2 * seed + 103), seed)
 
 
 class Runs:
     """Hashes of runs of consecutive values."""
 
     def __init__(self, values: np.ndarray):
-        power, self.inverse = powers(len(values))
-        self.sums = np.zeros(len(values) + 1, dtype=U)
-        np.cumsum(values * power[: len(values)], out=self.sums[1:])
+        self.levels = [values]  # levels[k][i] is the hash of the 2**k values from i on
+
+    def _level(self, k: int) -> np.ndarray:
+        while len(self.levels) <= k:
+            below, step = self.levels[-1], 1 << (len(self.levels) - 1)
+            self.levels.append(mix(mix(below[: max(len(below) - step, 0)], 201) + below[step:], 202))
+        return self.levels[k]
 
     def hash(self, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-        return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts], seed)
+        """The hash of each run, none of them empty."""
+        out, n = np.empty(len(starts), dtype=U), ends - starts
+        if not len(n):
+            return out
+        for k in range(int(n.min()).bit_length() - 1, int(n.max()).bit_length()):
+            some = np.flatnonzero((n >> k) == 1)
+            if len(some):
+                level, a, b = self._level(k), starts[some], ends[some] - (1 << k)
+                out[some] = mix(mix(level[a], 203) + level[b] + mix(n[some].astype(U), 204), seed)
+        return out

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import slices, stored, text_bytes
+from ._shared import discard, slices, split_join, stored, text_bytes
 from ._words import Runs, find, hashes, mix
 
 #: Words in an anchor; windows pick one of window - ANCHOR + 1 grams.
@@ -40,12 +40,12 @@ def leftmost_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _windows(batch: pa.RecordBatch, window: int):
-    """Of a slice: first word of each document, sums for two hashes, and whether a window starts at each word."""
+    """Of a slice: first word of each document, runs of words by two independent hashes, and whether a window starts at each word."""
     data, offsets = text_bytes(batch.column("text"))
     starts, ends, first = find(data, offsets)
-    words = hashes(data, starts, ends)
+    words, others = hashes(data, starts, ends), hashes(data, starts, ends, 1)
     left = np.repeat(first[1:], np.diff(first)) - np.arange(len(words))  # words up to the document's end
-    return first, Runs(words), Runs(mix(words, 1)), left >= window
+    return first, Runs(words), Runs(others), left >= window
 
 
 def stretches(docs: DataFrame, window: int) -> DataFrame:
@@ -139,31 +139,32 @@ def repeated_passages(docs: DataFrame, window: int = 35, carry: Sequence[str] =
     kept_text: the words outside spans joined by one space; with layout, what lies outside spans as it stands in the text, joined by one
     space, and the text itself where nothing is covered. A null text has no words and its kept_text is empty (with layout, null). A text
     shorter than a window is never cut. Repeated rows are each other's copies. A null doc_id stays null. An empty table gives no rows.
-    window: words, more than ANCHOR and at most 61 + ANCHOR. Windows are compared by a 64-bit hash of their anchor and another
-    one of all their words and the anchor's place.
+    window: words, more than ANCHOR and at most 61 + ANCHOR. Windows are compared by a 64-bit hash of their anchor and an
+    independent one of all their words and the anchor's place, each from its own hashes of the words.
     """
     if not ANCHOR < window <= 61 + ANCHOR:
         raise ValueError(f"window must be more than {ANCHOR} and at most {61 + ANCHOR} words")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # rows are told apart by doc_id and text, so that doc_id need not be unique
     docs = docs.select(F.struct(*carry).alias("row"), "text", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("key"), F.xxhash64("text").alias("check"))
-    found = stored(stretches(docs.select("text", "key", "check"), window), "stretches")
-    # tables with one row a key are written, or dealt out anew, before they are joined: only then can Spark split a key with very many rows on the other side
-    seeds = stored(found.groupBy("seed").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("seed"), "repeated")
-    found = stored(found.join(seeds, "seed"), "seeds")
+    every = stored(stretches(docs.select("text", "key", "check"), window), "stretches")
+    seeds = stored(every.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
+    place = F.struct("key", "check", "at")
+    found = stored(split_join(every, seeds.select("seed"), ["seed"], place, seeds, narrow=True), "seeds")
+    discard(every)
     classes = found.groupBy("seed", "stretch").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "check", "at", "n", "lead")).alias("one"))
     classes = stored(classes.select("seed", "stretch", "copies", "one.*"), "classes")
-    several = stored(classes.groupBy("seed").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("seed"), "several")
-    members = classes.join(several, "seed").groupBy("key", "check").agg(F.collect_list(F.struct("seed", "stretch", "copies", "at", "n", "lead")).alias("seeds"))
+    several = classes.groupBy("seed").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("seed")
+    members = split_join(classes, several, ["seed"], F.col("stretch")).groupBy("key", "check").agg(F.collect_list(F.struct("seed", "stretch", "copies", "at", "n", "lead")).alias("seeds"))
 
     # both joins with the texts read one and the same shuffle of them, which needs the same columns in both
     texts = docs.repartition(n, "key", "check")
-    windows = extend(texts.join(members.hint("shuffle_hash"), ["key", "check"]).select("row", "text", "seeds"), window)
-    matched = windows.groupBy("seed", "words").agg(F.min("stretch").alias("a"), F.max("stretch").alias("b"), F.max("copies").alias("c")).where("a != b or c > 1").select("seed", "words").repartition("words")
-    partly = windows.join(matched, ["seed", "words"]).select("seed", "stretch", F.expr("shiftleft(1L, nth)").alias("mask"))
+    windows = stored(extend(texts.join(members.hint("shuffle_hash"), ["key", "check"]).select("row", "text", "seeds"), window), "windows")
+    matched = windows.groupBy("seed", "words").agg(F.min("stretch").alias("a"), F.max("stretch").alias("b"), F.max("copies").alias("c")).where("a != b or c > 1").select("seed", "words")
+    partly = split_join(windows, matched, ["seed", "words"], F.col("stretch")).select("seed", "stretch", F.expr("shiftleft(1L, nth)").alias("mask"))
     wholly = classes.where("copies > 1").select("seed", "stretch", F.expr("shiftleft(1L, n) - 1").alias("mask"))
-    masks = partly.unionAll(wholly).groupBy("seed", "stretch").agg(F.bit_or("mask").alias("mask")).repartition("stretch")
-    repeats = found.join(masks, ["seed", "stretch"]).groupBy("key", "check").agg(F.collect_set(F.struct("at", "mask")).alias("repeats"))
+    masks = stored(partly.unionAll(wholly).groupBy("seed", "stretch").agg(F.bit_or("mask").alias("mask")), "masks")
+    repeats = split_join(found, masks, ["seed", "stretch"], place, classes.select("seed", "stretch", F.col("copies").alias("n")), narrow=True).groupBy("key", "check").agg(F.collect_set(F.struct("at", "mask")).alias("repeats"))
     return cut(texts.join(repeats.hint("shuffle_hash"), ["key", "check"], "left").select("row", "text", "repeats"), window, layout).select("row.*", "n_words", "spans", "n_removed", "kept_text")
 
 

@@ -7,7 +7,7 @@ import pytest
 from brute import near, repeats, roots, shingles
 from pyspark.sql import functions as F
 
-from tallyloom.llm import embedding_dedup, exact_dedup, near_dedup, substrings
+from tallyloom.llm import _shared, _words, embedding_dedup, exact_dedup, near_dedup, substrings
 from tallyloom.llm._components import components
 from tallyloom.llm.embedding_dedup import near_vectors
 
@@ -181,30 +181,75 @@ def test_vectors_like_brute_force(spark):
     assert near_vectors(df.where("vec_id >= 800")).count() == 7 and near_vectors(df.limit(0)).count() == 0
 
 
+def vectors_brute(table, threshold=0.98):
+    """(vec_id, n_links, component_id, kept) by comparing every two rows."""
+    linked, n = [], len(table)
+    for i in range(n):
+        for j in range(i):
+            (_, x, k), (_, y, m) = table[i], table[j]
+            if k == m and len(x) == len(y) and np.dot(x, y) >= threshold * np.linalg.norm(x) * np.linalg.norm(y):
+                linked.append((i, j))
+    root = roots(range(n), linked)
+    least = {}
+    for i, r in root.items():
+        least[r] = min(least.get(r, table[i][0]), table[i][0])
+    count = [sum(i in e for e in linked) for i in range(n)]
+    return sorted(((t[0], count[i], least[root[i]], t[0] == least[root[i]]) for i, t in enumerate(table)), key=str)
+
+
+def test_repeated_ids_lengths_and_text_labels(spark):
+    r = np.random.default_rng(9)
+    table = []
+    for length in (4, 7):
+        for i in range(30):
+            axis = np.zeros(length)
+            axis[i % 3] = 1
+            table.append((i // 2, [float(c) for c in axis + 0.06 * r.standard_normal(length)], "left" if i % 4 else "right"))
+    table += [(99, table[0][1], "left"), (99, table[0][1], "left"), (98, table[40][1], "left")]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>, label string")
+    assert rows(near_vectors(df)) == vectors_brute(table)
+
+
+def test_large_groups_are_counted_without_pairs(spark, monkeypatch):
+    """Groups over CELL nodes: part within half of the angle from the mean, part not, with copies and a second large group."""
+    monkeypatch.setattr(embedding_dedup, "CELL", 40)
+    r = np.random.default_rng(2)
+    table, n = [], 0
+    for axis, spread, size, label in ((0, 0.03, 120, 1), (1, 0.012, 90, 1), (2, 0.05, 20, 2), (0, 0.04, 60, 2)):
+        for _ in range(size):
+            x = 0.0 * np.ones(16)
+            x[axis] = 1
+            x += spread * r.standard_normal(16)
+            table.append((n, [float(c) for c in x], label))
+            n += 1
+    table += [(n + i, table[i * 7][1], table[i * 7][2]) for i in range(25)]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>, label int")
+    assert rows(near_vectors(df)) == vectors_brute(table)
+
+
 def audited(spark, groups, alone=0):
-    """(nodes, links of every pair in a group) of unit vectors: groups are sizes, each member of a group near its own axis."""
+    """(nodes, groups (node, root)) of unit vectors: groups are sizes, each member of a group near its own axis."""
     r = np.random.default_rng(3)
-    rows, links, n = [], [], 0
+    rows, members, n = [], [], 0
     for size in [*groups, *[1] * alone]:
         axis = r.standard_normal(64)
-        rows += [(n + i, 0, [float(c) for c in axis + 0.01 * r.standard_normal(64)]) for i in range(size)]
-        links += [(n + i, n + j) for i in range(size) for j in range(i + 1, size)]
+        rows += [(n + i, "0", [float(c) for c in axis + 0.01 * r.standard_normal(64)]) for i in range(size)]
+        members += [(n + i, n) for i in range(size)] if size > 1 else []
         n += size
-    return spark.createDataFrame(rows, "node long, label int, vector array<double>"), links
+    return spark.createDataFrame(rows, "node long, label string, vector array<double>"), members
 
 
 def test_audit_sees_small_groups_beside_a_large_one(spark):
-    nodes, links = audited(spark, [150, *[2] * 50])
-    linked = lambda x: spark.createDataFrame(x, "a long, b long")
-    large = [x for x in links if x[1] < 150]
-    assert embedding_dedup._audit(linked(links), nodes, 0.98) == (1.0, 250)
-    recall, n = embedding_dedup._audit(linked(large), nodes, 0.98)
+    nodes, members = audited(spark, [150, *[2] * 50])
+    rooted = lambda x: spark.createDataFrame(x, "node long, root long")
+    assert embedding_dedup._audit(rooted(members), nodes, 0.98) == (1.0, 250)
+    recall, n = embedding_dedup._audit(rooted([x for x in members if x[0] < 150]), nodes, 0.98)
     assert n == 250 and abs(recall - 0.6) < 1e-9
 
 
 def test_audit_draws_on_until_nodes_have_links(spark):
-    nodes, links = audited(spark, [2] * 10, alone=980)
-    recall, n = embedding_dedup._audit(spark.createDataFrame([], "a long, b long"), nodes, 0.98)
+    nodes, _ = audited(spark, [2] * 10, alone=980)
+    recall, n = embedding_dedup._audit(spark.createDataFrame([], "node long, root long"), nodes, 0.98)
     assert (recall, n) == (0.0, 20)
 
 
@@ -214,3 +259,67 @@ def test_low_recall_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "ATTEMPTS", 1)
     with pytest.raises(RuntimeError, match="0.5000 over 20"):
         embedding_dedup.near_vectors(nodes.select(F.col("node").alias("vec_id"), F.col("vector").alias("embedding"), "label"))
+
+
+def thue_morse(n):
+    """Two words of n letters that polynomials modulo 2**64 with any odd base cannot tell apart from 1,024 letters on."""
+    a, b = "a", "b"
+    while len(a) < n:
+        a, b = a + b, b + a
+    return a, b
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_patterned_words_are_told_apart(spark, n):
+    a, b = thue_morse(n)
+    around = " ".join(f"w{i}" for i in range(34))
+    docs = [(1, a), (2, b), (3, f"{around} {a}"), (4, f"{around} {b}"), (5, " ".join(a)), (6, " ".join(b))]
+    df = spark.createDataFrame(docs, DOCS)
+    got = substrings.repeated_passages(df).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256))
+    assert rows(got) == sorted(repeats(docs), key=str)
+    assert {r.doc_id: r.n_removed for r in substrings.repeated_passages(df.where("doc_id < 5")).collect()} == {1: 0, 2: 0, 3: 0, 4: 0}
+    for size in (2, 5):
+        assert rows(near_dedup.near_duplicates(df, size)) == sorted(near(docs, size), key=str)
+
+
+def test_hashes_of_words_and_runs():
+    data = b"a b aa ab ba abcdefgh abcdefghabcdefgh abcdefgh\x00 h\xc3\xa9 abcdefghi iabcdefgh"
+    array = np.frombuffer(data, dtype=np.uint8)
+    starts, ends, _ = _words.find(array, np.array([0, len(array)]))
+    one, other = _words.hashes(array, starts, ends), _words.hashes(array, starts, ends, 1)
+    assert len(set(one.tolist())) == len(set(other.tolist())) == len(data.split(b" ")) and not set(one.tolist()) & set(other.tolist())
+    again = np.concatenate([np.frombuffer(b"x ", dtype=np.uint8), array])
+    assert (_words.hashes(again, starts + 2, ends + 2) == one).all()
+    r = np.random.default_rng(0)
+    values = r.integers(0, 2, 400).astype(np.uint64)
+    a = r.integers(0, 300, 3000)
+    b = a + r.integers(1, 90, 3000)
+    same = {}
+    for h, i, j in zip(_words.Runs(values).hash(a, b).tolist(), a, b):
+        assert same.setdefault(h, values[i:j].tolist()) == values[i:j].tolist()
+    assert len(same) == len({tuple(values[i:j].tolist()) for i, j in zip(a, b)})
+
+
+def test_split_join_splits_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(_shared, "PART_ROWS", 10)
+    table = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k int, v string")
+    left = spark.range(200).select(F.when(F.col("id") < 150, 1).otherwise(F.col("id") % 4).cast("int").alias("k"), "id")
+    want = rows(left.join(table, "k"))
+    assert rows(_shared.split_join(left, table, ["k"], F.col("id"))) == want
+    assert rows(_shared.split_join(left, table, ["k"], F.col("id"), left.groupBy("k").agg(F.count("*").alias("n")))) == want
+    assert rows(_shared.split_join(left, table, ["k"], F.col("id"), narrow=True)) == want
+    assert rows(_shared.split_join(left.limit(0), table, ["k"], F.col("id"))) == []
+
+
+def test_exact_rows_come_through_the_index(spark, monkeypatch):
+    """Splitting at every bucket changes nothing; a directory that sends keys to other buckets than the entries' loses rows."""
+    docs = [(i, f"t {i % 40}") for i in range(200)]
+    df = spark.createDataFrame(docs, DOCS)
+    assert rows(exact_dedup.exact_duplicates(df, capacity=1).drop("bucket", "points")) == exact(docs)
+    index, _ = exact_dedup.index_entries(df.select(F.lit(0).alias("page"), F.lit(5).cast("long").alias("hash"), F.expr("cast(text as binary)").alias("digest"), "doc_id", F.lit(1).alias("points"), F.col("doc_id").alias("row")), 4, 6)
+    assert sorted(r.chain for r in index.collect()) == list(range(1, 41)) and index.select("bucket").distinct().count() == 1
+    monkeypatch.setattr(exact_dedup, "index_entries", lambda pages, *a: (lambda i, d: (i.withColumn("bucket", F.col("bucket") + 1), d))(*kept(pages, *a)))
+    assert exact_dedup.exact_duplicates(df, capacity=4).count() == 0
+
+
+kept = exact_dedup.index_entries
