@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._shared import slices, small, stored, text_bytes
+from ._shared import discard, slices, small, split_join, stored, text_bytes
 from ._words import LOWER, U, Runs, find, hashes, mix
 
 #: A pair with similarity 0.8 shares no band with probability (1 - 0.8**5)**32, which is 3 in a million.
@@ -138,10 +138,11 @@ def _compare(docs: DataFrame, pairs: DataFrame, sketches: DataFrame, size: int,
     most = SKETCH / 2 * (1 - (1 - 2 / SKETCH) ** (2 * samples * (1 - least)))
     bits = sum((F.bit_count(F.col("hub_sketch")[i].bitwiseXOR(F.col("sketch")[i])) for i in range(SKETCH // 64)), F.lit(0))
     pairs = pairs.join(sketches, "node").join(sketches.select(F.col("node").alias("hub"), F.col("sketch").alias("hub_sketch")), "hub")
-    pairs = stored(pairs.where(bits <= most).select("hub", "node").distinct(), "pairs")
+    # not made distinct again: that would keep all rows of a hub in the task that joins them
+    pairs = stored(pairs.where(bits <= most).select("hub", "node"), "pairs")
     wanted = stored(pairs.select(F.col("hub").alias("doc_id")).unionAll(pairs.select("node")).distinct(), "wanted")
     texts = stored(docs.join(small(wanted), "doc_id"), "texts")
-    both = pairs.join(texts.select(F.col("doc_id").alias("node"), "text"), "node").join(texts.select(F.col("doc_id").alias("hub"), F.col("text").alias("hub_text")), "hub")
+    both = split_join(pairs, texts.select(F.col("doc_id").alias("hub"), F.col("text").alias("hub_text")), ["hub"], F.col("node")).join(texts.select(F.col("doc_id").alias("node"), "text"), "node")
     return compared(both.select("hub", "node", "hub_text", "text"), size, percent)
 
 
@@ -153,8 +154,8 @@ def _inside(balls: DataFrame, percent: int) -> DataFrame:
     both numbers of differences: nodes are put into classes by theirs, and each asks for partners of each class by as few differences as that class allows.
     """
     k = (100 - percent) / (100 + percent)
-    away = stored(balls.where("not linked").select("hub").distinct(), "hubs")
-    balls = stored(balls.join(away, "hub").withColumn("n", F.size("apart")), "balls")
+    away = stored(balls.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.bool_and("linked").alias("all")).where("not all"), "hubs")
+    balls = stored(split_join(balls, away.select("hub"), ["hub"], F.col("node"), away, narrow=True).withColumn("n", F.size("apart")), "balls")
     top = balls.agg(F.max("n")).first()[0] or 0
     lows = sorted({math.ceil(2 ** (i / 4)) - 1 for i in range(4 * top.bit_length() + 5)})
     classes = [F.struct(F.lit(i).alias("i"), F.lit(low).alias("low"), F.lit(high - 1).alias("high")) for i, (low, high) in enumerate(zip(lows, lows[1:]))]
