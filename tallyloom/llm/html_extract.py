@@ -33,6 +33,9 @@ UNWANTED = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|banners?|breadcrumbs?|combx|comments?|commentlist|community|consent|cookies?|disqus|disclaimer|footers?|gdpr|headers?|hidden|legal|login|masthead|menus?|modal|nav|navbar|navigation|newsletter|notices?|pager|pagination|popups?|promos?|promoted|promotion|recommended|related|replies|reply|respond|sharing|share|shoutbox|sidebars?|signup|site-?header|social|sponsors?|sponsored|subscribe|subscription|tags|teaser|toc|toolbar|widgets?)(?:$|[\s_-])|comment-?list|side-?bar|cookie|advert",
     re.I,
 )
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+>?", re.I) for tag in RAW}
+#: A block gives points to so many of the elements that it lies in.
+LEVELS = 8
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
 
 
@@ -64,52 +67,78 @@ def _unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
     return False
 
 
+class _Open:
+    """The open elements, innermost last, with the places of each tag's: every question about them takes one step, however deep a page is."""
+
+    def __init__(self, root: _Node):
+        self.stack, self.places, self.blocks = [root], {}, []
+
+    def last(self, *tags: str) -> int:
+        """The place of the innermost open element with one of the tags, 0 if there is none."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+
+    def block(self) -> int:
+        """The place of the innermost open block element, 0 if there is none."""
+        return self.blocks[-1] if self.blocks else 0
+
+    def push(self, node: _Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.stack))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, to: int) -> None:
+        """Closes the elements from place ``to`` on."""
+        while len(self.stack) > to:
+            self.places[self.stack.pop().tag].pop()
+        while self.blocks and self.blocks[-1] >= to:
+            self.blocks.pop()
+
+
 def _parse(page: str) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
     """The elements in page order, and the blocks (innermost block element, text, characters of it inside links)."""
     root = _Node("", None, False, 0)
-    nodes, stack, blocks = [root], [root], []
+    nodes, blocks, opened = [root], [], _Open(root)
     parts: list[tuple[str, bool]] = []
-    links, at = 0, 0
-
-    def owner() -> _Node:
-        return next(n for n in reversed(stack) if n.tag in BLOCK or n.parent is None)
+    at = 0
 
     def close() -> None:
         nonlocal parts
         if parts:
             text = " ".join("".join(t for t, _ in parts).split())
             if text:
-                blocks.append((owner(), text, sum(len(t) for t, linked in parts if linked)))
+                blocks.append((opened.stack[opened.block()], text, sum(len(t) for t, linked in parts if linked)))
             parts = []
 
     def pop(to: int) -> None:
-        nonlocal links
-        if any(n.tag in BLOCK for n in stack[to:]):
+        if opened.block() >= to:
             close()
-        links -= sum(n.tag == "a" for n in stack[to:])
-        del stack[to:]
+        opened.cut(to)
 
     def add(text: str) -> None:
-        if text and not stack[-1].dropped:
-            parts.append((html.unescape(text), links > 0))
+        if text and not opened.stack[-1].dropped:
+            parts.append((html.unescape(text), opened.last("a") > 0))
 
-    for m in iter(lambda: _TOKEN.search(page, at), None):
+    last = page.rfind(">") + 1  # no markup ends after it, so none is looked for there
+    for m in iter(lambda: _TOKEN.search(page, at, last), None):
         add(page[at : m.start()])
         at = m.end()
         if m[2] is None:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                at = len(page)
             continue
-        tag, top = m[2].lower(), stack[-1]
+        tag = m[2].lower()
         if m[1]:
-            if tag == "p" and not any(n.tag == "p" for n in stack):
+            if tag == "p" and not opened.last("p"):
                 close()
-            found = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            found = opened.last(tag)
             # an inline end tag doesn't reach out of the block element that it stands in
-            if found and (tag in BLOCK or not any(n.tag in BLOCK for n in stack[found:])):
+            if found and (tag in BLOCK or opened.block() < found):
                 pop(found)
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?|\Z", re.I).search(page, at)
-            at = end.end()
+            end = _RAW_END[tag].search(page, at)
+            at = end.end() if end else len(page)
             continue
         if tag in VOID:
             if tag == "br":
@@ -117,48 +146,48 @@ def _parse(page: str) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
             elif tag in BLOCK:
                 close()
             continue
-        if tag in ("html", "body") and any(n.tag == tag for n in stack):
+        if tag in ("html", "body") and opened.last(tag):
             continue
         if tag in BLOCK:
-            open_p = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)
-            if open_p and not any(n.tag in ("table", "button", "object") for n in stack[open_p:]):
+            open_p = opened.last("p")
+            if open_p and opened.last("table", "button", "object") < open_p:
                 pop(open_p)
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in CLOSES.get(tag, ()):
-                    pop(i)
-                    break
-                if stack[i].tag in SCOPE:
-                    break
-            if any(n.tag == "head" for n in stack) and tag != "head":  # a head that was never closed
-                pop(next(i for i, n in enumerate(stack) if n.tag == "head"))
+            ends = opened.last(*CLOSES.get(tag, ()))
+            if ends and ends >= opened.last(*SCOPE):
+                pop(ends)
+            if tag != "head" and opened.last("head"):  # a head that was never closed
+                pop(opened.places["head"][0])
             close()
-            top = stack[-1]
-        dropped = top.dropped or _unwanted(tag, m[3], any(n.tag in ("article", "main") for n in stack))
+        top = opened.stack[-1]
+        dropped = top.dropped or _unwanted(tag, m[3], opened.last("article", "main") > 0)
         node = _Node(tag, top, dropped, len(nodes))
         nodes.append(node)
         if not m[3].rstrip().endswith("/") or tag in BLOCK or tag == "a":
-            stack.append(node)
-            links += tag == "a"
-    add(page[at:])
+            opened.push(node)
+    add(page[at:].split("<!--", 1)[0])
     close()
     return nodes, blocks
 
 
 def main_text(page: str | None) -> str:
-    """The blocks of a page's article, one a line; empty without any."""
+    """The blocks of a page's article, one a line; empty without any.
+
+    The best container and those of its siblings that score or read like it are kept. Where the container lies in an article or main element, that element is the
+    container: its author has named the article's bounds, and paragraphs in sections of their own lie at several depths in it. Takes time in proportion to the page.
+    """
     nodes, blocks = _parse(page or "")
     for node, text, linked in blocks:
         points = 1 + text.count(",") + min(len(text) / 100, 3.0)
         points *= 1 - min(1.0, linked / len(text))
         container, share = (node.parent or node) if node.tag in TEXTUAL else node, 1.0
         depth, up = 0, container
-        while up is not None:
+        while up is not None and depth < LEVELS:
             up.score += points * share
             depth, up = depth + 1, up.parent
             share = 0.5 if depth == 1 else 1 / (3 * depth)
-        up = node
-        while up is not None:
-            up.text, up.linked, up = up.text + len(text), up.linked + linked, up.parent
+        node.text, node.linked = node.text + len(text), node.linked + linked
+    for n in reversed(nodes[1:]):  # what is inside an element comes after it
+        n.parent.text, n.parent.linked = n.parent.text + n.text, n.parent.linked + n.linked
     for n in nodes:
         n.score *= (1 - n.linked / n.text if n.text else 0) * (1.5 if n.tag in ("article", "main") else 1)
     best = max(nodes, key=lambda n: (n.score, n.order))
@@ -167,21 +196,17 @@ def main_text(page: str | None) -> str:
     around = best
     while around is not None and around.tag not in ("article", "main"):
         around = around.parent
-    kept = {id(around or best)}
+    kept = {(around or best).order}
     if around is None and best.parent is not None:
         for n in nodes:
             if n.parent is best.parent and n is not best and n.text:
                 density = n.linked / n.text
                 if n.score >= max(10, 0.2 * best.score) or (n.tag in TEXTUAL and (density < 0.25 and n.text > 80 or density == 0)):
-                    kept.add(id(n))
-    out = []
-    for node, text, _ in blocks:
-        up = node
-        while up is not None and id(up) not in kept:
-            up = up.parent
-        if up is not None:
-            out.append(text)
-    return "\n".join(out)
+                    kept.add(n.order)
+    inside = []
+    for n in nodes:
+        inside.append(n.order in kept or n.parent is not None and inside[n.parent.order])
+    return "\n".join(text for node, text, _ in blocks if inside[node.order])
 
 
 def extract(pages: DataFrame, page: str = "html") -> DataFrame:
