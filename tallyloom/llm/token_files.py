@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from ._shared import shared_dir, slices
 from ._tokens import encoder
 
-#: Documents whose ids may train the dictionary, the longest text among them in characters, and the size of the dictionary:
-#: with the smallest hashes of their ids, so that a rerun takes the same ones.
+#: Documents whose ids may train the dictionary, the longest text among them in characters, and the size of the dictionary: those
+#: with the smallest hashes of their ids among documents that are not longer, so that a rerun takes the same ones.
 TRAINING_DOCUMENTS = 1024
 TRAINING_CHARACTERS = 20_000
 DICTIONARY_BYTES = 64 << 10
@@ -46,9 +46,10 @@ def _ids(path: str, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int) -> bytes:
     """A zstandard dictionary trained on the serialized ids of a bounded sample; without 8 samples or enough data, b""."""
-    chosen = docs.select("doc_id").where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_DOCUMENTS)
-    chosen = [r[0] for r in chosen.collect()]
-    sample = docs.where(F.col("doc_id").isin(chosen) & (F.length("text") <= TRAINING_CHARACTERS)).select("text")
+    usable = docs.where(F.col("doc_id").isNotNull() & (F.length("text") <= TRAINING_CHARACTERS)).select("doc_id", "text")
+    # one text for each id, as ids may repeat without bound
+    chosen = [r[0] for r in usable.groupBy("doc_id").agg(F.first(F.lit(1))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_DOCUMENTS).select("doc_id").collect()]
+    sample = usable.where(F.col("doc_id").isin(chosen)).groupBy("doc_id").agg(F.min("text").alias("text")).select("text")
 
     def serialize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, parts in _ids(tokenizer, end_id, batches):
@@ -103,7 +104,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, partitions: i
         if rows:
             yield close()
 
-    sorted_docs = docs.select("doc_id", "text").repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    # rows that share an id, or have none, are dealt out by number, so that no file need hold them all
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
+    sorted_docs = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("tie")).repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
     # frames are compressed already; row groups of a few blocks let a reader fetch the one with its document
     blocks = sorted_docs.mapInArrow(compress, BLOCKS)
     blocks.write.option("compression", "none").option("parquet.block.size", 8 << 20).parquet(f"{path}/blocks")
