@@ -15,13 +15,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import slices, text_bytes
+from ._shared import discard, slices, stored, text_bytes
 from ._words import LOWER, U, find, hashes
 
 PASSAGE = 64
 #: Hashed-word features; width of the encoding and of the attention.
 WORDS, HIDDEN, GATE = 64, 24, 12
-#: Labelled documents of each class that the model is fitted on at most, those with the smallest hashes of their ids, and their longest text.
+#: Labelled documents of each class that the model is fitted on at most, and their longest text: those with the smallest hashes of their ids among the ones that are not longer.
 TRAINING_DOCUMENTS = 1500
 TRAINING_CHARACTERS = 50_000
 STEPS, RATE, DECAY = 300, 0.02, 1e-4
@@ -82,9 +82,11 @@ class Model:
 
     LEARNED = ("encode", "bias", "tanh", "gate", "attend", "out", "out_bias")
 
+    def normal(self, x: np.ndarray) -> np.ndarray:
+        return (x - self.mean) / self.scale
+
     def forward(self, x: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
-        """Scores of bags x[bounds[i] : bounds[i + 1]], and what the gradient needs."""
-        x = (x - self.mean) / self.scale
+        """Scores of bags x[bounds[i] : bounds[i + 1]] of normal() passages, and what the gradient needs."""
         h = np.tanh(x @ self.encode + self.bias)
         t, g = np.tanh(h @ self.tanh), 1 / (1 + np.exp(-(h @ self.gate)))
         e = (t * g) @ self.attend
@@ -93,32 +95,41 @@ class Model:
         a = e / np.add.reduceat(e, bounds[:-1])[bag]
         z = np.add.reduceat(a[:, None] * h, bounds[:-1], axis=0)
         score = 1 / (1 + np.exp(-np.clip(z @ self.out + self.out_bias, -40, 40)))
-        return {"x": x, "h": h, "t": t, "g": g, "a": a, "z": z, "bag": bag, "score": score}
+        return {"h": h, "t": t, "g": g, "a": a, "z": z, "bag": bag, "score": score}
 
+    def gradient(self, x: np.ndarray, bounds: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the cross-entropy of bags of normal() passages with labels y, each times its weight, by each learned array."""
+        f = self.forward(x, bounds)
+        h, t, g, a, bag = (f[k] for k in ("h", "t", "g", "a", "bag"))
+        d = weight * (f["score"] - y)
+        dz = d[:, None] * self.out
+        da = np.einsum("ij,ij->i", dz[bag], h)
+        de = a * (da - np.add.reduceat(a * da, bounds[:-1])[bag])
+        dt, dg = de[:, None] * self.attend * g * (1 - t * t), de[:, None] * self.attend * t * g * (1 - g)
+        dh = (a[:, None] * dz[bag] + dt @ self.tanh.T + dg @ self.gate.T) * (1 - h * h)
+        return {"out": f["z"].T @ d, "out_bias": np.array([d.sum()]), "attend": (t * g).T @ de, "tanh": h.T @ dt, "gate": h.T @ dg, "encode": x.T @ dh, "bias": dh.sum(axis=0)}
 
-def fit(x: np.ndarray, bounds: np.ndarray, y: np.ndarray) -> Model:
-    """A model for bags with labels 0 or 1, by Adam on the mean cross-entropy with both classes weighing the same."""
+
+def started(mean: np.ndarray, scale: np.ndarray, kind: type = np.float32) -> Model:
+    """A model before its first step."""
     r = np.random.default_rng(8)
-    draw = lambda *shape: r.standard_normal(shape) / np.sqrt(shape[0])
-    m = Model(x.mean(axis=0), x.std(axis=0) + 1e-3, draw(FEATURES, HIDDEN), np.zeros(HIDDEN), draw(HIDDEN, GATE), draw(HIDDEN, GATE), draw(GATE), draw(HIDDEN), np.zeros(1))
-    weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
+    draw = lambda *shape: (r.standard_normal(shape) / np.sqrt(shape[0])).astype(kind)
+    return Model(mean, scale, draw(FEATURES, HIDDEN), np.zeros(HIDDEN, kind), draw(HIDDEN, GATE), draw(HIDDEN, GATE), draw(GATE), draw(HIDDEN), np.zeros(1, kind))
+
+
+def fit(x: np.ndarray, bounds: np.ndarray, y: np.ndarray) -> Model:
+    """A model for bags with labels 0 or 1, by Adam on the mean cross-entropy with both classes weighing the same; all in single precision."""
+    m = started(x.mean(axis=0, dtype=np.float64).astype(np.float32), (x.std(axis=0, dtype=np.float64) + 1e-3).astype(np.float32))
+    x = m.normal(x)
+    weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())).astype(np.float32)
     first, second = ({k: np.zeros_like(getattr(m, k)) for k in Model.LEARNED} for _ in range(2))
     for step in range(1, STEPS + 1):
-        f = m.forward(x, bounds)
-        x_, h, t, g, a, bag = (f[k] for k in ("x", "h", "t", "g", "a", "bag"))
-        d = weight * (f["score"] - y)
-        dz = d[:, None] * m.out
-        da = np.einsum("ij,ij->i", dz[bag], h)
-        de = a * (da - np.add.reduceat(a * da, bounds[:-1])[bag])
-        dt, dg = de[:, None] * m.attend * g * (1 - t * t), de[:, None] * m.attend * t * g * (1 - g)
-        dh = (a[:, None] * dz[bag] + dt @ m.tanh.T + dg @ m.gate.T) * (1 - h * h)
-        grad = {"out": f["z"].T @ d, "out_bias": np.array([d.sum()]), "attend": (t * g).T @ de, "tanh": h.T @ dt, "gate": h.T @ dg, "encode": x_.T @ dh, "bias": dh.sum(axis=0)}
-        for k, v in grad.items():
+        for k, v in m.gradient(x, bounds, y, weight).items():
             p = getattr(m, k)
-            v = v + DECAY * p
-            first[k] = 0.9 * first[k] + 0.1 * v
-            second[k] = 0.999 * second[k] + 0.001 * v * v
-            p -= RATE * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+            v = v + np.float32(DECAY) * p
+            first[k] = np.float32(0.9) * first[k] + np.float32(0.1) * v
+            second[k] = np.float32(0.999) * second[k] + np.float32(0.001) * v * v
+            p -= np.float32(RATE) * (first[k] / np.float32(1 - 0.9**step)) / (np.sqrt(second[k] / np.float32(1 - 0.999**step)) + np.float32(1e-8))
     return m
 
 
@@ -132,12 +143,15 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """A model fitted on labelled documents (labels: doc_id, quality) that are not held out; None without documents of both classes."""
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "quality").groupBy("doc_id").agg(F.min("quality").alias("a"), F.max("quality").alias("quality")).where("a = quality")
     order = F.xxhash64("doc_id", F.lit(8))
-    # at most 2 * TRAINING_DOCUMENTS ids and their passages come to the driver
-    chosen = {r[0]: r[1] for c in (0, 1) for r in usable.where(F.col("quality") == c).orderBy(order, "doc_id").limit(TRAINING_DOCUMENTS).select("doc_id", "quality").collect()}
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(F.length("text") <= TRAINING_CHARACTERS)
+    usable = stored(texts.select("doc_id").join(usable.select("doc_id", F.col("quality").cast("int").alias("quality")), "doc_id").distinct(), "labelled")
+    # at most 2 * TRAINING_DOCUMENTS ids and their passages come to the driver: one text for each id, as ids may repeat without bound
+    chosen = {r[0]: r[1] for c in (0, 1) for r in usable.where(F.col("quality") == c).orderBy(order, "doc_id").limit(TRAINING_DOCUMENTS).collect()}
+    discard(usable)
     if len(set(chosen.values())) < 2:
         return None
     ids = F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in chosen], "doc_id bigint"))
-    sample = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(F.length("text") <= TRAINING_CHARACTERS).join(ids, "doc_id")
+    sample = texts.join(ids, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -147,8 +161,15 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     rows = sorted((r[0], bytes(r[1])) for r in sample.mapInArrow(encode, "doc_id bigint, x binary").collect())
     if len({chosen[k] for k, _ in rows}) < 2:
         return None
-    bags = [np.frombuffer(v, dtype="<f4").reshape(-1, FEATURES).astype(np.float64) for _, v in rows]
-    return fit(np.concatenate(bags), np.concatenate([[0], np.cumsum([len(b) for b in bags])]), np.array([chosen[k] for k, _ in rows], dtype=np.float64))
+    y = np.array([chosen[k] for k, _ in rows], dtype=np.float32)
+    lengths = [len(v) // (4 * FEATURES) for _, v in rows]
+    x = np.frombuffer(b"".join(v for _, v in rows), dtype="<f4").reshape(-1, FEATURES)
+    return fit(x, np.concatenate([[0], np.cumsum(lengths)]), y)
+
+
+def _scores(model: Model, column: pa.Array) -> np.ndarray:
+    x, bounds = passages(column)
+    return model.forward(model.normal(x), bounds)["score"].astype(np.float64)
 
 
 def score(docs: DataFrame, model: Model | None, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -164,7 +185,7 @@ def score(docs: DataFrame, model: Model | None, carry: Sequence[str] = ("doc_id"
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(model.forward(*passages(batch.column("text")))["score"])], names=["row", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(_scores(model, batch.column("text")))], names=["row", "score"])
 
     kind = rows.schema["row"].dataType.simpleString()
     return rows.mapInArrow(each, f"row {kind}, score double").select("row.*", "score")

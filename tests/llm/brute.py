@@ -67,3 +67,100 @@ def near(docs, size=2, percent=80):
         links += [(a, b) for b, n in common.items() if 100 * n >= percent * (len(s) + len(sets[b]) - n)]
     root = roots(sets, links)
     return [(d, len(s), root[d], root[d] == d) for d, s in sets.items()]
+
+
+def article(page, levels=8):
+    """Main text of a well-formed page of div, section, article, ul, li, p, a and nav, scored element by element from the definition."""
+    from html.parser import HTMLParser
+
+    class Node:
+        def __init__(self, tag, up):
+            self.tag, self.up, self.inside = tag, up, []
+
+        def above(self):
+            return [] if self.up is None else [self.up, *self.up.above()]
+
+    class Tree(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.root = self.at = Node("", None)
+            self.all, self.blocks, self.parts = [self.root], [], []
+
+        def end_block(self):
+            text = " ".join("".join(t for t, _ in self.parts).split())
+            if text:
+                node = next(n for n in [self.at, *self.at.above()] if n.tag != "a")
+                self.blocks.append((node, text, sum(len(t) for t, linked in self.parts if linked)))
+            self.parts = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag != "a":
+                self.end_block()
+            self.at = Node(tag, self.at)
+            self.all.append(self.at)
+
+        def handle_endtag(self, tag):
+            if tag != "a":
+                self.end_block()
+            self.at = self.at.up
+
+        def handle_data(self, text):
+            tags = [n.tag for n in [self.at, *self.at.above()]]
+            if "nav" not in tags:
+                self.parts.append((text, "a" in tags))
+
+    tree = Tree()
+    tree.feed(page)
+    tree.end_block()
+    textual = {"p", "li"}
+
+    def inside(node, other):
+        return other is node or other in node.above()
+
+    def density(n):
+        mine = [(len(t), k) for b, t, k in tree.blocks if inside(b, n)]
+        total = sum(t for t, _ in mine)
+        return (sum(k for _, k in mine) / total, total) if total else (1, 0)
+
+    def score(n):
+        out = 0.0
+        for b, text, linked in tree.blocks:
+            points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - min(1, linked / len(text)))
+            home = b.up if b.tag in textual else b
+            chain = [home, *home.above()][:levels]
+            if n in chain:
+                at = chain.index(n)
+                out += points * (1 if at == 0 else 0.5 if at == 1 else 1 / (3 * at))
+        d, total = density(n)
+        return out * ((1 - d) if total else 0) * (1.5 if n.tag == "article" else 1)
+
+    scores = {id(n): score(n) for n in tree.all}
+    best = max(range(len(tree.all)), key=lambda i: (scores[id(tree.all[i])], i))
+    best = tree.all[best]
+    if not tree.blocks or scores[id(best)] <= 0:
+        return ""
+    around = next((n for n in [best, *best.above()] if n.tag == "article"), None)
+    keep = [around or best]
+    if around is None and best.up is not None:
+        for n in tree.all:
+            if n.up is best.up and n is not best and density(n)[1]:
+                d, total = density(n)
+                if scores[id(n)] >= max(10, 0.2 * scores[id(best)]) or (n.tag in textual and (d < 0.25 and total > 80 or d == 0)):
+                    keep.append(n)
+    return "\n".join(t for b, t, _ in tree.blocks if any(inside(b, k) for k in keep))
+
+
+def attention_score(model, passages):
+    """The score of one bag, passage by passage."""
+    import math
+
+    encoded, weights = [], []
+    for x in passages:
+        x = [(v - m) / s for v, m, s in zip(x, model.mean, model.scale)]
+        h = [math.tanh(sum(v * w for v, w in zip(x, column)) + b) for column, b in zip(model.encode.T, model.bias)]
+        t = [math.tanh(sum(v * w for v, w in zip(h, column))) for column in model.tanh.T]
+        g = [1 / (1 + math.exp(-sum(v * w for v, w in zip(h, column)))) for column in model.gate.T]
+        encoded.append(h)
+        weights.append(math.exp(sum(a * b * c for a, b, c in zip(t, g, model.attend))))
+    mean = [sum(w * h[i] for w, h in zip(weights, encoded)) / sum(weights) for i in range(len(encoded[0]))]
+    return 1 / (1 + math.exp(-(sum(m * o for m, o in zip(mean, model.out)) + model.out_bias[0])))

@@ -1,10 +1,12 @@
 import random
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
-from brute import WORD, byte_ids, crc
+from brute import WORD, article, attention_score, byte_ids, crc
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -234,11 +236,120 @@ def test_no_labels_keep_everything(spark):
     assert quality.score(docs, None).first().score == 1
 
 
-def test_gradient_of_the_model():
+def test_scores_like_passage_by_passage():
+    rows = labelled(30)
+    texts = pa.array([t for _, t, _ in rows] + ["", None, "one"])
+    x, bounds = quality.passages(texts)
+    y = np.array([q for *_, q in rows] + [0, 0, 1], dtype=np.float32)
+    m = quality.fit(x, bounds, y)
+    got = quality._scores(m, texts)
+    want = [attention_score(m, x[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+    assert np.allclose(got, want, atol=1e-5) and ((got >= 0.5) == (y > 0.5)).mean() > 0.9
+    assert np.allclose(np.add.reduceat(m.forward(m.normal(x), bounds)["a"], bounds[:-1]), 1, atol=1e-5)
+
+
+def test_gradient_like_finite_differences():
     r = np.random.default_rng(1)
-    bounds = np.array([0, 2, 3, 6])
-    x = r.random((6, quality.FEATURES))
-    m = quality.fit(x, bounds, np.array([1.0, 0.0, 1.0]))
-    assert (m.forward(x, bounds)["score"] >= 0.5).tolist() == [True, False, True]
-    a = m.forward(x, bounds)["a"]
-    assert np.allclose(np.add.reduceat(a, bounds[:-1]), 1)
+    bounds, y, weight = np.array([0, 2, 3, 6]), np.array([1.0, 0.0, 1.0]), np.array([0.2, 0.5, 0.3])
+    x = r.standard_normal((6, quality.FEATURES))
+    m = quality.started(np.zeros(quality.FEATURES), np.ones(quality.FEATURES), np.float64)
+
+    def loss():
+        s = m.forward(x, bounds)["score"]
+        return -(weight * (y * np.log(s) + (1 - y) * np.log(1 - s))).sum()
+
+    grad = m.gradient(x, bounds, y, weight)
+    assert set(grad) == set(quality.Model.LEARNED)
+    for name, g in grad.items():
+        p = getattr(m, name)
+        for at in [tuple(r.integers(0, n) for n in p.shape) for _ in range(12)]:
+            was, step = p[at], 1e-6
+            p[at] = was + step
+            above = loss()
+            p[at] = was - step
+            below = loss()
+            p[at] = was
+            assert abs((above - below) / (2 * step) - g[at]) < 1e-7 + 1e-4 * abs(g[at]), name
+
+
+def test_training_rows_are_bounded_and_long_texts_make_room(spark, monkeypatch):
+    """Repeated ids give one row each, and documents over the length bound do not count towards the number chosen."""
+    monkeypatch.setattr(quality, "TRAINING_DOCUMENTS", 20)
+    monkeypatch.setattr(quality, "TRAINING_CHARACTERS", 2000)
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, bounds, y: seen.append((len(bounds) - 1, y.sum())))
+    rows = labelled(200)
+    docs = [(d, t if d % 5 else t + " long" * 500) for d, t, _ in rows] * 3
+    quality.train(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(d, q) for d, _, q in rows], "doc_id long, quality int"))
+    assert seen == [(40, 20)]
+
+
+def test_very_long_text_is_scored_whole(spark):
+    rows = labelled()
+    model = quality.train(spark.createDataFrame([(d, t) for d, t, _ in rows], DOCS), spark.createDataFrame([(d, q) for d, _, q in rows], "doc_id long, quality int"))
+    good, bad = next(t for _, t, q in rows if q), "SPAM!! " * 300_000
+    got = [r.score for r in quality.score(spark.createDataFrame([(1, good), (2, bad), (3, good + " " + bad)], DOCS), model).orderBy("doc_id").collect()]
+    assert got[0] > 0.5 > got[1] and got[2] < got[0]
+
+
+def test_nested_pages_take_time_in_proportion():
+    began = time.perf_counter()
+    assert main_text("<div><span>" * 8000 + "words, and more, of them") == "words, and more, of them"
+    for page in ("<p>" * 20000, "<a>" * 20000 + "x", "<li>" * 20000, "<td><a>x" * 10000, "<b " * 20000, "<table>" * 10000 + "<p>" * 10000, "<div>" * 20000 + "</div>" * 20000, "<!--" * 20000):
+        main_text(page)
+    assert time.perf_counter() - began < 5
+
+
+def test_pages_like_scoring_by_definition():
+    r = random.Random(5)
+
+    def piece(depth):
+        words = " ".join(r.choice(["some", "words,", "here", "and", "there"]) for _ in range(r.choice([1, 4, 30, 90])))
+        kind = r.choice(["p", "p", "li", "a", "text", "div", "div", "section", "article", "nav", "ul"]) if depth else r.choice(["p", "text", "a"])
+        if kind == "text":
+            return words
+        if kind == "a":
+            return f"<a>{words}</a>"
+        if kind in ("p", "li"):
+            inner = words + (f" <a>{words[:9]}</a> tail" if r.random() < 0.3 else "")
+            return f"<ul><li>{inner}</li></ul>" if kind == "li" else f"<p>{inner}</p>"
+        return f"<{kind}>" + "".join(piece(depth - 1) for _ in range(r.randrange(1, 5))) + f"</{kind}>"
+
+    for _ in range(300):
+        page = "".join(piece(4) for _ in range(3))
+        assert main_text(page) == article(page), page
+
+
+def test_token_files_of_repeated_and_long_documents(spark, library, tmp_path, monkeypatch):
+    """Rows that share an id, or have none, are spread over files; a document over a slice and a block keeps its place."""
+    monkeypatch.setattr(token_files, "TRAINING_DOCUMENTS", 30)
+    long = "lorem ipsum, dolor sit amet " * 80_000
+    docs = [(None, f"no id {i}") for i in range(60)] + [(7, f"seven {i % 3}") for i in range(60)] + [(i, f"text {i} of them") for i in range(40)] + [(500, long), (501, None), (501, None)]
+    df = spark.createDataFrame([(d, t, 1) for d, t in docs], DOCS + ", tie int").repartition(6)
+    token_files.write(df, f"{tmp_path}/r", BYTES, 2, partitions=4)
+    got = token_files.read(spark, f"{tmp_path}/r").select("doc_id", "start", "n_tokens", F.crc32("ids").alias("crc")).collect()
+    assert sorted((str(r.doc_id), r.n_tokens, r.crc) for r in got) == sorted((str(d), len(i), crc(i)) for d, i in ((d, byte_ids(library, t)) for d, t in docs))
+    ordered, at = sorted(got, key=lambda r: r.start), 0
+    for r in ordered:
+        assert r.start == at
+        at += r.n_tokens
+    keys = [-1 if r.doc_id is None else r.doc_id for r in ordered]
+    assert keys == sorted(keys)
+    assert token_files.index(spark, f"{tmp_path}/r").where("doc_id is null").select("part").distinct().count() > 1
+
+
+def test_pack_a_very_long_document(spark, library):
+    text = "alpha beta, gamma " * 90_000
+    got = sorted((r.piece, r.start, r.length, bytes(r.ids)) for r in packing.pack(spark.createDataFrame([(1, text), (2, "x")], DOCS), BYTES).where("doc_id = 1").collect())
+    assert b"".join(p[3] for p in got) == np.array(byte_ids(library, text), "<u4").tobytes()
+    assert all(n == 1024 for _, _, n, _ in got[1:]) and [p[0] for p in got] == list(range(len(got)))
+
+
+def test_bpe_and_counts_of_odd_tables(spark):
+    docs = [(1, "Hello, World"), (1, "Hello, World"), (None, "x " * 300_000), (2, "")]
+    df = spark.createDataFrame([(d, t, 1, 2, 3) for d, t in docs], DOCS + ", ids int, n_tokens int, decoded int").repartition(2)
+    got = bpe.encode_and_decode(df, WORDS).collect()
+    assert sorted((str(r.doc_id), len(r.ids)) for r in got) == [("1", 3), ("1", 3), ("2", 0), ("None", 300_000)]
+    assert bpe.encode_and_decode(df.limit(0), WORDS).count() == 0
+    counted = sorted((str(r[0]), r[1]) for r in token_counts.token_counts(df, PIECES).collect())
+    assert [x for x, _ in counted] == ["1", "1", "2", "None"] and counted[0] == counted[1] and counted[3][1] == 300_000
