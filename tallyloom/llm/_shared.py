@@ -70,7 +70,8 @@ def split_join(rows: DataFrame, table: DataFrame, on: list[str], spread: Column,
         return rows.join(table, on)
     hot = F.broadcast(rows.sparkSession.createDataFrame(hot, counted.schema))
     rows = rows.join(hot, on, "left").withColumn("part", F.pmod(F.xxhash64(spread), F.coalesce("parts", F.lit(1)))).drop("parts")
-    table = table.join(hot, on, "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1)).cast("bigint") - 1))).drop("parts")
+    cold = table.join(hot, on, "left_anti").withColumn("part", F.lit(0).cast("bigint"))
+    table = cold.unionByName(table.join(hot, on).withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts").cast("bigint") - 1))).drop("parts"))
     return rows.join(table, [*on, "part"]).drop("part")
 
 
