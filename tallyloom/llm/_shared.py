@@ -19,6 +19,8 @@ SLICE_BYTES = 1 << 20
 BROADCAST_ROWS = 500_000
 #: Parts of a table that one key may fill before it is split, and rows that are worth a part of their own.
 PARTS, PART_ROWS = 1000, 512
+#: Tables that stored() has written and discard() has not deleted.
+_made: list[DataFrame] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,14 +45,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table.stored_at = path
+    _made.append(table)
     return table
 
 
+def made() -> int:
+    """How many tables there are now; sweep() takes it."""
+    return len(_made)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables that stored() returned, once nothing that is still to be computed reads them."""
     for table in tables:
         path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_at)
         path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        _made[:] = [t for t in _made if t is not table]
+
+
+def sweep(since: int, *keep: DataFrame) -> None:
+    """Deletes all tables stored since made() was ``since`` but those in keep, which what is returned still reads."""
+    discard(*[t for t in _made[since:] if not any(t is k for k in keep)])
 
 
 def split_join(rows: DataFrame, table: DataFrame, on: list[str], spread: Column, counted: DataFrame | None = None, narrow: bool = False) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._shared import discard, split_join, stored
+from ._shared import discard, made, split_join, stored, sweep
 
 #: Nodes that a block has on average, neighbours in a list, in an enlarged one, those looked up backward, trees of a first graph.
 BLOCK, LIST, LONG, BACK, TREES = 256, 5, 10, 3, 3
@@ -309,6 +309,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     with a null label or vec_id (whose component_id is null and which is kept). n_links: other rows linked directly, repeated rows included; rows that share a
     vec_id count each for itself. component_id: the smallest vec_id that links reach, the row's own included. An empty table gives no rows. RuntimeError: too few of the audited links were found.
     """
+    since = made()
     kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("vector"), F.col("label").cast("string").alias("label"))
     fine = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0)
@@ -324,8 +325,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     every, graph, old, tree, n = None, None, None, 0, 0
     for _ in range(ATTEMPTS):
         for tree in range(tree, tree + TREES):
-            made = _blocks(nodes.select("node", "label", "vector"), tree)
-            graph = stored(_lists(made if graph is None else graph.unionAll(made), threshold), "lists")
+            inside = _blocks(nodes.select("node", "label", "vector"), tree)
+            graph = stored(_lists(inside if graph is None else graph.unionAll(inside), threshold), "lists")
         tree += 1
         for _ in range(ROUNDS):
             found = _descend(graph, nodes, old, threshold)
@@ -350,6 +351,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     single = summary.where("root is null").withColumn("component_id", F.col("least"))
     found = linked.select(single.columns).unionAll(single).select("label", "vector", "n_links", "component_id")
     found = split_join(good, found, ["label", "vector"], F.col("vec_id"), summary.select("label", "vector", F.col("copies").alias("n")))
+    sweep(since, summary, named)
     return alone.unionAll(found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept")))
 
 

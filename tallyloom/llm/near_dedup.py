@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._shared import discard, slices, small, split_join, stored, text_bytes
+from ._shared import made, slices, small, split_join, stored, sweep, text_bytes
 from ._words import LOWER, U, Runs, find, hashes, mix
 
 #: A pair with similarity 0.8 shares no band with probability (1 - 0.8**5)**32, which is 3 in a million.
@@ -219,6 +219,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     doc_id that links reach, the document's own included. Rows that share a doc_id are one document: it has the links of each. A row with
     a null doc_id is linked with nothing, has a null component_id and is kept. An empty table gives no rows.
     """
+    since = made()
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     signed = stored(signatures(docs, size), "signatures")
     alike = ["set_a", "set_b", "n_shingles"]
@@ -259,7 +260,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     roots = components(_union(links))
     found = membership.join(roots, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "node")).alias("component_id"))
     out = signed.select("doc_id", "n_shingles").join(found, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    out = stored(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), "near")
+    sweep(since, out)
+    return out
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

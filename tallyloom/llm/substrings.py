@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import discard, slices, split_join, stored, text_bytes
+from ._shared import discard, made, slices, split_join, stored, sweep, text_bytes
 from ._words import Runs, find, hashes, mix
 
 #: Words in an anchor; windows pick one of window - ANCHOR + 1 grams.
@@ -144,6 +144,7 @@ def repeated_passages(docs: DataFrame, window: int = 35, carry: Sequence[str] =
     """
     if not ANCHOR < window <= 61 + ANCHOR:
         raise ValueError(f"window must be more than {ANCHOR} and at most {61 + ANCHOR} words")
+    since = made()
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # rows are told apart by doc_id and text, so that doc_id need not be unique
     docs = docs.select(F.struct(*carry).alias("row"), "text", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("key"), F.xxhash64("text").alias("check"))
@@ -165,6 +166,7 @@ def repeated_passages(docs: DataFrame, window: int = 35, carry: Sequence[str] =
     wholly = classes.where("copies > 1").select("seed", "stretch", F.expr("shiftleft(1L, n) - 1").alias("mask"))
     masks = stored(partly.unionAll(wholly).groupBy("seed", "stretch").agg(F.bit_or("mask").alias("mask")), "masks")
     repeats = split_join(found, masks, ["seed", "stretch"], place, classes.select("seed", "stretch", F.col("copies").alias("n")), narrow=True).groupBy("key", "check").agg(F.collect_set(F.struct("at", "mask")).alias("repeats"))
+    sweep(since, found, masks)
     return cut(texts.join(repeats.hint("shuffle_hash"), ["key", "check"], "left").select("row", "text", "repeats"), window, layout).select("row.*", "n_words", "spans", "n_removed", "kept_text")
 
 
