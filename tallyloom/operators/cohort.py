@@ -8,6 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -57,13 +58,12 @@ def pooled(counts: DataFrame, sample_map: DataFrame | None, key: str = "slide_id
 
 def fractions(long: DataFrame, by: str = "sample_id", value: str = "n") -> DataFrame:
     """long with fraction of the sample's total; 0 where the total is 0."""
-    totals = long.groupBy(by).agg(F.sum(value).alias("_total"))
-    return long.join(totals, by).withColumn("fraction", F.coalesce(F.try_divide(F.col(value), F.when(F.col("_total") != 0, F.col("_total"))), F.lit(0.0))).drop("_total")
+    return long.withColumn("_total", F.sum(value).over(W.partitionBy(by))).withColumn("fraction", F.coalesce(F.try_divide(F.col(value), F.when(F.col("_total") != 0, F.col("_total"))), F.lit(0.0))).drop("_total")
 
 
 def dense(long: DataFrame, samples: DataFrame, classes: DataFrame, value: str = "n") -> DataFrame:
     """A row for each sample of samples and class of classes, 0 where long has none. classes is a small dimension."""
-    grid = samples.select("sample_id").distinct().crossJoin(F.broadcast(classes.select("class_id", "cell_type").distinct()))
+    grid = samples.select("sample_id").distinct().crossJoin(classes.select("class_id", "cell_type").distinct())
     return grid.join(long, ["sample_id", "class_id", "cell_type"], "left").withColumn(value, F.coalesce(value, F.lit(0)))
 
 

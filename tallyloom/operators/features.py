@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ranking import quantiles
+
 
 def zscores(long: DataFrame, feature: str = "j", value: str = "v", flat: float = 1e-8) -> DataFrame:
     """long with z: value less the feature's mean by its population deviation (1 where that is at most flat); null, NaN and infinite values are 0."""
@@ -12,7 +14,7 @@ def zscores(long: DataFrame, feature: str = "j", value: str = "v", flat: float =
     clean = long.withColumn("_x", F.when(x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")), F.lit(0.0)).otherwise(x))
     moments = clean.groupBy(feature).agg(F.avg("_x").alias("_m"), F.stddev_pop("_x").alias("_s"))
     scaled = (F.col("_x") - F.col("_m")) / F.when(F.col("_s") <= flat, 1.0).otherwise(F.col("_s"))
-    return clean.join(F.broadcast(moments), feature).withColumn("z", scaled).drop("_x", "_m", "_s")
+    return clean.join(moments, feature).withColumn("z", scaled).drop("_x", "_m", "_s")
 
 
 def one_hot(df: DataFrame, column: str, values: list, prefix: str = "class_") -> DataFrame:
@@ -36,8 +38,13 @@ def log_counts(long: DataFrame, by: str = "sample_id", value: str = "n") -> Data
 
 
 def median_filled(df: DataFrame, columns: list[str]) -> DataFrame:
-    """df with nulls of the columns replaced by the column's median."""
-    medians = df.agg(*[F.median(c).alias(f"_m_{c}") for c in columns])
+    """df with nulls of the columns replaced by the column's median; a column without any value stays null. Runs a job a column."""
+    if not columns:
+        return df
+    medians = None
+    for c in columns:
+        one = quantiles(df, c, [0.5], name=f"_m_{c}").select(F.col(f"_m_{c}")[0].alias(f"_m_{c}"))
+        medians = one if medians is None else medians.crossJoin(F.broadcast(one))
     return df.crossJoin(F.broadcast(medians)).withColumns({c: F.coalesce(c, f"_m_{c}") for c in columns}).drop(*[f"_m_{c}" for c in columns])
 
 
@@ -55,6 +62,21 @@ def principal_components(df: DataFrame, key: str, vector: str, k: int = 2) -> Da
 def marker_sizes(df: DataFrame, base: float, area: str = "area") -> DataFrame:
     """df with size: base by the root of area over its median, between 0.35 and 3.2 times base."""
     root = F.sqrt(F.greatest(F.col(area), F.lit(0.0)))
-    median = df.agg(F.median(root).alias("_m"))
+    median = quantiles(df.select(root.alias("_r")), "_r", [0.5]).select(F.col("quantiles")[0].alias("_m"))
     size = F.lit(base) * F.try_divide(root, F.when(F.col("_m") > 0, F.col("_m")))
     return df.crossJoin(F.broadcast(median)).withColumn("size", F.greatest(F.lit(0.35 * base), F.least(F.lit(3.2 * base), F.coalesce(size, F.lit(base))))).drop("_m")
+
+
+def centres(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
+    """(by, n, for each column its median, c10 and c90): centre and spread of each class by exact quantiles."""
+    out = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+    for c in columns:
+        q = quantiles(df, c, [0.1, 0.5, 0.9], (by,), parts=1).select(by, F.col("quantiles")[1].alias(c), F.col("quantiles")[0].alias(f"{c}10"), F.col("quantiles")[2].alias(f"{c}90"))
+        out = out.join(q, by, "left")
+    return out
+
+
+def clip_range(df: DataFrame, value: str, low: float = 0.02, high: float = 0.98) -> DataFrame:
+    """(low, high): exact quantiles between which a feature is shown."""
+    q = quantiles(df, value, [low, high])
+    return q.select(F.col("quantiles")[0].alias("low"), F.col("quantiles")[1].alias("high"))

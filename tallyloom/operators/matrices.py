@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import color_of_class, natural_key
+from .ranking import ordered
 from .validate import close
 
 
@@ -53,8 +54,8 @@ def class_order(long: DataFrame) -> list[str]:
 
 
 def numbered(df: DataFrame, order: list[Column], pattern: str, name: str = "alias") -> DataFrame:
-    """A roster with aliases from a pattern such as ``case_%03d`` in an order; a roster is small enough for one window."""
-    return df.withColumn(name, F.format_string(pattern, F.row_number().over(W.orderBy(*order))))
+    """df with aliases from a pattern such as ``case_%03d`` in an order."""
+    return ordered(df, order, "_at").withColumn(name, F.format_string(pattern, F.col("_at"))).drop("_at")
 
 
 def occurrence_names(df: DataFrame, base: str, position: str, name: str = "unique_name") -> DataFrame:
@@ -64,8 +65,8 @@ def occurrence_names(df: DataFrame, base: str, position: str, name: str = "uniqu
 
 
 def batches(df: DataFrame, order: list[Column], size: int) -> DataFrame:
-    """A roster with batch 0, 1, ... of size rows each, in an order."""
-    return df.withColumn("batch", F.floor((F.row_number().over(W.orderBy(*order)) - 1) / size).cast("int"))
+    """df with batch 0, 1, ... of size rows each, in an order."""
+    return ordered(df, order, "_at").withColumn("batch", F.floor((F.col("_at") - 1) / size).cast("int")).drop("_at")
 
 
 def level_index(levels: DataFrame, by: str = "file", scale: str = "scale") -> DataFrame:

@@ -68,6 +68,33 @@ def predicted(train: DataFrame, test: DataFrame, name: str, params: dict, seed:
     return fitted.transform(test).withColumn("p", vector_to_array("probability")[1])
 
 
+def inner_scores(parts: DataFrame, numeric: list[str], categorical: list[str], name: str, options: list[dict], folds: int, seed: int, threads: int = 4) -> list[float]:
+    """The mean AUC over folds 0 to folds - 1 of parts (y, fold, features) for each option. A fold's tables are prepared once; options are fitted side by side."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark.util import inheritable_thread_target
+
+    parts = parts.cache()
+    tables = []
+    for i in range(folds):
+        p = fit_preprocessor(parts.where(F.col("fold") != i), numeric, categorical)
+        tables.append([transform(rows, p).select("y", "fold", "features").cache() for rows in (parts.where(F.col("fold") != i), parts.where(F.col("fold") == i))])
+
+    def auc(params: dict) -> float:
+        every = None
+        for a, b in tables:
+            held = predicted(a, b, name, params, seed).select("y", "p", "fold")
+            every = held if every is None else every.unionAll(held)
+        mean = stats.roc_auc(every, by=("fold",), parts=1).agg(F.avg("auc")).first()[0]
+        return mean if mean is not None else 0.0
+
+    with ThreadPool(min(threads, len(options))) as pool:
+        scores = pool.map(inheritable_thread_target(parts.sparkSession)(auc), options)
+    for table in [parts, *(t for pair in tables for t in pair)]:
+        table.unpersist()
+    return scores
+
+
 def nested_cv(df: DataFrame, key: str, numeric: list[str], categorical: list[str], name: str, outer: int = 5, inner: int = 3, repeats: int = 1, seed: int = 0, grid: list[dict] | None = None, group: str | None = None) -> DataFrame:
     """(key, repeat, fold, y, p): out-of-fold probabilities of df (key, y, features). Each outer fold picks the parameters with the best inner AUC."""
     if support := df.groupBy("y").count().where(F.col("count") < outer).count():
@@ -80,20 +107,7 @@ def nested_cv(df: DataFrame, key: str, numeric: list[str], categorical: list[str
             options = grid or GRIDS[name]
             best = options[0]
             if len(options) > 1:
-                parts = sampling.stratified_folds(train, key, "y", inner, seed + 1 + fold, repeat).cache()
-                scores = []
-                for params in options:
-                    held = [
-                        predicted(transform(a, p := fit_preprocessor(a, numeric, categorical)), transform(parts.where(F.col("fold") == i), p), name, params, seed).select("y", "p", "fold")
-                        for i in range(inner)
-                        for a in [parts.where(F.col("fold") != i)]
-                    ]
-                    every = held[0]
-                    for h in held[1:]:
-                        every = every.unionAll(h)
-                    auc = stats.roc_auc(every, by=("fold",), parts=1).agg(F.avg("auc")).first()[0]
-                    scores.append(auc if auc is not None else 0.0)
-                parts.unpersist()
+                scores = inner_scores(sampling.stratified_folds(train, key, "y", inner, seed + 1 + fold, repeat), numeric, categorical, name, options, inner, seed)
                 best = options[max(range(len(options)), key=lambda i: scores[i])]
             p = fit_preprocessor(train, numeric, categorical)
             done = predicted(transform(train, p), transform(test, p), name, best, seed)

@@ -31,6 +31,40 @@ def hash_ranked(df: DataFrame, digest: Column, *ties: str, by: tuple[str, ...] =
     return placed.drop("_digest", "_bucket", "_place", "_before", *[f"_s{i}" for i in range(len(on))])
 
 
+def ordered(df: DataFrame, order: list[Column], name: str = "rank", parts: int = 64) -> DataFrame:
+    """df with 1, 2, ... in an order of columns, without one task that holds all rows.
+
+    The keys are cut into parts at those of a bounded sample (its size decides how even the parts are, nothing else); a rank is a row's place in its part and
+    the rows of the parts before, of which there are at most ``parts``. Rows alike in all of order get any of their ranks.
+    """
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    each = 20
+    sample = df.select(key.alias("_key")).orderBy(F.xxhash64("_key"), "_key").limit(parts * each)
+    cuts = sample.agg(F.filter(F.sort_array(F.collect_set("_key")), lambda _, i: i % each == each - 1).alias("_cuts"))
+    keyed = df.withColumn("_key", key).crossJoin(F.broadcast(cuts)).withColumn("_part", F.size(F.filter("_cuts", lambda c: c < F.col("_key")))).drop("_cuts")
+    sizes = keyed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # of one row a part
+    sizes = F.broadcast(sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    place = F.row_number().over(W.partitionBy("_part").orderBy("_key"))
+    return keyed.withColumn("_place", place).join(sizes, "_part").withColumn(name, (F.col("_place") + F.col("_before")).cast("bigint")).drop("_part", "_key", "_place", "_before")
+
+
+def quantiles(df: DataFrame, value: str, shares: list[float], by: tuple[str, ...] = (), parts: int = 64, name: str = "quantiles") -> DataFrame:
+    """(by, count, quantiles array<double>): exact quantiles, interpolated between neighbours, of values that are not null; null elements without values.
+
+    Values are counted first, so a value that a third of all rows share is one row, and running counts in parts place each quantile: no task holds all values.
+    """
+    known = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    total = known.groupBy(*by).agg(F.sum("_n").alias("count"))
+    ran = running(known, "_v", {"_n": "_up"}, by, parts=parts)
+    ran = ran.join(total, list(by)) if by else ran.crossJoin(F.broadcast(total))
+    at = [(F.col("count") - 1) * F.lit(float(q)) for q in shares]
+    low = [F.min(F.when(F.col("_up") > F.floor(a), F.col("_v"))).alias(f"_l{i}") for i, a in enumerate(at)]
+    high = [F.min(F.when(F.col("_up") > F.ceil(a), F.col("_v"))).alias(f"_h{i}") for i, a in enumerate(at)]
+    found = ran.groupBy(*by).agg(F.first("count").alias("count"), *low, *high)
+    return found.select(*by, "count", F.array(*[F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * (a - F.floor(a)) for i, a in enumerate(at)]).alias(name))
+
+
 def edges(df: DataFrame, order: str, parts: int) -> list[float]:
     """Approximate quantiles that cut the values of order into parts. Runs a job unless there is one part."""
     return sorted(set(df.approxQuantile(order, [i / parts for i in range(1, parts)], 0.001))) if parts > 1 else []

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.hashing import rank_hash
-from .ranking import hash_ranked
+from .ranking import DIGITS, hash_ranked
 
 
 def kept_of(n: Column, percent: float) -> Column:
@@ -20,10 +22,19 @@ def exact_sample(df: DataFrame, key: str, percent: float, seed: int = 0, by: tup
     """Exactly the wanted share of rows of each group, with n_total and n_keep; from 100 percent on all rows, without a count (null totals)."""
     if percent >= 100:
         return df.withColumn("n_total", F.lit(None).cast("bigint")).withColumn("n_keep", F.lit(None).cast("bigint"))
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_total")).withColumn("n_keep", kept_of(F.col("n_total"), percent))
-    ranked = hash_ranked(df, rank_hash(F.col(key), seed=seed), key, by=by)
-    joined = ranked.join(F.broadcast(sizes), list(by)) if by else ranked.crossJoin(F.broadcast(sizes))
-    return joined.where("rank <= n_keep").drop("rank")
+    # whole buckets of a digest's leading digits are kept or left; only rows of the bucket on the border are put in order
+    keyed = df.withColumn("_digest", rank_hash(F.col(key), seed=seed)).withColumn("_bucket", F.substring("_digest", 1, DIGITS))
+    sizes = keyed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("n_total", F.sum("_n").over(W.partitionBy(*by)))
+    sizes = sizes.withColumn("n_keep", kept_of(F.col("n_total"), percent)).where("_before < n_keep")
+    on = [*by, "_bucket"]
+    near = sizes.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(on)], "_n", "_before", "n_total", "n_keep")
+    joined = keyed.join(near, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(on)]))
+    place = F.row_number().over(W.partitionBy(*on).orderBy("_digest", key))
+    border = joined.where("_before + _n > n_keep").withColumn("_place", place).where("_place + _before <= n_keep").drop("_place")
+    out = joined.where("_before + _n <= n_keep").unionByName(border)
+    return out.drop("_digest", "_bucket", "_n", "_before", *[f"_s{i}" for i in range(len(on))])
 
 
 def allocation(counts: dict[str, int], size: int, least: int = 50) -> dict[str, int]:
@@ -73,7 +84,7 @@ def bootstrap_draws(df: DataFrame, key: str, stratum: str, repeats: int, seed: i
     numbered = hash_ranked(df, rank_hash(F.col(key), seed=seed), key, by=(stratum,), name="_row")
     repeat = F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat")
     sizes = numbered.groupBy(stratum).agg(F.count(F.lit(1)).alias("_size"))
-    draws = numbered.join(F.broadcast(sizes), stratum).select(repeat, stratum, F.col("_row").alias("_draw"), "_size")
+    draws = numbered.join(sizes, stratum).select(repeat, stratum, F.col("_row").alias("_draw"), "_size")
     number = F.conv(F.substring(F.md5(F.concat_ws("|", "repeat", F.col(stratum).cast("string"), F.col("_draw").cast("string"), F.lit(str(seed)))), 1, 8), 16, 10).cast("bigint")
     draws = draws.select("repeat", stratum, (number % F.col("_size") + 1).alias("_row"))
     return draws.join(numbered, [stratum, "_row"]).drop("_row")

@@ -23,7 +23,7 @@ def rarity(cells: DataFrame, by: str | None = None) -> DataFrame:
 
 def density_grid(cells: DataFrame, size: float, by: str = "slide_id", diversity: float = 0.20, rare: float = 0.35) -> DataFrame:
     """Per bin: cells, exact medians, classes, sum of rarity, and score n * (1 + diversity * classes) + rare * rarity."""
-    weighted = cells.join(F.broadcast(rarity(cells, by)), [by, "class_id"])
+    weighted = cells.join(rarity(cells, by), [by, "class_id"])
     grid = weighted.groupBy(by, bin_of(F.col("x"), size).alias("gx"), bin_of(F.col("y"), size).alias("gy")).agg(
         F.count(F.lit(1)).alias("n"), F.median("x").alias("medx"), F.median("y").alias("medy"), F.countDistinct("class_id").alias("n_classes"), F.sum(F.col("rarity").cast("double")).alias("rare_sum")
     )
@@ -107,7 +107,7 @@ def overlapping(cells: DataFrame, boxes: DataFrame, size: float, reach: float, b
     return points.join(b, [by, "_bx", "_by"]).where(test).drop("_bx", "_by")
 
 
-def patch_remap(cells: DataFrame, patches: DataFrame, size: float, key: str = "cell_id") -> DataFrame:
+def patch_remap(cells: DataFrame, patches: DataFrame, size: float) -> DataFrame:
     """cells with patch_id and x, y moved from the mosaic to the source; of several patches the lowest id counts, without one it is -1 and x, y null.
 
     patches: patch_id, mosaic_x0, mosaic_y0, source_x0, source_y0, width, height. rings, if cells have them, move along; boxes stay.
@@ -116,9 +116,12 @@ def patch_remap(cells: DataFrame, patches: DataFrame, size: float, key: str = "c
         "patch_id", (F.col("source_x0") - F.col("mosaic_x0")).alias("dx"), (F.col("source_y0") - F.col("mosaic_y0")).alias("dy"),
         F.col("mosaic_x0").alias("x0"), F.col("mosaic_y0").alias("y0"), (F.col("mosaic_x0") + F.col("width")).alias("x1"), (F.col("mosaic_y0") + F.col("height")).alias("y1"),
     )
-    hit = contained(cells.select(key, "x", "y"), boxes, size, by=None)
-    first = hit.groupBy(key).agg(F.min_by(F.struct("patch_id", "dx", "dy"), "patch_id").alias("_p"))
-    out = cells.join(first, key, "left").withColumn("patch_id", F.coalesce("_p.patch_id", F.lit(-1)))
+    # a row for each bin with its patches by id: cells are joined once, and never grouped
+    held = F.struct("patch_id", "dx", "dy", "x0", "y0", "x1", "y1")
+    binned = _bins(boxes, size).groupBy("_bx", "_by").agg(F.sort_array(F.collect_list(held)).alias("_patches"))
+    out = cells.withColumn("_bx", bin_of(F.col("x"), size)).withColumn("_by", bin_of(F.col("y"), size)).join(binned, ["_bx", "_by"], "left")
+    hit = F.filter("_patches", lambda b: contains(F.col("x"), F.col("y"), b.x0, b.y0, b.x1, b.y1))
+    out = out.withColumn("_p", F.get(hit, 0)).drop("_bx", "_by", "_patches").withColumn("patch_id", F.coalesce("_p.patch_id", F.lit(-1)))
     out = out.withColumn("x", F.col("x") + F.col("_p.dx")).withColumn("y", F.col("y") + F.col("_p.dy"))
     if "rings" in cells.columns:
         out = out.withColumn("rings", F.when(F.col("_p").isNotNull(), translated(F.col("rings"), F.col("_p.dx"), F.col("_p.dy"))).otherwise(F.col("rings")))
@@ -177,7 +180,7 @@ def patch_selection(candidates: DataFrame, percent: float, seed: int, grid: int
     n = F.least(F.col("_n"), F.lit(grid * grid)) if grid else kept_of(F.col("_n"), percent)
     n = F.least(n, F.lit(most)) if most and not grid else n
     sizes = sizes.select(by, n.alias("_k"), (F.lit(grid) if grid else F.ceil(F.sqrt(n))).cast("bigint").alias("_columns"))
-    kept = ranked.join(F.broadcast(sizes), by).where("patch_id <= _k")
+    kept = ranked.join(sizes, by).where("patch_id <= _k")
     return kept.withColumns(mosaic_place(F.col("patch_id"), F.col("_columns"))).drop("_k", "_columns")
 
 

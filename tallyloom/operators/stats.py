@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ranking import edges, running
+from .ranking import edges, quantiles, running
 
 
 def tied(df: DataFrame, value: str, outcome: str, by: tuple[str, ...] = (), parts: int = 64) -> DataFrame:
@@ -74,8 +74,32 @@ def fisher_p(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Serie
     def p(a: int, b: int, c: int, d: int) -> float:
         rows, column, n = a + b, a + c, a + b + c + d
         chance = lambda x: log_choose(rows, x) + log_choose(n - rows, column - x) - log_choose(n, column)
-        here = chance(a)
-        return min(1.0, sum(math.exp(v) for x in range(max(0, column - (n - rows)), min(rows, column) + 1) if (v := chance(x)) <= here + 1e-7))
+        here, least, most = chance(a), max(0, column - (n - rows)), min(rows, column)
+        peak = min(most, max(least, (rows + 1) * (column + 1) // (n + 2)))
+
+        def tail(x: int, step: int) -> float:
+            """Chances from x outward, as long as they add anything; they only fall from the peak on."""
+            total = 0.0
+            while least <= x <= most:
+                v = chance(x)
+                if v <= here + 1e-7:
+                    total += (term := math.exp(v))
+                    if term < total * 1e-17 or v < -745:
+                        break
+                x += step
+            return total
+
+        def first(x: int, step: int) -> int:
+            """From the peak outward the first place that is no likelier, by halving."""
+            near, far = x, most if step > 0 else least
+            if chance(far) > here + 1e-7:
+                return far + step
+            while abs(far - near) > 1:
+                middle = (near + far) // 2
+                near, far = (middle, far) if chance(middle) > here + 1e-7 else (near, middle)
+            return near if chance(near) <= here + 1e-7 else far
+
+        return min(1.0, tail(first(peak, 1), 1) + tail(first(peak - 1, -1) if peak > least else least - 1, -1))
 
     return pd.Series([p(*map(int, x)) for x in zip(a, b, c, d)], dtype="float64")
 
@@ -193,16 +217,22 @@ def roc_points(df: DataFrame, y: str = "y", p: str = "p", parts: int = 64) -> Da
     return t.select("threshold", F.try_divide(F.col("dn") - F.col("dp"), F.when(F.col("tn") != F.col("tp"), F.col("tn") - F.col("tp"))).alias("fpr"), F.try_divide(F.col("dp"), F.when(F.col("tp") != 0, F.col("tp"))).alias("tpr"), (F.col("dp") / F.col("dn")).alias("precision"))
 
 
-def calibration(df: DataFrame, y: str = "y", p: str = "p", bins: int = 10) -> DataFrame:
-    """(bin, n, mean_p, observed) between the exact quantiles of p; a value on an edge is in the bin below, the least one in bin 1."""
-    edges = df.agg(F.percentile(p, F.array(*[F.lit(i / bins) for i in range(1, bins)])).alias("_e"))
+def calibration(df: DataFrame, y: str = "y", p: str = "p", bins: int | None = None) -> DataFrame:
+    """(bin, n, mean_p, observed) between the exact quantiles of p; a value on an edge is in the bin below, the least one in bin 1.
+
+    bins: by default a fifth of the rows, at least 2 and at most 10. Runs a job for their number and one for the quantiles.
+    """
+    bins = bins or min(10, max(2, df.count() // 5))
+    cuts = quantiles(df, p, [i / bins for i in range(1, bins)], name="_e").select("_e")
     b = (F.size(F.filter("_e", lambda e: e < F.col(p))) + 1).alias("bin")
-    return df.crossJoin(F.broadcast(edges)).groupBy(b).agg(F.count(F.lit(1)).alias("n"), F.avg(p).alias("mean_p"), F.avg(F.col(y).cast("double")).alias("observed"))
+    return df.crossJoin(F.broadcast(cuts)).groupBy(b).agg(F.count(F.lit(1)).alias("n"), F.avg(p).alias("mean_p"), F.avg(F.col(y).cast("double")).alias("observed"))
 
 
 def quartiles(df: DataFrame, value: str = "value", by: tuple[str, ...] = ("feature",)) -> DataFrame:
-    q = F.percentile(value, F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)]))
-    return df.groupBy(*by).agg(F.count(value).alias("n"), q.alias("_q")).select(*by, "n", F.col("_q")[1].alias("median"), F.col("_q")[0].alias("q25"), F.col("_q")[2].alias("q75"))
+    """(by, n, median, q25, q75) of the values that are not null; n is 0 and the others null for a group without any."""
+    q = quantiles(df, value, [0.25, 0.5, 0.75], by, name="_q").withColumnRenamed("count", "_n")
+    q = df.select(*by).distinct().join(q, list(by), "left")
+    return q.select(*by, F.coalesce("_n", F.lit(0)).alias("n"), F.col("_q")[1].alias("median"), F.col("_q")[0].alias("q25"), F.col("_q")[2].alias("q75"))
 
 
 def intervals(draws: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFrame:
@@ -211,6 +241,40 @@ def intervals(draws: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFra
     return fine.groupBy(*by).agg(F.percentile(value, F.array(F.lit(0.025), F.lit(0.975))).alias("_q")).select(*by, F.col("_q")[0].alias("low"), F.col("_q")[1].alias("high"))
 
 
+METRICS = ("roc_auc", "average_precision", "balanced_accuracy", "sensitivity", "specificity", "precision", "npv", "f1", "mcc", "brier")
+
+
+def metrics(df: DataFrame, y: str = "y", p: str = "p", by: tuple[str, ...] = (), weight: str | None = None, threshold: float = 0.5, parts: int = 1) -> DataFrame:
+    """(by, METRICS) in one pass over rows that count ``weight`` times: undefined sensitivity, precision, F1 and MCC are 0, the others null.
+
+    Rows are summed up by distinct score first, so that draws of a bootstrap cost as much as there are scores.
+    """
+    w = F.col(weight) if weight else F.lit(1)
+    known = df.where(F.col(p).isNotNull() & F.col(y).isin(0, 1))
+    g = known.groupBy(*by, F.col(p).cast("double").alias("_v")).agg(F.sum(w).alias("_n"), F.sum(w * F.col(y)).alias("_pos"))
+    g = running(g, "_v", {"_n": "_un", "_pos": "_up"}, by, parts=parts)
+    total = g.groupBy(*by).agg(F.sum("_n").alias("_tn"), F.sum("_pos").alias("_tp"))
+    g = g.join(total, list(by)) if by else g.crossJoin(F.broadcast(total))
+    n, pos, neg = (x.cast("double") for x in (F.col("_n"), F.col("_pos"), F.col("_n") - F.col("_pos")))
+    lower = (F.col("_un") - F.col("_up")).cast("double") - neg
+    above, above_pos = F.col("_tn") - F.col("_un") + F.col("_n"), F.col("_tp") - F.col("_up") + F.col("_pos")
+    hit = F.col("_v") >= threshold
+    c = g.groupBy(*by).agg(
+        F.first("_tn").cast("double").alias("n"), F.first("_tp").cast("double").alias("n1"), F.sum(pos * (lower + neg / 2)).alias("wins"), F.sum(pos * above_pos / above).alias("ap"),
+        F.sum(F.when(hit, pos).otherwise(0.0)).alias("tp"), F.sum(F.when(hit, neg).otherwise(0.0)).alias("fp"), F.sum(pos * (F.col("_v") - 1) * (F.col("_v") - 1) + neg * F.col("_v") * F.col("_v")).alias("error"),
+    )
+    c = c.withColumn("fn", F.col("n1") - F.col("tp")).withColumn("tn", F.col("n") - F.col("n1") - F.col("fp"))
+    tp, fp, tn, fn, n1, n = (F.col(x) for x in ("tp", "fp", "tn", "fn", "n1", "n"))
+    ratio = lambda a, b: F.try_divide(a, F.when(b != 0, b))
+    zero = lambda x: F.coalesce(x, F.lit(0.0))
+    sens, spec = zero(ratio(tp, tp + fn)), ratio(tn, tn + fp)
+    return c.select(
+        *by, ratio(F.col("wins"), n1 * (n - n1)).alias("roc_auc"), ratio(F.col("ap"), n1).alias("average_precision"), ((sens + spec) / 2).alias("balanced_accuracy"), sens.alias("sensitivity"), spec.alias("specificity"),
+        zero(ratio(tp, tp + fp)).alias("precision"), ratio(tn, tn + fn).alias("npv"), zero(ratio(2 * tp, 2 * tp + fp + fn)).alias("f1"),
+        zero(ratio(tp * tn - fp * fn, F.sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn)))).alias("mcc"), ratio(F.col("error"), n).alias("brier"),
+    )
+
+
 def averaged(predictions: DataFrame) -> DataFrame:
     """Out-of-fold predictions by analysis_id, feature_set and model: mean probability over repeats and the label at 0.5."""
     out = predictions.groupBy("analysis_id", "feature_set", "model").agg(F.first("y_true").alias("y"), F.avg("y_probability").alias("p"))
@@ -238,7 +302,7 @@ def univariate(long: DataFrame, least_numeric: float = 0.8) -> DataFrame:
     rows = long.select("feature", text.alias("value"), text.try_cast("double").alias("number"), "outcome").where(F.col("value").isNotNull() & F.col("outcome").isNotNull())
     kinds = rows.groupBy("feature").agg((F.count("number") / F.count(F.lit(1)) >= least_numeric).alias("numeric"), F.countDistinct("value").alias("levels"), F.countDistinct("outcome").alias("sides"))
     kinds = kinds.withColumn("kind", F.when((F.col("sides") < 2) | (~F.col("numeric") & (F.col("levels") < 2)), "not_testable").when(F.col("numeric"), "mann_whitney").when(F.col("levels") == 2, "fisher").otherwise("chi_square"))
-    rows = rows.join(F.broadcast(kinds.select("feature", "kind")), "feature")
+    rows = rows.join(kinds.select("feature", "kind"), "feature")
     numbers = rows.where("kind = 'mann_whitney' and number is not null")
     repeated = numbers.groupBy("feature", "number").count().groupBy("feature").agg((F.max("count") > 1).alias("ties"))
     u = mann_whitney(numbers.withColumn("value", F.col("number"))).join(repeated, "feature")
@@ -247,7 +311,7 @@ def univariate(long: DataFrame, least_numeric: float = 0.8) -> DataFrame:
     pair = rows.where("kind = 'fisher'")
     low = pair.groupBy("feature").agg(F.min("value").alias("_low"))
     cell = lambda level, y: F.count_if((F.col("value") == F.col("_low") if level else F.col("value") != F.col("_low")) & (F.col("outcome") == y))
-    table = pair.join(F.broadcast(low), "feature").groupBy("feature").agg(cell(True, 1).alias("a"), cell(True, 0).alias("b"), cell(False, 1).alias("c"), cell(False, 0).alias("d"))
+    table = pair.join(low, "feature").groupBy("feature").agg(cell(True, 1).alias("a"), cell(True, 0).alias("b"), cell(False, 1).alias("c"), cell(False, 0).alias("d"))
     f = fisher(table).select("feature", F.col("odds").alias("statistic"), "effect", "p")
     x = chi_square(rows.where("kind = 'chi_square'")).select("feature", F.col("chi2").alias("statistic"), F.col("v").alias("effect"), chi2_p("chi2", "dof").alias("p"))
     tested = kinds.select("feature", "kind").join(u.unionAll(f).unionAll(x), "feature", "left")

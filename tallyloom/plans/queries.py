@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions import geometry as geo
 from ..functions import hashing as hs
 from ..functions import text as tx
-from ..operators import cohort, integrity, linkage, matrices, sampling, spatial, stats, validate
+from ..operators import cohort, integrity, linkage, matrices, ranking, sampling, spatial, stats, validate
 from ..operators import features as ft
 from ..operators import ml as mlx
 from . import views as v
@@ -195,12 +195,25 @@ def zoom_box(spark, sf_dir):
     return spatial.zoom_box(v.cells(spark, sf_dir), 120000, 60000, 8000)
 
 
-@query()
+def _greedy(size: int, most: int, distance: float, relaxed: bool) -> str:
+    """Recursive SQL that takes the boxes of ranked (slide_id, place, cx, cy) one after the other."""
+    box = lambda c, edge: f"greatest(0, least({edge} - {size}, CAST(round_even({c} - {size} / 2.0, 0) AS BIGINT)))"
+    near = f"len(list_filter(taken, lambda t: (t.cx - r.cx) * (t.cx - r.cx) + (t.cy - r.cy) * (t.cy - r.cy) < {distance * distance})) = 0"
+    first = f"""g AS (SELECT DISTINCT slide_id, 0::BIGINT AS place, CAST([] AS STRUCT(cx DOUBLE, cy DOUBLE)[]) AS taken FROM ranked UNION ALL
+SELECT g.slide_id, r.place, CASE WHEN len(taken) < {most} AND {near} THEN list_append(taken, {{'cx': r.cx, 'cy': r.cy}}) ELSE taken END FROM g JOIN ranked r ON r.slide_id = g.slide_id AND r.place = g.place + 1),
+t AS (SELECT slide_id, arg_max(taken, place) AS taken FROM g GROUP BY 1), b AS (SELECT slide_id, list_transform(taken, lambda p: {{'x0': {box('p.cx', 120000)}, 'y0': {box('p.cy', 60000)}}}) AS boxes FROM t)"""
+    second = f""", h AS (SELECT slide_id, 0::BIGINT AS place, boxes FROM b UNION ALL SELECT h.slide_id, r.place, CASE WHEN len(boxes) < {most} AND NOT list_contains(boxes, {{'x0': {box('r.cx', 120000)}, 'y0': {box('r.cy', 60000)}}}) THEN list_append(boxes, {{'x0': {box('r.cx', 120000)}, 'y0': {box('r.cy', 60000)}}}) ELSE boxes END
+FROM h JOIN ranked r ON r.slide_id = h.slide_id AND r.place = h.place + 1), z AS (SELECT slide_id, arg_max(boxes, place) AS boxes FROM h GROUP BY 1)"""
+    source = "z" if relaxed else "b"
+    return f"{first}{second if relaxed else ''} SELECT slide_id, CAST(i AS INTEGER) AS rank, boxes[i].x0 AS x0, boxes[i].y0 AS y0, least(120000, boxes[i].x0 + {size}) AS x1, least(60000, boxes[i].y0 + {size}) AS y1 FROM {source}, range(1, {most + 1}) r(i) WHERE i <= len(boxes)"
+
+
+@query(f"""WITH RECURSIVE {v.CELLS}, n AS (SELECT slide_id, floor(x / 6000) AS gx, floor(y / 6000) AS gy, count(*) AS n, median(x) AS cx, median(y) AS cy FROM cells GROUP BY 1, 2, 3), ranked AS (SELECT slide_id, row_number() OVER (PARTITION BY slide_id ORDER BY n DESC, gx, gy) AS place, cx, cy FROM n), {_greedy(6000, 5, 9000.0, False)}""")
 def qc_patches_greedy(spark, sf_dir):
     return spatial.qc_patches(v.cells(spark, sf_dir), 6000, 5, 1.5, 120000, 60000)
 
 
-@query()
+@query(f"""WITH RECURSIVE {_GRID}, ranked AS (SELECT slide_id, row_number() OVER (PARTITION BY slide_id ORDER BY round(n * (1 + 0.20::DOUBLE * n_classes) + 0.35::DOUBLE * rare_sum, 9) DESC, gx, gy) AS place, medx AS cx, medy AS cy FROM g0), {_greedy(12000, 6, 10200.0, True)}""".replace("g AS (SELECT slide_id, CAST(floor(x / 12000.0)", "g0 AS (SELECT slide_id, CAST(floor(x / 12000.0)"))
 def roi_selection(spark, sf_dir):
     return spatial.rois(v.cells(spark, sf_dir), 12000, 6, 120000, 60000)
 
@@ -264,11 +277,11 @@ _AUC = "(sum(CASE WHEN y = 1 THEN r END) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y
 
 
 @query(f"""WITH {v.SCORES}, n AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY md5(doc_id || '|9'), doc_id) AS i, count(*) OVER (PARTITION BY y) AS size FROM scores),
-d AS (SELECT b.b, n.y, CAST(('0x' || substr(md5(concat_ws('|', b.b, n.y, n.i, 9)), 1, 8)) AS BIGINT) % n.size + 1 AS i FROM n, range(1, 21) b(b)),
+d AS (SELECT b.b, n.y, CAST(('0x' || substr(md5(concat_ws('|', b.b, n.y, n.i, 9)), 1, 8)) AS BIGINT) % n.size + 1 AS i FROM n, range(1, 1001) b(b)),
 s AS (SELECT d.b, n.y, n.p, rank() OVER (PARTITION BY d.b ORDER BY n.p) + (count(*) OVER (PARTITION BY d.b, n.p) - 1) / 2.0 AS r FROM d JOIN n ON n.y = d.y AND n.i = d.i),
 a AS (SELECT b, {_AUC} AS auc FROM s GROUP BY 1) SELECT 'roc_auc' AS metric, round(quantile_cont(auc, 0.025), 8) AS low, round(quantile_cont(auc, 0.975), 8) AS high FROM a""")
 def bootstrap_auc_ci(spark, sf_dir):
-    draws = sampling.bootstrap_draws(v.scores(spark, sf_dir).select("doc_id", "y", "p"), "doc_id", "y", 20, 9)
+    draws = sampling.bootstrap_draws(v.scores(spark, sf_dir).select("doc_id", "y", "p"), "doc_id", "y", 1000, 9)
     auc = stats.roc_auc(draws, by=("repeat",), parts=1)
     return stats.intervals(auc, "auc").select(F.lit("roc_auc").alias("metric"), F.round("low", 8).alias("low"), F.round("high", 8).alias("high"))
 
@@ -421,13 +434,13 @@ def fisher_exact(spark, sf_dir):
     return stats.fisher(table)
 
 
-_P = "p AS (SELECT 'f' || p_partkey AS feature, CASE WHEN p_partkey % 9 <> 0 THEN (p_partkey * 7919 % 10007) / 10007.0::DOUBLE END AS p FROM part WHERE p_partkey < 500)"
+_P = "p AS (SELECT 'f' || p_partkey AS feature, CASE WHEN p_partkey % 9 <> 0 THEN (p_partkey * 7919 % 10007) / 10007.0::DOUBLE END AS p FROM part)"
 
 
 @query(f"WITH {_P}, r AS (SELECT *, row_number() OVER (ORDER BY p, feature) AS r, count(*) OVER () AS m FROM p WHERE p IS NOT NULL) SELECT feature, round(p, 9) AS p, round(least(1, min(p * m / r) OVER (ORDER BY r DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), 9) AS q FROM r UNION ALL SELECT feature, p, NULL FROM p WHERE p IS NULL")
 def bh_fdr(spark, sf_dir):
     k = F.col("p_partkey")
-    p = v.read(spark, sf_dir, "part").where("p_partkey < 500").select(F.concat(F.lit("f"), k.cast("string")).alias("feature"), F.when(k % 9 != 0, k * 7919 % 10007 / F.lit(10007.0)).alias("p"))
+    p = v.read(spark, sf_dir, "part").select(F.concat(F.lit("f"), k.cast("string")).alias("feature"), F.when(k % 9 != 0, k * 7919 % 10007 / F.lit(10007.0)).alias("p"))
     return stats.benjamini_hochberg(p).select("feature", F.round("p", 9).alias("p"), F.round("q", 9).alias("q"))
 
 
@@ -492,10 +505,8 @@ def oof_average_and_delta(spark, sf_dir):
 
 @query("SELECT s_name AS id, row_number() OVER (ORDER BY CAST(regexp_extract(s_name, '(\\d+)', 1) AS BIGINT), s_name) AS rank FROM supplier")
 def natural_sort_rank(spark, sf_dir):
-    from pyspark.sql import Window as W
-
-    # a roster of names; their order is what is shown
-    return v.read(spark, sf_dir, "supplier").select(F.col("s_name").alias("id"), F.row_number().over(W.orderBy(tx.natural_key(F.col("s_name")), "s_name")).cast("bigint").alias("rank"))
+    names = v.read(spark, sf_dir, "supplier").select(F.col("s_name").alias("id"))
+    return ranking.ordered(names, [tx.natural_key(F.col("id")), F.col("id")])
 
 
 _URL = "SELECT DISTINCT url AS raw FROM pages"

@@ -36,12 +36,12 @@ CELLS = f"""cells AS (
 
 
 def sample_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """slide_id to sample_id: eight samples of three slides, from the nations' keys."""
-    n = read(spark, sf_dir, "nation").where("n_nationkey < 24")
+    """slide_id to sample_id: eight samples of the slides, from the nations' keys."""
+    n = read(spark, sf_dir, "nation")
     return n.select(F.concat(F.lit("slide_"), F.col("n_nationkey").cast("string")).alias("slide_id"), F.concat(F.lit("sample_"), (F.col("n_nationkey") % 8).cast("string")).alias("sample_id"))
 
 
-SAMPLE_MAP = "sample_map AS (SELECT 'slide_' || n_nationkey AS slide_id, 'sample_' || (n_nationkey % 8) AS sample_id FROM nation WHERE n_nationkey < 24)"
+SAMPLE_MAP = "sample_map AS (SELECT 'slide_' || n_nationkey AS slide_id, 'sample_' || (n_nationkey % 8) AS sample_id FROM nation)"
 LONG = f"""{CELLS}, {SAMPLE_MAP}, long AS (
   SELECT sample_id, class_id, class_name AS cell_type, CAST(count(*) AS BIGINT) AS n FROM cells JOIN sample_map USING (slide_id) GROUP BY ALL)"""
 SAMPLES = [f"sample_{i}" for i in range(8)]
@@ -110,16 +110,16 @@ FEATURES = "features AS (SELECT vec_id, CAST(generate_subscripts(embedding, 1) -
 
 
 def patches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """part as patches of a mosaic: a 40 by 40 grid of squares of 2600 by 1250 that overlap a little."""
+    """part as patches of a mosaic: a grid, 40 wide, of squares of 2600 by 1250 that overlap a little; at large scales most lie beyond the slide."""
     k = F.col("p_partkey")
-    return read(spark, sf_dir, "part").where("p_partkey < 1600").select(
+    return read(spark, sf_dir, "part").select(
         k.cast("int").alias("patch_id"), (k % 40 * 2600).alias("mosaic_x0"), (F.floor(k / 40) * 1250).cast("bigint").alias("mosaic_y0"), (k * 7).alias("source_x0"), (k * 3).alias("source_y0"), F.lit(2650).alias("width"), F.lit(1300).alias("height")
     )
 
 
 PATCHES = """patches AS (
   SELECT CAST(p_partkey AS INTEGER) AS patch_id, p_partkey % 40 * 2600 AS mosaic_x0, p_partkey // 40 * 1250 AS mosaic_y0, p_partkey * 7 AS source_x0,
-         p_partkey * 3 AS source_y0, 2650 AS width, 1300 AS height FROM part WHERE p_partkey < 1600)"""
+         p_partkey * 3 AS source_y0, 2650 AS width, 1300 AS height FROM part)"""
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
