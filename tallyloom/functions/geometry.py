@@ -89,3 +89,71 @@ def nearest_multiple(x: Column, divisor: int) -> Column:
 
 def first_of(*columns: Column) -> Column:
     return reduce(lambda a, b: F.coalesce(a, b), columns)
+
+
+def bounds(rings: Column) -> dict[str, Column]:
+    """The box of a polygon's rings; null without points."""
+    xs, ys = F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p.x))), F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p.y)))
+    return {"x0": F.array_min(xs), "y0": F.array_min(ys), "x1": F.array_max(xs), "y1": F.array_max(ys)}
+
+
+def exteriors(polygons: Column) -> Column:
+    """The exterior rings of an array of polygons (arrays of rings, the exterior first) with coordinates as floats; empty and null ones are left out."""
+    first = F.transform(F.filter(polygons, lambda p: F.coalesce(F.size(p) > 0, F.lit(False))), lambda p: F.get(p, F.lit(0)))
+    return F.transform(first, lambda r: F.transform(r, lambda p: F.struct(p.x.cast("float").alias("x"), p.y.cast("float").alias("y"))))
+
+
+def coordinates_json(rings: Column) -> Column:
+    """Rings as JSON [[[x, y], ...], ...]."""
+    return F.to_json(F.transform(rings, lambda r: F.transform(r, lambda p: F.array(p.x.cast("double"), p.y.cast("double")))))
+
+
+def clipped(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """A convex or concave ring cut to a box, edge by edge; empty where nothing is left. The ring need not repeat its first point."""
+    point = "struct<x:double,y:double>"
+
+    def side(points: Column, axis: str, edge: Column, keep_above: bool) -> Column:
+        n = F.size(points)
+        inside = lambda p: (p[axis] >= edge) if keep_above else (p[axis] <= edge)
+
+        def step(i: Column) -> Column:
+            a, b = F.get(points, (i + n - 1) % n), F.get(points, i)
+            share = (edge - a[axis]) / (b[axis] - a[axis])
+            cut = F.struct((edge if axis == "x" else a.x + share * (b.x - a.x)).alias("x"), (edge if axis == "y" else a.y + share * (b.y - a.y)).alias("y")).cast(point)
+            return F.array_compact(F.array(F.when(inside(a) != inside(b), cut), F.when(inside(b), F.struct(b.x.alias("x"), b.y.alias("y")).cast(point))))
+
+        return F.when(n > 0, F.flatten(F.transform(F.sequence(F.lit(0), n - 1), step))).otherwise(F.array().cast(f"array<{point}>"))
+
+    out = F.transform(ring, lambda p: F.struct(p.x.cast("double").alias("x"), p.y.cast("double").alias("y")))
+    # each edge works on the result of the one before, bound to a name so that it is not computed anew for every use
+    def bound(points: Column, axis: str, edge: Column, above: bool) -> Column:
+        return F.get(F.transform(F.array(points), lambda p: side(p, axis, edge.cast("double"), above)), F.lit(0))
+
+    for axis, edge, above in (("x", x0, True), ("x", x1, False), ("y", y0, True), ("y", y1, False)):
+        out = bound(out, axis, edge, above)
+    return out
+
+
+def normalised(x: Column, edge: Column) -> Column:
+    """A coordinate as a share of an edge of at least 1."""
+    return x / F.greatest(edge, F.lit(1))
+
+
+def level_mpp(source: Column, base: Column, level: Column) -> Column:
+    """Micrometres a pixel of a level by its scale."""
+    return source * base / level
+
+
+def pixels_per_centimetre(mpp: Column) -> Column:
+    return F.lit(10000.0) / mpp
+
+
+def rational(number: Column, denominator: Column) -> Column:
+    return F.try_divide(number.cast("double"), denominator.cast("double"))
+
+
+def chosen_mpp(override: Column, embedded: Column) -> Column:
+    """The override where it is valid, else the embedded one where that is, else null: never a target's."""
+    from .text import valid_mpp
+
+    return F.when(override.isNotNull(), F.when(valid_mpp(override), override)).otherwise(F.when(valid_mpp(embedded), embedded))

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: What counts as true and false in each dialect of text booleans; any other text is null.
 BOOLEANS = {
@@ -40,8 +43,8 @@ SPACED_ALIASES = {
 #: Sex labels in English and Spanish.
 SEXES = {"f": "female", "female": "female", "femenino": "female", "mujer": "female", "m": "male", "male": "male", "masculino": "male", "hombre": "male"}
 
-#: Letters of Latin-1 and Latin Extended with the ASCII letter that is left when their marks go.
-_marked = {chr(c): unicodedata.normalize("NFKD", chr(c))[0] for c in range(0xC0, 0x250) if unicodedata.combining(unicodedata.normalize("NFKD", chr(c))[-1])}
+#: Letters up to Latin Extended Additional with the letter that is left when their marks go.
+_marked = {chr(c): unicodedata.normalize("NFKD", chr(c))[0] for c in range(0xC0, 0x1F00) if unicodedata.combining(unicodedata.normalize("NFKD", chr(c))[-1])}
 MARKED, PLAIN = "".join(_marked), "".join(_marked.values())
 
 
@@ -211,3 +214,191 @@ def mentions(x: Column, markers: list[str], shortest: int = 1) -> Column:
     """The markers, in lower case and not shorter than shortest, that a text contains."""
     known = [m.lower() for m in markers if len(m) >= shortest]
     return F.filter(F.array(*[F.lit(m) for m in known]).cast("array<string>"), lambda m: F.contains(F.lower(x), m))
+
+
+@F.pandas_udf(T.StringType())
+def compatible(x: pd.Series) -> pd.Series:
+    """A text in Unicode normal form NFKC: full-width letters, ligatures and the like as their plain forms. Spark has no function for it."""
+    return x.map(lambda v: v if v is None or v.isascii() else unicodedata.normalize("NFKC", v))
+
+
+@F.pandas_udf(T.StringType())
+def without_marks(x: pd.Series) -> pd.Series:
+    """A text in normal form NFKD without combining marks."""
+    return x.map(lambda v: v if v is None or v.isascii() else "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)))
+
+
+def category(x: Column, name: str) -> Column:
+    """A category cleaned: compatible form, single spaces, lower case; blank, nan and none are null; sex labels are mapped where the column is named for them."""
+    plain = re.sub("[^A-Za-z0-9]+", "_", name).strip("_").upper()
+    cleaned = label(compatible(x))
+    cleaned = F.when(~cleaned.isin("", "nan", "none"), cleaned)
+    return F.coalesce(_map(SEXES)[cleaned], cleaned) if plain in SEX_COLUMNS else cleaned
+
+
+#: Names of columns that hold sex labels.
+SEX_COLUMNS = ("SEXO", "SEX", "GENDER")
+
+
+def positive_int(x: Column) -> Column:
+    """Integral number above 0 of a text, else null."""
+    n = parse_int(x)
+    return F.when(n > 0, n)
+
+
+def items(x: Column) -> Column:
+    """The entries of a comma-separated text, trimmed, without blank ones; null has none."""
+    return F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), ","), lambda p: F.trim(p)), lambda p: p != "")
+
+
+def square_grid(x: Column) -> Column:
+    """n of a text n x n, n above 0; null for blank and other text."""
+    text = F.lower(F.trim(x))
+    rows, columns = (F.regexp_extract(text, r"^(\d+)\s*x\s*(\d+)$", i).try_cast("int") for i in (1, 2))
+    return F.when((rows == columns) & (rows > 0), rows)
+
+
+def container_id(path: Column, alias: str, generic: str = "1.mds") -> Column:
+    """Sample id of a container file: its stem if that is an alias, its folder if the file has the generic name and the folder is one, else the stem as a slug."""
+    name = F.element_at(F.split(path, "/"), -1)
+    stem, folder = F.regexp_replace(name, r"(?<=.)\.[^.]*$", ""), F.coalesce(F.get(F.split(path, "/"), F.size(F.split(path, "/")) - 2), F.lit(""))
+    return F.when(stem.rlike(alias), stem).when((F.lower(name) == generic) & folder.rlike(alias), folder).otherwise(slug(stem))
+
+
+def record_number(x: Column, doi: str) -> Column:
+    """The digits of a record id, of a DOI that ends in ``<doi>.<digits>``, or of a record's URL; null for other text."""
+    text = F.regexp_replace(F.trim(x), "/+$", "")
+    found = F.regexp_extract(text, rf"(?:{re.escape(doi)}[.]|/records?/)([0-9]+)(?:$|[/?#])", 1)
+    return F.when(text.rlike("^[0-9]+$"), text).when(found != "", found)
+
+
+def extension(x: Column) -> Column:
+    """A file extension in lower case with its dot."""
+    return F.lower(F.when(x.startswith("."), x).otherwise(F.concat(F.lit("."), x)))
+
+
+def search_terms(terms: Column) -> Column:
+    """Terms in lower case, each also with underscores for hyphens and for spaces, without blank and repeated ones."""
+    low = F.filter(F.transform(terms, lambda t: F.lower(F.trim(t))), lambda t: t != "")
+    return F.array_distinct(F.flatten(F.transform(low, lambda t: F.array(t, F.replace(t, F.lit("-"), F.lit("_")), F.replace(t, F.lit(" "), F.lit("_"))))))
+
+
+def search_text(path: Column, root: str) -> Column:
+    """A path below root in lower case, and again with underscores for hyphens and spaces, one a line."""
+    low = F.replace(F.lower(relative(path, root)), F.lit("\\"), F.lit("/"))
+    return F.concat(low, F.lit("\n"), F.translate(low, "- ", "__"))
+
+
+def short_label(path: Column, root: str, folders: list[str], longest: int = 46) -> Column:
+    """A path below root as a label: without suffix and the folders' names, spaces for underscores; of a longer one the end after an ellipsis."""
+    out = F.regexp_replace(relative(path, root), r"(?<=[^/])\.[^./]*$", "")
+    for f in folders:
+        out = F.replace(out, F.lit(f), F.lit(""))
+    out = squeezed(F.replace(out, F.lit("_"), F.lit(" ")))
+    return F.when(F.length(out) > longest, F.concat(F.lit("…"), F.right(out, F.lit(longest - 1)))).otherwise(out)
+
+
+def replaced(x: Column, names: dict[str, str]) -> Column:
+    """A text with every name replaced by another, one name after the other."""
+    for old, new in names.items():
+        x = F.replace(x, F.lit(old), F.lit(new))
+    return x
+
+
+def scale_label(length: Column) -> Column:
+    """A length in micrometres as text: whole micrometres, or from 1000 on millimetres, with one digit unless they are whole."""
+    mm = length / 1000.0
+    whole = F.abs(mm - F.bround(mm, 0)) < 1e-6
+    return F.when(length < 1000, F.format_string("%d um", F.bround(length, 0).cast("bigint"))).when(whole, F.format_string("%d mm", F.bround(mm, 0).cast("bigint"))).otherwise(F.format_string("%.1f mm", mm))
+
+
+def safe_name(x: Column) -> Column:
+    """A trimmed file name of letters, digits, dot, underscore and hyphen that starts with a letter or digit; null otherwise."""
+    return F.when(F.trim(x).rlike(r"^[A-Za-z0-9][A-Za-z0-9._-]*$"), F.trim(x))
+
+
+def marker_variants(path: Column, shortest: int = 4) -> Column:
+    """What could betray a source path in bytes: the path, its folder, the folder's name and the part of it before an underscore, as UTF-8 and UTF-16LE; sorted."""
+    parts = F.split(path, "/")
+    folder = F.coalesce(F.get(parts, F.size(parts) - 2), F.lit(""))
+    parent = F.when(F.size(parts) > 1, F.array_join(F.slice(parts, F.lit(1), F.greatest(F.lit(0), F.size(parts) - 1)), "/")).otherwise(F.lit(""))
+    texts = F.filter(F.array(folder, F.get(F.split(folder, "_"), F.lit(0)), path, parent), lambda t: F.length(t) >= shortest)
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(texts, lambda t: F.array(F.encode(t, "UTF-8"), F.encode(t, "UTF-16LE"))))))
+
+
+def source_markers(*columns: Column, shortest: int = 6) -> Column:
+    """The texts of the columns in lower case, without repeated ones and those that are shorter when trimmed; sorted."""
+    return F.array_sort(F.array_distinct(F.filter(F.transform(F.array_compact(F.array(*columns)), F.lower), lambda t: F.length(F.trim(t)) >= shortest)))
+
+
+def unescaped(x: Column) -> Column:
+    """The five XML character references and the numeric ones for them decoded."""
+    for old, new in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&#x27;", "'"), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")):
+        x = F.replace(x, F.lit(old), F.lit(new))
+    return x
+
+
+def same_text(a: Column, b: Column) -> Column:
+    """Whether two texts are equal once character references are decoded; null equals null only."""
+    return unescaped(a).eqNullSafe(unescaped(b))
+
+
+def valid_mpp(x: Column) -> Column:
+    return F.coalesce(~F.isnan(x) & (x > 0) & (x < float("inf")), F.lit(False))
+
+
+def dimensions(x: Column) -> Column:
+    """array<array<bigint>> of a JSON text [[width, height], ...] of whole numbers above 0; null for anything else, 1.0 and "1" included."""
+    pair = r"\[\s*[1-9][0-9]*\s*,\s*[1-9][0-9]*\s*\]"
+    return F.when(x.rlike(rf"^\s*\[\s*{pair}(\s*,\s*{pair})*\s*\]\s*$"), F.from_json(x, "array<array<bigint>>"))
+
+
+def sampled(values: Column) -> Column:
+    """The first, middle and last of an array in order, each once."""
+    n = F.size(values)
+    return F.when(n > 0, F.transform(F.array_distinct(F.array(F.lit(0), F.floor(n / 2).cast("int"), n - 1)), lambda i: F.get(values, i)))
+
+
+def instant(x: Column) -> Column:
+    """Timestamp of an ISO 8601 text with a zone; null without a zone or for other text."""
+    return F.when(F.trim(x).rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})$"), F.try_to_timestamp(F.trim(x)))
+
+
+def compression(name: Column, level: Column) -> Column:
+    """struct(codec, level) of a compression by name: none, deflate with a level of 0 to 9 (null where it is another), or the name itself."""
+    text = F.lower(F.trim(name))
+    codec = F.when(text.isin("none", "no", "uncompressed"), F.lit(None)).when(text.isin("deflate", "zlib"), "deflate").otherwise(text)
+    out = F.struct(codec.alias("codec"), F.when(codec == "deflate", level).cast("int").alias("level"))
+    return F.when(~F.coalesce((codec == "deflate") & ~level.between(0, 9), F.lit(False)), out)
+
+
+def natural_level(x: Column) -> list[Column]:
+    """Order of level names: numbers first, the greatest first, then other text."""
+    number = F.trim(x).try_cast("double")
+    return [number.isNull(), F.coalesce(-number, F.lit(0.0)), F.when(number.isNull(), F.lower(x))]
+
+
+def csv_header(x: Column) -> Column:
+    """Whether the first line of a delimited text has a field that is not blank."""
+    return F.coalesce(F.regexp_replace(F.get(F.split(x, r"\r\n|\r|\n"), F.lit(0)), r'[\s",]', "") != "", F.lit(False))
+
+
+def json_text(x: Column) -> Column:
+    """Whether a text is JSON."""
+    return F.coalesce(x != "", F.lit(False)) & F.try_parse_json(x).isNotNull()
+
+
+def magic(content: Column, head: bytes) -> Column:
+    """Whether bytes begin with those of head."""
+    return F.coalesce(F.substring(content, 1, len(head)) == F.lit(head), F.lit(False))
+
+
+def padded(name: Column, size: Column) -> Column:
+    """Bytes of a size: a name, cut or filled up with zeros."""
+    return F.rpad(F.encode(name, "UTF-8"), size.cast("int"), F.lit(b"\0"))
+
+
+def matching_structs(have: Column, wanted: Column, fields: list[str]) -> Column:
+    """Whether two arrays of structs are as long and agree, place by place, in the fields that are wanted (null: not asked for)."""
+    same = F.zip_with(have, wanted, lambda h, w: reduce(lambda a, b: a & b, [w[f].isNull() | F.coalesce(h[f] == w[f], F.lit(False)) for f in fields]))
+    return F.coalesce((F.size(have) == F.size(wanted)) & F.forall(same, lambda s: s), F.lit(False))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import slide_key
+from ..functions.text import compatible, slide_key
 
 
 def outcome_of(x: Column, positive: str, negative: str) -> Column:
@@ -38,8 +38,10 @@ def linkage(clinical: DataFrame, matrix: DataFrame, audit: DataFrame) -> DataFra
 
 
 def keyed(df: DataFrame, column: str) -> DataFrame:
-    """df with key, the normalised form of an id column."""
-    return df.withColumn("key", slide_key(F.col(column)))
+    """df with key, the normalised form of an id column: compatible letters in upper case, separators as one hyphen. An id of which nothing is left is an error, a null one is null."""
+    key = slide_key(F.col("_id"))
+    out = df.withColumn("_id", compatible(F.col(column).cast("string"))).withColumn("key", key).drop("_id")
+    return out.withColumn("key", F.when(F.col("key") == "", F.raise_error(F.concat(F.lit("no key is left of the id "), F.col(column).cast("string"))).cast("string")).otherwise(F.col("key")))
 
 
 def roster_with(clinical: DataFrame, *tables: DataFrame, key: str = "key") -> DataFrame:
