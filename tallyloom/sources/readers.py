@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import struct
 from collections.abc import Iterator
 
@@ -11,7 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators.validate import ConstraintError, columns
+from ..operators.ranking import ordered
+from ..operators.validate import ConstraintError
+from ..operators.validate import columns as column_problems
 
 #: Columns under other names, in the order in which they are looked for.
 ALIASES = {
@@ -46,7 +49,7 @@ def text_table(spark: SparkSession, path: str | list[str], required: list[str],
     sep = sep or ("\t" if first.endswith((".tsv", ".tsv.gz")) else ",")
     df = spark.read.option("header", True).option("sep", sep).option("inferSchema", False).option("multiLine", True).option("escape", '"').csv(path)
     df = df.toDF(*[c.lstrip("﻿").strip() for c in df.columns])
-    if wrong := columns(df, required, exact):
+    if wrong := column_problems(df, required, exact):
         raise ConstraintError("; ".join(wrong))
     return df.select(*[F.when(F.trim(f"`{c}`") != "", F.trim(f"`{c}`")).alias(c) for c in df.columns])
 
@@ -61,14 +64,14 @@ def cell_table(spark: SparkSession, path: str) -> DataFrame:
     """Cells of a CSV file, gzipped or not, by aliases of its columns: only those columns are read.
 
     Rows without a centroid are dropped. Coordinates are floats. A box that is not given is 2 pixels around the centroid. A known class id decides the name, else a known
-    name decides the id, else id -1.
+    name decides the id, else id -1. Without a column of ids, cells are numbered ``cell_%09d`` in the order of slices of the file, from 1.
     """
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     found: dict[str, str | None] = {}
     for c in ALIASES:
         found[c] = header_check(raw, c, taken=tuple(v for v in found.values() if v))
-    if not (found["centroid_x"] and found["centroid_y"]) or not (found["class_id"] or found["class_name"]):
-        raise ConstraintError("a cell table needs centroids and a class")
+    if not (found["centroid_x"] and found["centroid_y"]):
+        raise ConstraintError("a cell table needs centroids")
     get = lambda c: F.col(f"`{found[c]}`") if found[c] else F.lit(None).cast("string")
     number = lambda c: get(c).try_cast("float")
     x, y = number("centroid_x"), number("centroid_y")
@@ -77,10 +80,14 @@ def cell_table(spark: SparkSession, path: str) -> DataFrame:
     known = F.when(given.between(0, len(tx.CLASS_NAMES) - 1), given)
     by_name = tx.class_id(name)
     class_id = F.coalesce(known, F.when(by_name >= 0, by_name), given, F.lit(-1))
-    df = raw.select(
+    columns = [
         get("cell_id").alias("cell_id"), class_id.alias("class_id"), F.when(known.isNotNull(), tx.name_of_class(known)).otherwise(F.coalesce(name, tx.name_of_class(class_id))).alias("class_name"),
         x.alias("centroid_x"), y.alias("centroid_y"), *[F.coalesce(number(f"bbox_{c}"), (x if c[0] == "x" else y) + F.lit(-2 if c[1] == "0" else 2).cast("float")).alias(f"bbox_{c}") for c in ("x0", "y0", "x1", "y1")],
-    )
+    ]
+    df = raw.select(*columns)
+    if not found["cell_id"]:
+        where = raw.select(F.struct(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_block_start").alias("s"), F.monotonically_increasing_id().alias("i")).alias("_at"), "*")
+        df = ordered(where, [F.col("_at")], "_n").select(F.format_string("cell_%09d", "_n").alias("cell_id"), *columns[1:])
     return df.where(F.col("centroid_x").isNotNull() & F.col("centroid_y").isNotNull() & ~F.isnan("centroid_x") & ~F.isnan("centroid_y"))
 
 
@@ -127,16 +134,28 @@ def array_payload(spark: SparkSession, path: str, array: str, dtype: str = "floa
     return _binary(spark, path, "*.np[yz]").select("path", "content").mapInArrow(read, "path string, i bigint, value double")
 
 
-def _tiff(head: bytes) -> dict:
-    """Levels, tiling and the first level's size from the bytes of a TIFF file; error instead of an exception."""
+def opened(path: str):
+    """A file of any store that pyarrow reads (local, HDFS, S3, GCS), for reading ranges inside a task."""
+    from pyarrow import fs
+
+    store, inner = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path) if path.startswith("file:") else path)
+    return store.open_input_file(inner)
+
+
+def _tiff(read) -> dict:
+    """Levels, tiling and the first level's size of a TIFF file, of which read(offset, length) gives ranges; error instead of an exception."""
     try:
+        head = read(0, 16)
         order = {b"II": "<", b"MM": ">"}[head[:2]]
         big = struct.unpack(order + "H", head[2:4])[0] == 43
         at = struct.unpack(order + ("Q" if big else "I"), head[8:16] if big else head[4:8])[0]
         out: dict = {"levels": 0, "tiled": False, "bigtiff": big, "width": None, "height": None, "error": None}
         while at and out["levels"] < 1000:
-            n = struct.unpack_from(order + ("Q" if big else "H"), head, at)[0]
-            start, size = at + (8 if big else 2), 20 if big else 12
+            n = struct.unpack_from(order + ("Q" if big else "H"), read(at, 8))[0]
+            start, size = 0, 20 if big else 12
+            if n > 65_535:
+                raise struct.error("more tags than a directory may have")
+            head = read(at + (8 if big else 2), n * size + 8)
             for i in range(n):
                 tag, kind = struct.unpack_from(order + "HH", head, start + i * size)
                 value = struct.unpack_from(order + {3: "H", 4: "I", 16: "Q"}.get(kind, "I"), head, start + i * size + (12 if big else 8))[0]
@@ -146,22 +165,45 @@ def _tiff(head: bytes) -> dict:
             out["levels"] += 1
             at = struct.unpack_from(order + ("Q" if big else "I"), head, start + n * size)[0]
         return out
-    except (KeyError, struct.error) as e:
+    except (KeyError, struct.error, OSError) as e:
         return {"levels": None, "tiled": None, "bigtiff": None, "width": None, "height": None, "error": f"{type(e).__name__}: {e}"}
 
 
 def tiff_layout(spark: SparkSession, path: str) -> DataFrame:
-    """(path, levels, tiled, bigtiff, width, height, error) of TIFF files; what can't be read has its error as a value."""
+    """(path, levels, tiled, bigtiff, width, height, error) of TIFF files; what can't be read has its error as a value. Only headers and tag directories are read."""
     kinds = {"levels": pa.int32(), "tiled": pa.bool_(), "bigtiff": pa.bool_(), "width": pa.int64(), "height": pa.int64(), "error": pa.string()}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [_tiff(c) for c in batch.column("content").to_pylist()]
+            rows = []
+            for p in batch.column("path").to_pylist():
+                try:
+                    with opened(p) as f:
+                        rows.append(_tiff(lambda at, n, f=f: bytes(f.read_at(n, at))))
+                except OSError as e:
+                    rows.append(dict.fromkeys(kinds) | {"error": f"{type(e).__name__}: {e}"})
             yield pa.RecordBatch.from_arrays([batch.column("path"), *(pa.array([r[k] for r in rows], t) for k, t in kinds.items())], names=["path", *kinds])
 
-    return _binary(spark, path, "*.tif*").select("path", "content").mapInArrow(read, "path string, levels int, tiled boolean, bigtiff boolean, width bigint, height bigint, error string")
+    return _binary(spark, path, "*.tif*").select("path").mapInArrow(read, "path string, levels int, tiled boolean, bigtiff boolean, width bigint, height bigint, error string")
 
 
 def digests(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(path, size, sha256, md5) of files."""
-    return _binary(spark, path, pattern).select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"))
+    """(path, size, sha256, md5) of files, read in chunks, whatever their size."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
+        for batch in batches:
+            out = []
+            for p in batch.column("path").to_pylist():
+                size, sha256, md5 = 0, hashlib.sha256(), hashlib.md5(usedforsecurity=False)
+                with opened(p) as f:
+                    while chunk := f.read(8 << 20):
+                        size += len(chunk)
+                        sha256.update(chunk)
+                        md5.update(chunk)
+                out.append((p, size, sha256.hexdigest(), md5.hexdigest()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["path", "size", "sha256", "md5"])
+
+    return _binary(spark, path, pattern).select("path").mapInArrow(read, "path string, size bigint, sha256 string, md5 string")

@@ -1,11 +1,11 @@
-"""Sinks: text tables, JSON documents, and writes that are published by one rename."""
+"""Sinks: text tables, JSON documents, and tables whose new version is published by one rename."""
 
 from __future__ import annotations
 
 import uuid
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,17 +36,56 @@ def json_document(df: DataFrame, path: str, name: str, order: list[str]) -> None
     df.agg(rows.alias(name)).select(F.to_json(F.struct(name)).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
-def staged(df: DataFrame, path: str, kind: str = "parquet") -> None:
-    """Writes df beside path and renames it there, so that readers see all of it or none."""
-    spark = df.sparkSession
-    beside = f"{path}.{uuid.uuid4().hex[:8]}"
-    df.write.format(kind).save(beside)
+def shared_folder(spark: SparkSession) -> str:
+    """A folder of this application that all executors share: below spark.checkpoint.dir; only a local session may go without that setting."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = "/tmp/checkpoints"
+    return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}/tables"
+
+
+def _hadoop(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(target, True)
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(beside), target):
-        raise OSError(f"{beside} could not be renamed to {path}")
+    return jvm, target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Puts a small text file in place of another by one rename that overwrites: readers see the old one or the new one."""
+    jvm, target, fs = _hadoop(spark, path)
+    beside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:8]}")
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(target).toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(fs.makeQualified(beside), fs.makeQualified(target), how)
+
+
+def staged(df: DataFrame, path: str, kind: str = "parquet") -> None:
+    """Writes df as a new version below path, then makes it the current one by replacing the file ``CURRENT`` in one rename.
+
+    Readers by current() see the version before or this one, also when the write fails. Older versions but the one before are deleted, so that running readers may finish.
+    """
+    spark = df.sparkSession
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    df.write.format(kind).save(f"{path}/{version}")
+    jvm, target, fs = _hadoop(spark, path)
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{path}/CURRENT")
+    before = spark.read.text(f"{path}/CURRENT").first()[0] if fs.exists(pointer) else None
+    replace_file(spark, f"{path}/CURRENT", version)
+    for status in fs.listStatus(target):
+        name = status.getPath().getName()
+        if name.startswith("v-") and name not in (version, before):
+            fs.delete(status.getPath(), True)
+
+
+def current(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
+    """The version of a staged() table that is current now."""
+    return spark.read.format(kind).load(f"{path}/{spark.read.text(f'{path}/CURRENT').first()[0]}")
 
 
 def checksum_lines(df: DataFrame, digest: str = "sha256", path: str = "path") -> DataFrame:

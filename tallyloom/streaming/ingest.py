@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.integrity import upsert
+from ..sources.writers import _hadoop
+
+#: Buckets of keys that latest_by_key() writes for itself.
+BUCKETS = 64
 
 
 def files_stream(spark: SparkSession, path: str, schema: str, kind: str = "parquet", per_batch: int = 100) -> DataFrame:
@@ -23,12 +27,45 @@ def windowed_counts(events: DataFrame, time: str, length: str, late: str, *by: s
     return events.withWatermark(time, late).groupBy(F.window(time, length), *by).agg(F.count(F.lit(1)).alias("n")).select(F.col("window.start").alias("start"), *by, "n")
 
 
+def _versions(spark: SparkSession, path: str, before: int | None = None) -> dict[int, list[int]]:
+    """The batches, before a number, that each bucket has a folder of."""
+    _, root, fs = _hadoop(spark, path)
+    out: dict[int, list[int]] = {}
+    for batch in fs.listStatus(root) if fs.exists(root) else ():
+        name = batch.getPath().getName()
+        if name.isdigit() and (before is None or int(name) < before):
+            for bucket in fs.listStatus(batch.getPath()):
+                if bucket.getPath().getName().startswith("_bucket="):
+                    out.setdefault(int(bucket.getPath().getName()[8:]), []).append(int(name))
+    return out
+
+
+def latest(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows that latest_by_key() keeps now."""
+    newest = [f"{path}/{max(v)}/_bucket={b}" for b, v in _versions(spark, path).items()]
+    return spark.read.schema(schema).parquet(*newest) if newest else spark.createDataFrame([], schema)
+
+
 def latest_by_key(stream: DataFrame, path: str, checkpoint: str, keys: list[str], order: list[str]) -> StreamingQuery:
-    """Keeps the last row of each key in Parquet below path, one folder a batch; a batch that runs again writes the same folder again."""
+    """Keeps the last row of each key in Parquet below path; latest() reads it.
+
+    Keys are dealt out to BUCKETS buckets; a batch writes anew only the buckets that it has rows of, below its own number, so a batch that runs again writes the same
+    folders again. Of each bucket the last two versions stay.
+    """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        previous = spark.read.parquet(f"{path}/{number - 1}") if number else spark.createDataFrame([], batch.schema)
-        upsert(previous, batch, keys, order).write.mode("overwrite").parquet(f"{path}/{number}")
+        spread = batch.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")).persist()
+        touched = {r[0] for r in spread.select("_bucket").distinct().collect()}  # BUCKETS at most
+        versions = _versions(spark, path, number)
+        before = [f"{path}/{max(v)}/_bucket={b}" for b, v in versions.items() if b in touched]
+        rows = spread if not before else spread.unionByName(spark.read.schema(batch.schema).parquet(*before).withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")))
+        last = upsert(rows.where("false"), rows, ["_bucket", *keys], order)
+        last.write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/{number}")
+        spread.unpersist()
+        for b in touched & set(versions):
+            for old in sorted(versions[b])[:-1]:
+                _, folder, fs = _hadoop(spark, f"{path}/{old}/_bucket={b}")
+                fs.delete(folder, True)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,3 +1,4 @@
+import hashlib
 import json
 import struct
 
@@ -68,6 +69,9 @@ def test_cell_table_precedence(spark, tmp_path):
     (tmp_path / "c.csv").write_text("id,class_idx,label,cx,cy,polygon\n1,2,Cancer cells,5,6,x\n2,77,Macrophage,7,8,x\n3,,other,9,1,x\n4,1,a,,2,x\n")
     got = {r.cell_id: (r.class_id, r.class_name, r.bbox_x0) for r in readers.cell_table(spark, str(tmp_path / "c.csv")).collect()}
     assert got == {"1": (2, "Lymphocytes", 3.0), "2": (7, "Macrophages", 5.0), "3": (-1, "other", 7.0)}
+    (tmp_path / "d.csv").write_text("x,y\n" + "".join(f"{i},1\n" for i in range(30)))
+    rows = readers.cell_table(spark, str(tmp_path / "d.csv")).orderBy("cell_id").collect()
+    assert [(r.cell_id, r.centroid_x) for r in rows[:2]] == [("cell_000000001", 0.0), ("cell_000000002", 1.0)] and {(r.class_id, r.class_name) for r in rows} == {(-1, "Class -1")} and len(rows) == 30
 
 
 def test_arrays_and_headers(spark, tmp_path):
@@ -77,6 +81,7 @@ def test_arrays_and_headers(spark, tmp_path):
     (tmp_path / "t.tif").write_bytes(b"II*\0" + struct.pack("<I", 8) + struct.pack("<H", 3) + entry(256, 640) + entry(257, 480) + entry(322, 256) + struct.pack("<I", 0))
     (tmp_path / "bad.tif").write_bytes(b"nope")
     got = {r.path.rpartition("/")[2]: r for r in sources.tiff_layout(spark, str(tmp_path)).collect()}
+    assert {r.path.rpartition("/")[2]: (r.size, r.sha256) for r in readers.digests(spark, str(tmp_path)).collect()}["bad.tif"] == (4, hashlib.sha256(b"nope").hexdigest())
     assert (got["t.tif"].levels, got["t.tif"].tiled, got["t.tif"].width, got["t.tif"].height) == (1, True, 640, 480) and got["bad.tif"].error
 
 
@@ -87,7 +92,12 @@ def test_sinks(spark, tmp_path):
     assert next(tmp_path.glob("o/*.csv")).read_text() == "k,v\na,1e-20\nb,0.3\n"
     sources.staged(df, f"{tmp_path}/p")
     sources.staged(df.limit(1), f"{tmp_path}/p")
-    assert spark.read.parquet(f"{tmp_path}/p").count() == 1 and len(list(tmp_path.glob("p*"))) == 1
+    assert sources.current(spark, f"{tmp_path}/p").count() == 1 and len(list(tmp_path.glob("p/v-*"))) == 2
+    sources.staged(df, f"{tmp_path}/p")
+    assert sources.current(spark, f"{tmp_path}/p").count() == 2 and len(list(tmp_path.glob("p/v-*"))) == 2
+    with pytest.raises(Exception):  # a write that fails leaves the current version
+        sources.staged(df.select(F.raise_error(F.lit("broken")).alias("x")), f"{tmp_path}/p")
+    assert sources.current(spark, f"{tmp_path}/p").count() == 2
     sources.json_document(df, f"{tmp_path}/j", "rows", ["k"])
     assert [r["k"] for r in json.loads(next(tmp_path.glob("j/*.txt")).read_text())["rows"]] == ["a", "b"]
 
@@ -107,4 +117,9 @@ def test_stream_keeps_the_latest(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
         stream = streaming.ingest.files_stream(spark, f"{tmp_path}/in", schema)
         streaming.latest_by_key(stream, f"{tmp_path}/out", f"{tmp_path}/cp", ["k"], ["t"]).awaitTermination()
-    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out/1").collect()) == [("a", 3, "z"), ("b", 1, "y")]
+    assert sorted(tuple(r) for r in streaming.latest(spark, f"{tmp_path}/out", schema).collect()) == [("a", 3, "z"), ("b", 1, "y")]
+    for i in range(4, 8):
+        spark.createDataFrame([("a", i, "n")], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        streaming.latest_by_key(streaming.ingest.files_stream(spark, f"{tmp_path}/in", schema), f"{tmp_path}/out", f"{tmp_path}/cp", ["k"], ["t"]).awaitTermination()
+    assert sorted(tuple(r) for r in streaming.latest(spark, f"{tmp_path}/out", schema).collect()) == [("a", 7, "n"), ("b", 1, "y")]
+    assert len(list(tmp_path.glob("out/*/_bucket=*"))) == 3  # two versions of one bucket, one of the other

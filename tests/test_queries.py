@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from tallyloom.plans.queries import QUERIES, SQL
+from tallyloom.plans import QUERIES, SQL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 SMALL = "/root/testdata/sf0.001"
