@@ -151,7 +151,7 @@ def repeated_passages(docs: DataFrame, window: int = 35, carry: Sequence[str] =
     every = stored(stretches(docs.select("text", "key", "check"), window), "stretches")
     seeds = stored(every.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
     place = F.struct("key", "check", "at")
-    found = stored(split_join(every, seeds.select("seed"), ["seed"], place, seeds, narrow=True), "seeds")
+    found = stored(split_join(every, seeds.select("seed"), ["seed"], place, seeds), "seeds")
     discard(every)
     classes = found.groupBy("seed", "stretch").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "check", "at", "n", "lead")).alias("one"))
     classes = stored(classes.select("seed", "stretch", "copies", "one.*"), "classes")
@@ -165,7 +165,7 @@ def repeated_passages(docs: DataFrame, window: int = 35, carry: Sequence[str] =
     partly = split_join(windows, matched, ["seed", "words"], F.col("stretch")).select("seed", "stretch", F.expr("shiftleft(1L, nth)").alias("mask"))
     wholly = classes.where("copies > 1").select("seed", "stretch", F.expr("shiftleft(1L, n) - 1").alias("mask"))
     masks = stored(partly.unionAll(wholly).groupBy("seed", "stretch").agg(F.bit_or("mask").alias("mask")), "masks")
-    repeats = split_join(found, masks, ["seed", "stretch"], place, classes.select("seed", "stretch", F.col("copies").alias("n")), narrow=True).groupBy("key", "check").agg(F.collect_set(F.struct("at", "mask")).alias("repeats"))
+    repeats = split_join(found, masks, ["seed", "stretch"], place, classes.select("seed", "stretch", F.col("copies").alias("n"))).groupBy("key", "check").agg(F.collect_set(F.struct("at", "mask")).alias("repeats"))
     sweep(since, found, masks)
     return cut(texts.join(repeats.hint("shuffle_hash"), ["key", "check"], "left").select("row", "text", "repeats"), window, layout).select("row.*", "n_words", "spans", "n_removed", "kept_text")
 
