@@ -1,3 +1,5 @@
+import re
+
 import __spark_entry__ as entry
 import corpus_pipeline
 import pytest
@@ -49,5 +51,36 @@ def test_stages(spark, folder, tmp_path):
 
 
 def test_registered():
-    names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
+    names = [n for n in entry.queries() if re.match(r"op\d+_", n) or n == "pipeline"]
     assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 11)) and "pipeline" in names
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, row int, score int, kept int"
+TEXT = " ".join(f"w{i}" for i in range(60))
+ODD = [(1, TEXT, "en", "s", 1, 1, 1, 1), (1, TEXT, "en", "s", 1, 1, 1, 1), (2, None, None, None, None, 2, 2, 2), (3, "", "en", "s", 0, 3, 3, 3), (None, "short text", "en", "s", 10, 4, 4, 4), (None, "short  text", "en", "s", 11, 5, 5, 5), (4, "other words here", "en", "s", 16, 6, 6, 6)]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_and_empty_tables(spark, folder, name):
+    stage, df = dict(corpus_pipeline.STAGES)[name], spark.createDataFrame(ODD, DOCS)
+    assert stage(spark, df.limit(0), folder).count() == 0
+    got = stage(spark, df, folder)
+    ids = sorted(str(r.doc_id) for r in got.collect())
+    if name == "packing":
+        assert ids == ["1", "1", "2", "3", "4", "None", "None"] and {r.length for r in got.where("doc_id in (2, 3)").collect()} == {1}
+        return
+    assert got.columns == COLUMNS
+    want = {
+        "exact_dedup": ["1", "2", "4", "None"],  # of the empty texts the smaller id, of the repeated row one, of the two without ids the longer
+        "near_dedup": ["1", "1", "2", "3", "4", "None", "None"],  # rows that share an id are one document
+        "substring_dedup": ["2", "3", "4", "None", "None"],  # repeated rows are each other's copies, so nothing is left of them
+    }
+    if name == "quality":  # repeated rows stay or go together, empty texts too
+        assert ids.count("1") in (0, 2) and ("2" in ids) == ("3" in ids)
+    else:
+        assert ids == want[name]
+
+
+def test_without_labels_nothing_is_rejected(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.quality(spark, spark.createDataFrame(ODD, DOCS), str(tmp_path)).count() == len(ODD)
