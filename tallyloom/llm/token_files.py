@@ -22,7 +22,7 @@ from ._shared import shared_dir, slices
 from ._tokens import encoder
 
 #: Documents whose ids may train the dictionary, the longest text among them in characters, and the size of the dictionary: those
-#: with the smallest hashes of their ids among documents that are not longer, so that a rerun takes the same ones.
+#: with the smallest hashes of their ids, and of those the ones that are not longer, so that a rerun takes the same ones.
 TRAINING_DOCUMENTS = 1024
 TRAINING_CHARACTERS = 20_000
 DICTIONARY_BYTES = 64 << 10
@@ -46,10 +46,11 @@ def _ids(path: str, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int) -> bytes:
     """A zstandard dictionary trained on the serialized ids of a bounded sample; without 8 samples or enough data, b""."""
-    usable = docs.where(F.col("doc_id").isNotNull() & (F.length("text") <= TRAINING_CHARACTERS)).select("doc_id", "text")
+    chosen = docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_DOCUMENTS)
+    chosen = [r[0] for r in chosen.collect()]
+    sample = docs.where(F.col("doc_id").isin(chosen) & (F.length("text") <= TRAINING_CHARACTERS))
     # one text for each id, as ids may repeat without bound
-    chosen = [r[0] for r in usable.groupBy("doc_id").agg(F.first(F.lit(1))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_DOCUMENTS).select("doc_id").collect()]
-    sample = usable.where(F.col("doc_id").isin(chosen)).groupBy("doc_id").agg(F.min("text").alias("text")).select("text")
+    sample = sample.groupBy("doc_id").agg(F.min("text").alias("text")).select("text")
 
     def serialize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, parts in _ids(tokenizer, end_id, batches):
