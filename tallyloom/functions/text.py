@@ -305,11 +305,20 @@ def replaced(x: Column, names: dict[str, str]) -> Column:
     return x
 
 
+def one_digit(x: Column) -> Column:
+    """A number of 0 to 100 as text with one digit after the point, rounded by its exact binary value, ties to even; format_string would round 2.05, which is a little less, up."""
+    scaled = (x * float(1 << 52)).cast("bigint")  # exact: a power of two
+    tenths = F.shiftright(scaled * 10, 52)
+    twice, tie = scaled * 20, (tenths * 2 + 1) * F.lit(1 << 52)
+    tenths = F.when((twice > tie) | ((twice == tie) & (tenths % 2 == 1)), tenths + 1).otherwise(tenths)
+    return F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
+
+
 def scale_label(length: Column) -> Column:
     """A length in micrometres as text: whole micrometres, or from 1000 on millimetres, with one digit unless they are whole."""
     mm = length / 1000.0
     whole = F.abs(mm - F.bround(mm, 0)) < 1e-6
-    return F.when(length < 1000, F.format_string("%d um", F.bround(length, 0).cast("bigint"))).when(whole, F.format_string("%d mm", F.bround(mm, 0).cast("bigint"))).otherwise(F.format_string("%.1f mm", mm))
+    return F.when(length < 1000, F.format_string("%d um", F.bround(length, 0).cast("bigint"))).when(whole, F.format_string("%d mm", F.bround(mm, 0).cast("bigint"))).otherwise(F.concat(F.when(mm < 100, one_digit(mm)).otherwise(F.format_string("%.1f", mm)), F.lit(" mm")))
 
 
 def safe_name(x: Column) -> Column:
