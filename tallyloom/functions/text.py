@@ -306,7 +306,7 @@ def replaced(x: Column, names: dict[str, str]) -> Column:
 
 
 def one_digit(x: Column) -> Column:
-    """A number of 0 to 100 as text with one digit after the point, rounded by its exact binary value, ties to even; format_string would round 2.05, which is a little less, up."""
+    """A number of 1 to 100 as text with one digit after the point, rounded by its exact binary value, ties to even; format_string would round 2.05, which is a little less, up."""
     scaled = (x * float(1 << 52)).cast("bigint")  # exact: a power of two
     tenths = F.shiftright(scaled * 10, 52)
     twice, tie = scaled * 20, (tenths * 2 + 1) * F.lit(1 << 52)
