@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that a Python step holds at a time, unless one text alone is longer.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 #: Rows that a table may have to be broadcast; each is a few longs, so 16 MB or less.
 BROADCAST_ROWS = 500_000
 #: Parts of a table that one key may fill before it is split, and rows that are worth a part of their own.
