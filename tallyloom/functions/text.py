@@ -110,6 +110,7 @@ def label(x: Column) -> Column:
 
 def slide_key(x: Column) -> Column:
     """The key on which tables are linked: upper case, without image suffix and staining suffix, separators as one hyphen."""
+    # fixed values: the suffixes of images and of their staining
     out = F.regexp_replace(F.upper(F.trim(x)), r"\.(TIF|TIFF|SVS)$", "")
     out = F.regexp_replace(out, r"(?:[ _-]+L0[ _-]*RGB)?[ _-]+HE[ _-]*1$", "")
     return F.regexp_replace(F.regexp_replace(out, r"[-_\s]+", "-"), "^-+|-+$", "")

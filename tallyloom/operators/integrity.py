@@ -73,6 +73,7 @@ def manifest_rules() -> list:
     """Rules of a release manifest: alias, level, filename, size_bytes, sha256, md5, source_mpp."""
     from .validate import Rule
 
+    # fixed values: the patterns of aliases, digests and file names
     return [
         Rule("bad_alias", ~F.col("alias").rlike(r"^[A-Za-z0-9][A-Za-z0-9._-]*$")),
         Rule("bad_level", ~F.col("level").isin(0, 2)),
