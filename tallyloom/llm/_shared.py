@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Text bytes that a Python step holds at a time, unless one text alone is longer.
@@ -89,6 +90,21 @@ def split_join(rows: DataFrame, table: DataFrame, on: list[str], spread: Column,
     return rows.join(table, [*on, "part"]).drop("part")
 
 
+def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """df, a stored table, with 1, 2, ... in the order of columns; rows alike in all of them get any of their ranks.
+
+    Ranges of the order, cut at sampled keys, are sorted each for itself; a rank is a row's place in its range and the rows of the ranges before, one count a range.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # rows alike in the order are told apart by a number, so that they can be in several ranges
+    keys = [*order, F.col("_tie")]
+    ranges = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("_tie")
+    ranges = stored(ranges.select("*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_place")), "ranges")
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)  # of one row a range
+    sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return ranges.join(F.broadcast(sizes), "_range").withColumn(name, F.col("_before") + F.col("_place") + 1).drop("_range", "_place", "_before")
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """df, a stored table of a few longs a row, marked for broadcast if it has no more rows than the limit; beyond it, joins shuffle it."""
     return F.broadcast(df) if df.count() <= limit else df

@@ -15,6 +15,8 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+
+
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijective mixer of 64-bit values."""
     x = x + U((seed * 0xD1342543DE82EF95 + 0x2545F4914F6CDD1D) & 0xFFFFFFFFFFFFFFFF)
@@ -26,12 +28,12 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x
 
 
-def find(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of each word, and for each text the number of words before it (n + 1 entries)."""
+def find(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of each word, and for each text the number of words before it (n + 1 entries). between: for each byte whether it is outside words."""
     n = len(data)
     blank = np.empty(n + 2, dtype=bool)
     blank[0] = blank[-1] = True
-    np.take(SPACE, data, out=blank[1:-1])
+    np.take(between, data, out=blank[1:-1])
     word = ~blank[1:-1]
     before, after = blank[:-2].copy(), blank[2:].copy()
     inside = offsets[(offsets > 0) & (offsets < n)]

@@ -1,6 +1,7 @@
 """Plain single-process versions of the operators, for small tables."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -164,3 +165,82 @@ def attention_score(model, passages):
         weights.append(math.exp(sum(a * b * c for a, b, c in zip(t, g, model.attend))))
     mean = [sum(w * h[i] for w, h in zip(weights, encoded)) / sum(weights) for i in range(len(encoded[0]))]
     return 1 / (1 + math.exp(-(sum(m * o for m, o in zip(mean, model.out)) + model.out_bias[0])))
+
+
+def digest(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def merkle(docs, fan=8):
+    """{doc_id: (leaf, subroot, root, proof, folded_root)} for rows (doc_id, text, lang, source, n_chars) with ids that differ."""
+    field = lambda x: "-" if x is None else f"{len(str(x).encode())}:{x}"
+    leaf = lambda d, t, lang, s, n: digest(*map(field, (d, s, lang, n, t)))
+
+    def tree(leaves):
+        levels = [leaves]
+        while len(levels[-1]) > 1:
+            levels.append([digest(*levels[-1][i : i + fan]) for i in range(0, len(levels[-1]), fan)])
+        return levels
+
+    def path(levels, at):
+        out = []
+        for nodes in levels[:-1]:
+            begin = at // fan * fan
+            out.append((at - begin, nodes[begin : begin + fan]))
+            at //= fan
+        return out
+
+    groups = defaultdict(list)
+    for row in sorted(docs, key=lambda r: r[0]):
+        groups[row[2]].append(row)
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: tree([leaf(*r) for r in groups[g]]) for g in names}
+    top = tree([trees[g][-1][0] for g in names])
+    out = {}
+    for k, g in enumerate(names):
+        for at, row in enumerate(groups[g]):
+            steps = path(trees[g], at) + path(top, k)
+            tampered = zlib.crc32(str(row[0]).encode()) % 3 == 0 and row[1] is not None
+            node = leaf(row[0], lower(row[1]), *row[2:]) if tampered else leaf(*row)
+            for place, run in steps:
+                node = digest(*run[:place], node, *run[place + 1 :])
+            proof = digest(*(x for place, run in steps for i, x in enumerate(run) if i != place))
+            out[row[0]] = (trees[g][0][at], trees[g][-1][0], top[-1][0], proof, node)
+    return out
+
+
+RESAMPLED = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def resample(docs, target, longest=1, buckets=10_000, percent=10, least=20):
+    """(doc_id, n_features, weight, score, rank) for rows (doc_id, text) with ids that differ."""
+    words = lambda t: RESAMPLED.findall(lower(t or ""))
+    grams = lambda w: [zlib.crc32(" ".join(w[i : i + n]).encode()) % buckets for n in range(1, longest + 1) for i in range(len(w) - n + 1)]
+    texts = {d: words(t) for d, t in docs}
+    s, t = Counter(b for w in texts.values() for b in grams(w)), Counter(b for x in target for b in grams(words(x)))
+    all_s, all_t = sum(s.values()), sum(t.values())
+    scored = {}
+    for d, w in texts.items():
+        g = [math.floor(1000 * math.log((t[b] + 1) * (all_s + buckets) / ((s[b] + 1) * (all_t + buckets)))) for b in grams(w)]
+        h = int(hashlib.sha256(f"2024:{d}".encode()).hexdigest()[:8], 16)
+        weight = sum(g) // len(g) if g else 0
+        scored[d] = (len(g), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))))
+    able = sorted((d for d, w in texts.items() if len(w) >= least), key=lambda d: (-scored[d][2], d))
+    rank = {d: i + 1 for i, d in enumerate(able[: percent * len(able) // 100])}
+    return [(d, *scored[d], rank.get(d)) for d in texts]
+
+
+def later_bytes(docs, length=100):
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for rows (doc_id, text) with ids that differ."""
+    seen, out = set(), []
+    for d, t in sorted(docs, key=lambda r: r[0]):
+        data = (t or "").encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - length + 1):
+            window = data[i : i + length]
+            if window in seen:
+                gone[i : i + length] = b"\1" * length
+            seen.add(window)
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        out.append((d, len(data), sum(gone), len([s for s in bytes(gone).split(b"\0") if s]), hashlib.sha256(kept).hexdigest()))
+    return out
