@@ -20,6 +20,8 @@ SLICE_BYTES = 1 << 19
 BROADCAST_ROWS = 500_000
 #: Parts of a table that one key may fill before it is split, and rows that are worth a part of their own.
 PARTS, PART_ROWS = 1000, 512
+#: Spark's own setting for it.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Tables that stored() has written and discard() has not deleted.
 _made: list[DataFrame] = []
 
@@ -39,11 +41,20 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/{app}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read again: lineage ends there, and no lost executor takes it along."""
+def stored(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
+    """df written as Parquet to the shared folder and read again: lineage ends there, and no lost executor takes it along.
+
+    tidy: the shuffles of this write are deleted once it is done, instead of when the driver collects its garbage.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(TIDY)
+    if tidy:
+        spark.conf.set(TIDY, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(TIDY, before)
     table = spark.read.schema(df.schema).parquet(path)
     table.stored_at = path
     _made.append(table)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._shared import shared_dir, stored
+from .resampling import CRC_TABLE_SQL, crc_sql
 
 DIGITS = 64  # of a digest in hex
 
@@ -191,3 +192,59 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folded = fold(F.coalesce("other", "leaf"), F.col("places"), F.col("siblings"))
     out = found.select("doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"), folded.alias("folded_root"))
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _record_sql(text: str) -> str:
+    fields = [f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+OP11_SQL = f"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+leaves AS (
+  SELECT doc_id, lang, {_record_sql('text')} AS leaf, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n,
+         CASE WHEN {crc_sql('hex(encode(doc_id::VARCHAR))')} % 3 = 0 THEN {_record_sql(LOWER_SQL)} ELSE {_record_sql('text')} END AS shown
+  FROM documents, crc_table
+),
+nodes(lang, level, place, n, digest) AS (
+  SELECT lang, 0, place, n, leaf FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, place // 8, (any_value(n) + 7) // 8, sha256(string_agg(digest, '' ORDER BY place)) FROM nodes WHERE n > 1 GROUP BY lang, level, place // 8
+),
+subroots AS (SELECT lang, level AS height, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM nodes WHERE n = 1),
+above(level, place, n, digest) AS (
+  SELECT 0, place, n, subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 8, (any_value(n) + 7) // 8, sha256(string_agg(digest, '' ORDER BY place)) FROM above WHERE n > 1 GROUP BY level, place // 8
+),
+-- both kinds of trees under one name; level counts on from a group's subroot
+runs AS (
+  SELECT n.lang, n.level, n.place, n.digest FROM nodes n WHERE n.n > 1
+  UNION ALL
+  SELECT s.lang, s.height + a.level, a.place, a.digest FROM subroots s, above a WHERE a.n > 1
+),
+-- where each leaf's own nodes stand
+own(doc_id, lang, leaf, shown, level, place, height, seat) AS (
+  SELECT doc_id, l.lang, leaf, shown, 0, CASE WHEN height = 0 THEN s.place ELSE l.place END, height, s.place FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+  UNION ALL
+  SELECT doc_id, lang, leaf, shown, level + 1, CASE WHEN level + 1 = height THEN seat ELSE place // 8 END, height, seat FROM own WHERE level < 40
+),
+beside AS (
+  SELECT doc_id, o.level, o.place AS mine, string_agg(r.digest, '' ORDER BY r.place) FILTER (r.place < o.place) AS before, string_agg(r.digest, '' ORDER BY r.place) FILTER (r.place > o.place) AS after
+  FROM own o JOIN runs r ON o.lang IS NOT DISTINCT FROM r.lang AND o.level = r.level AND o.place // 8 = r.place // 8
+  GROUP BY doc_id, o.level, o.place
+),
+paths AS (SELECT doc_id, list(struct_pack(before := coalesce(before, ''), after := coalesce(after, '')) ORDER BY level) AS steps FROM beside GROUP BY doc_id),
+folded(doc_id, level, digest) AS (
+  SELECT doc_id, 0, shown FROM leaves
+  UNION ALL
+  SELECT f.doc_id, level + 1, sha256(steps[level + 1].before || digest || steps[level + 1].after) FROM folded f JOIN paths p ON f.doc_id = p.doc_id WHERE level < len(steps)
+)
+SELECT l.doc_id, leaf, subroot, root, sha256(coalesce(list_reduce(list_transform(steps, lambda s: s.before || s.after), lambda a, b: a || b), '')) AS proof_sha256,
+       f.digest AS folded_root, f.digest = root AS verified
+FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang CROSS JOIN (SELECT digest AS root FROM above WHERE n = 1)
+LEFT JOIN paths p ON p.doc_id = l.doc_id JOIN folded f ON f.doc_id = l.doc_id AND f.level = coalesce(len(steps), 0)
+"""

@@ -171,3 +171,48 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents scored by single words towards those of benchmark; the best tenth drawn."""
     docs, target = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "benchmark"))
     return importance_resample(docs, target, longest=1).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+#: CTEs of a recursive query: the remainder that each byte leaves, as one list.
+CRC_TABLE_SQL = """steps(n, k, c) AS (
+  SELECT n, 0, n::BIGINT FROM range(256) AS r(n)
+  UNION ALL
+  SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8
+),
+crc_table AS (SELECT list(c ORDER BY n) AS rest FROM steps WHERE k = 8)
+"""
+
+
+def crc_sql(hexed: str) -> str:
+    """DuckDB SQL for the CRC-32 of bytes in hex, where CRC_TABLE_SQL's crc_table is read too."""
+    numbers = f"list_transform(range(length({hexed}) // 2), lambda i: ('0x' || substr({hexed}, 2 * i + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {numbers}), lambda c, b: xor(c >> 8, rest[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+OP12_SQL = f"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+texts AS (SELECT doc_id AS id, true AS ours, text FROM documents UNION ALL SELECT NULL, false, text FROM benchmark),
+words AS (
+  SELECT id, ours, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word
+  FROM texts
+),
+counted AS (SELECT id, ours, word, count(*) AS n FROM words GROUP BY ALL),
+kinds AS (SELECT word, hex(encode(word)) AS bytes FROM counted GROUP BY ALL),
+bucketed AS (SELECT word, {crc_sql('bytes')} % 10000 AS bucket FROM kinds, crc_table),
+sums AS (SELECT bucket, coalesce(sum(n) FILTER (ours), 0) AS s, coalesce(sum(n) FILTER (NOT ours), 0) AS t FROM counted JOIN bucketed USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM sums
+),
+weights AS (
+  SELECT id AS doc_id, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n))::BIGINT AS weight
+  FROM counted JOIN bucketed USING (word) JOIN gains USING (bucket) WHERE ours GROUP BY id
+),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS score
+  FROM documents LEFT JOIN weights USING (doc_id)
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND row_number() OVER best <= 10 * count(*) FILTER (n_features >= 20) OVER () // 100 THEN row_number() OVER best END AS rank
+FROM scored WINDOW best AS (ORDER BY n_features >= 20 DESC, score DESC, doc_id)
+"""

@@ -3,13 +3,17 @@
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from brute import later_bytes, merkle, resample
 from pyspark.sql import functions as F
 
+from tallyloom.llm import suffixes
 from tallyloom.llm.merkle import fold, merkle_manifest, op11_merkle_manifest
 from tallyloom.llm.resampling import combine, importance_resample, op12_importance_resampling, word_crcs
+from tallyloom.llm.queries import ORACLE_SQL, QUERIES
+from tallyloom.llm.suffixes import equal_windows, later_repeats, op13_suffix_array_dedup
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -98,3 +102,86 @@ def test_resampling_odd_rows(spark):
     got = importance_resample(docs, none, 1, least_words=2, percent=50).collect()
     assert len(got) == 61 and sorted(r["rank"] for r in got if r["rank"]) == list(range(1, 31)) and [r.n_features for r in got if r.doc_id == 8] == [0]
     assert importance_resample(docs.where("false"), none).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op11_merkle_manifest", "op12_importance_resampling", "op13_suffix_array_dedup"])
+def test_same_rows_as_sql(spark, folder, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet/*.parquet'")
+    cursor = con.execute(ORACLE_SQL[name])
+    want = cursor.fetchall()
+    assert rows(QUERIES[name](spark, folder), *[c[0] for c in cursor.description]) == sorted(want, key=str)
+
+
+def cuts(docs, length=100, **more):
+    got = later_repeats(docs, length).withColumn("sha", F.sha2("kept", 256)).collect()
+    return sorted((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), r.sha) for r in got)
+
+
+def test_suffixes_query(spark, folder):
+    want = later_bytes([r[:2] for r in table()])
+    got = rows(op13_suffix_array_dedup(spark, folder), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == sorted(want, key=str) and sum(w[2] for w in want) > 10_000
+
+
+def overlapping(seed, n=150):
+    r = random.Random(seed)
+    text = lambda k: "".join(r.choice("abcdefgh ü日") for _ in range(k))
+    base, out = text(700), []
+    for i in range(n):
+        a, b = sorted((r.randrange(700), r.randrange(700)))
+        out.append((i, r.choice([text(r.randrange(300)), base[a:b], text(30) + base[a:b] + text(20), base[:a] + "X" + base[a:], base, "ab" * r.randrange(200), "z" * r.randrange(500), None, ""])))
+    return out
+
+
+@pytest.mark.parametrize("length,range_rows", [(100, 20_000), (100, 7), (64, 7), (255, 11)])
+def test_suffixes_across_ranges(spark, monkeypatch, length, range_rows):
+    """Overlaps, periods and edits; small ranges put one anchor into several of them."""
+    monkeypatch.setattr(suffixes, "RANGE_ROWS", range_rows)
+    docs = overlapping(length)
+    assert cuts(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), length) == later_bytes(docs, length)
+
+
+def test_suffixes_of_common_anchors(spark, monkeypatch):
+    """One phrase in very many short texts, each with other words around it: its anchor has a home for each kind, in chunks of a few anchors."""
+    monkeypatch.setattr(suffixes, "RANGE_ROWS", 20)
+    monkeypatch.setattr(suffixes, "CHUNK", 40)
+    r = random.Random(2)
+    phrase = "the phrase that every one of them has, and it is fairly long as phrases go, all in all"
+    docs = [(i, f"{r.randrange(50)} {r.choice('abc')} {phrase} {r.choice('xyz')} {r.randrange(30)} and on it goes {r.randrange(9)}") for i in range(400)]
+    assert cuts(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)) == later_bytes(docs)
+
+
+def test_suffixes_of_a_long_text(spark):
+    """A text of several pieces that repeats parts of itself over their bounds, and of a shorter one."""
+    r = random.Random(4)
+    text = "".join(r.choice("abcdefghij") for _ in range(1_300_000))
+    text = text[: (1 << 19) + 300] + text[1000:90_000] + text[(1 << 19) - 5000 :]
+    docs = [(1, text[7000:9000]), (2, text), (3, "q" + text[600_000:600_500])]
+    assert cuts(spark.createDataFrame(docs, "doc_id long, text string")) == later_bytes(docs)
+
+
+def test_suffixes_odd_rows(spark):
+    """Ids null or shared, rows alike in both (a third of the table), columns with names of the operator's own, an empty table."""
+    a, b = "abcdefghij" * 5 + "0123456789" * 10, "klmnopqrst" * 3 + "0123456789" * 12
+    docs = spark.createDataFrame([(None, a)] * 40 + [(None, b), (None, None), (3, a), (3, b), (3, ""), (4, a + b)] + [(9, "other " + b)] * 2, "doc_id long, text string")
+    clash = docs.selectExpr("*", "1 AS id", "2 AS sub", "'x' AS row", "3 AS part", "5 AS again", "6 AS n")
+    got = rows(later_repeats(clash, carry=["doc_id", "text", "id"]).withColumn("kept", F.sha2("kept", 256)), "doc_id", "text", "id", "n_removed", "kept")
+    texts = docs.distinct().selectExpr("doc_id", "text", "xxhash64(coalesce(text, '')) AS h").collect()
+    texts = sorted(texts, key=lambda t: (t.doc_id is None, t.doc_id or 0, t.h if t.doc_id in (None, 3, 9) else 0))
+    want = {tuple(t)[:2]: w for t, w in zip(texts, later_bytes([(i, t.text) for i, t in enumerate(texts)]))}
+    assert got == sorted(((r.doc_id, r.text, 1, want[tuple(r)][2], want[tuple(r)][4]) for r in docs.collect()), key=str) and sum(g[3] for g in got) > 40 * len(a)
+    assert later_repeats(docs.where("false")).count() == 0
+
+
+def test_multikey_quicksort():
+    r = np.random.default_rng(0)
+    data = r.integers(97, 99, size=3000, dtype=np.uint8)
+    data[1500:1900] = data[100:500]
+    starts, group = np.arange(2900), r.integers(0, 2, size=2900)
+    order, run = equal_windows(data, starts, group, 100)
+    key = [(int(group[i]), data[i : i + 100].tobytes()) for i in range(2900)]
+    count = {k: key.count(k) for k in set(key)}
+    assert sorted(order.tolist()) == [i for i in range(2900) if count[key[i]] > 1]
+    assert all((key[a] == key[b]) == (x == y) and key[a] <= key[b] for a, b, x, y in zip(order, order[1:], run, run[1:]))
