@@ -6,19 +6,21 @@ equal places, and the windows of one anchor follow one another; the bytes that t
 
 1. Anchors that occur once cannot repeat. Where equal stretches occur, all but the first go as a whole, without being sorted.
 2. The first stretch of each kind, where an anchor has several kinds, goes with its bytes to a range of the suffix order: sampled splitters cut the order of the suffixes that
-   start at the anchors by their leading bytes. Each range sorts the suffixes at all of its windows by multikey quicksort, 8 bytes at a time and only among windows
+   start at the anchors by their leading bytes, between anchors unless one anchor alone fills a range. Each range sorts the suffixes at all of its windows by multikey quicksort, 8 bytes at a time and only among windows
    that are equal so far, and neighbours that agree over ``length`` bytes are one group, of which the first stays.
-3. An anchor that two ranges share stands at the edge of both; what is left of its windows is compared across the boundary by the bytes themselves.
+3. An anchor so common that several ranges share it stands at their edges; what is left of its windows is compared across the boundaries by the bytes themselves.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ._shared import PART_ROWS, PARTS, discard, made, slices, stored, sweep, text_bytes
 from ._words import U, mix
@@ -30,8 +32,8 @@ ANCHOR = 32
 LEADING = 48
 #: Bytes of text that are hashed at a time; a longer text is taken in overlapping pieces. Anchors that are compared at a time before they are shuffled.
 PIECE, CHUNK = 1 << 19, 1 << 19
-#: Documents, about, whose anchors show which are very common, and rows of suffixes that a range should have.
-SAMPLE, RANGE_ROWS = 2000, 20_000
+#: Documents, about, whose anchors show which are very common; rows of suffixes that a range should have, and rows that are drawn for each splitter.
+SAMPLE, RANGE_ROWS, DRAWN = 2000, 20_000, 10
 NO_ID = (1 << 63) - 1
 
 Arrays = dict[str, np.ndarray]
@@ -166,7 +168,10 @@ def candidates(homes: DataFrame, common: Sequence[int] = ()) -> DataFrame:
 
 
 def suffixes(texts: DataFrame, length: int) -> DataFrame:
-    """(leading, kind, id, sub, at, n, lead, bytes) for texts (id, sub, text, wanted array<struct<at, n, lead>>): the bytes of each stretch that is wanted."""
+    """(leading, id, sub, at, n, lead, bytes) for texts (id, sub, text, wanted array<struct<at, n, lead>>): the bytes of each stretch that is wanted.
+
+    leading: the first bytes of the suffix at its anchor, and a hash of the stretch, which tells apart suffixes that agree over LEADING bytes.
+    """
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()  # rows alike in id and text lie in one partition; one of them is enough
@@ -183,7 +188,30 @@ def suffixes(texts: DataFrame, length: int) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int16(), pa.binary()))], names=["leading", "id", "sub", "at", "n", "lead", "bytes"])
 
-    return texts.mapInArrow(take, "leading binary, id bigint, sub bigint, at int, n short, lead short, bytes binary").withColumn("kind", F.xxhash64("bytes"))
+    return texts.mapInArrow(take, "leading binary, id bigint, sub bigint, at int, n short, lead short, bytes binary").withColumn("leading", F.concat("leading", F.unhex(F.lpad(F.hex(F.xxhash64("bytes")), 16, "0"))))
+
+
+def splitters(kinds: DataFrame, ranges: int, rows: int) -> tuple[list[bytes], set[bytes]]:
+    """At most ranges - 1 keys, from a sample of DRAWN rows for each, that cut the order of leading evenly, and the anchors that they cut."""
+    if ranges < 2:
+        return [], set()
+    drawn = sorted(bytes(r[0]) for r in kinds.select("leading").sample(min(1.0, DRAWN * ranges / rows), seed=1).collect())
+    keys = drawn[DRAWN::DRAWN]
+    heads = [k[:ANCHOR] for k in keys]
+    # an anchor at which only one key stands moves on whole to the range after it
+    inside = [i > 0 and heads[i - 1] == h for i, h in enumerate(heads)]
+    return sorted({k if cut else k[:ANCHOR] for k, cut in zip(keys, inside)}), {h for h, cut in zip(heads, inside) if cut}
+
+
+def ranged(kinds: DataFrame, cuts: list[bytes]) -> DataFrame:
+    """kinds with each range of their order in one partition."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("range", pa.array([bisect_right(cuts, k) for k in batch.column("leading").to_pylist()], pa.int32()))
+
+    schema = StructType([*kinds.schema.fields, StructField("range", IntegerType())])
+    return kinds.mapInArrow(place, schema).repartitionById(len(cuts) + 1, F.col("range"))
 
 
 def equal_windows(data: np.ndarray, starts: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -214,8 +242,8 @@ def equal_windows(data: np.ndarray, starts: np.ndarray, group: np.ndarray, lengt
 FOUND = "id bigint, sub bigint, at int, n int, window binary"
 
 
-def sort_ranges(ranges: DataFrame, length: int) -> DataFrame:
-    """FOUND for suffixes() cut into ranges of their order: runs of windows that go (window null), and the windows left of the first and last anchor of a range."""
+def sort_ranges(ranges: DataFrame, shared: set[bytes], length: int) -> DataFrame:
+    """FOUND for ranged(): runs of windows that go (window null), and the windows left of anchors that several ranges share."""
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]  # one range of suffixes
@@ -234,7 +262,11 @@ def sort_ranges(ranges: DataFrame, length: int) -> DataFrame:
             new[1:] |= k[by][1:] != k[by][:-1]
         anchor = np.empty(len(by), dtype=np.int64)
         anchor[by] = np.cumsum(new)
-        edge = (anchor == 0) | (anchor == anchor[by[-1]])
+        edge = np.zeros(len(by), dtype=bool)
+        for i in np.flatnonzero(np.concatenate([[True], new[1:]])) if shared else ():
+            begin = first[by[i]] + lead[by[i]]
+            if data[begin : begin + ANCHOR].tobytes() in shared:
+                edge |= anchor == anchor[by[i]]
         # a suffix for every window: those of one anchor whose anchor is as far away can be equal
         row = np.repeat(np.arange(len(n)), n)
         nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
@@ -336,8 +368,9 @@ def later_repeats(docs: DataFrame, length: int = 100, carry: Sequence[str] = ("d
     dealt = lambda table: table.join(hot, ["id", "sub"], "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1)).cast("bigint") - 1))).drop("parts").hint("shuffle_hash")
     wanted = found.where("lead >= 0").groupBy("id", "sub").agg(F.collect_set(F.struct("at", "n", "lead")).alias("wanted"))
     kinds = stored(suffixes(texts.join(dealt(wanted), ["id", "sub", "part"]).select("id", "sub", "text", "wanted"), length), "suffixes", tidy=True)
-    ranges = max(1, min(kinds.count() // RANGE_ROWS + 1, 100 * n))
-    judged = stored(sort_ranges(kinds.repartitionByRange(ranges, "leading", "kind", "id", "at"), length), "ranges", tidy=True)
+    rows = kinds.count()
+    cuts, shared = splitters(kinds, min(rows // RANGE_ROWS + 1, 4 * n), rows)
+    judged = stored(sort_ranges(ranged(kinds, cuts), shared, length), "ranges", tidy=True)
     discard(kinds)
     left = judged.where("window is not null")
     firsts = left.groupBy("window").agg(F.min(F.struct("id", "sub", "at")).alias("first"), F.max(F.struct("id", "sub", "at")).alias("last")).where("first != last").select("window", "first")
