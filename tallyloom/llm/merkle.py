@@ -2,14 +2,14 @@
 
 Rows are sorted by group and id into ranges. How many rows of each group every partition holds tells each partition where its rows stand in their group, so it builds
 all aligned subtrees whose leaves it holds, alone. The nodes at its ragged edges, at most fan - 1 on either side of a level, are shuffled by the coordinate (group, level,
-index) of their parent and finish the upper levels; the subroots of all groups are leaves of one more such tree. Then the upper parts of the paths go down again to the
+index) of their ancestor some levels above and finish the levels up to it, then those above that; the subroots of all groups are leaves of one more such tree. Then the upper parts of the paths go down again to the
 partitions that sent the nodes, which put the lower parts in front of them.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import groupby
 
 from pyspark import RDD
@@ -20,6 +20,8 @@ from ._shared import shared_dir, stored
 from .resampling import CRC_TABLE_SQL, crc_sql
 
 DIGITS = 64  # of a digest in hex
+#: Levels that one shuffle of ragged nodes finishes: all below one node of the level above them, so at most fan**BAND nodes of a level meet in a task.
+BAND = 4
 
 
 def _digest(children: Sequence[str]) -> str:
@@ -38,6 +40,23 @@ def fold(leaf: Column, places: Column, siblings: Column) -> Column:
     return F.aggregate(F.arrays_zip(places.alias("places"), siblings.alias("siblings")), leaf, step)
 
 
+def _finish(nodes: Iterable[tuple[int, int, int, str, int | None]], low: int, fan: int) -> dict[int, dict[int, tuple[int, str, int | None]]]:
+    """Of nodes (level, index, level's size, digest, partition) below one node of level low + BAND: {level: {index: (size, digest, partition)}}, with all levels up to that node, or to the root."""
+    levels: dict[int, dict] = {}
+    for level, index, size, digest, part in nodes:
+        levels.setdefault(level, {})[index] = size, digest, part
+    for level in range(low, low + BAND):
+        own = levels.get(level, {})
+        if not own:
+            continue
+        size = next(iter(own.values()))[0]
+        if size == 1:
+            break
+        for parent, run in groupby(sorted(own), key=lambda i: i // fan):
+            levels.setdefault(level + 1, {})[parent] = -(-size // fan), _digest([own[i][1] for i in run]), None
+    return levels
+
+
 def _climb(leaves: list[str], start: int, total: int, fan: int) -> list[tuple[int, int, list[str], int, int]]:
     """Of leaves start, start + 1, ... of a group of total leaves, level by level: first index, the level's size in the group, the nodes, and which of them
     (from, to) have their parent built here too."""
@@ -90,35 +109,54 @@ def forest(ranged: RDD, fan: int) -> tuple[RDD, RDD]:
 
     edges = placed.flatMap(ragged)
     roots = edges.filter(lambda e: e[3] == 1).map(lambda e: (e[1], (e[4], e[0], e[5])))
-    families, built, level = [], None, 0
+    wide = fan**BAND
+    families, built, low = [], None, 0
     while most > 1:
-        nodes = edges.filter(lambda e, level=level: e[0] == level and e[3] > 1).map(lambda e: ((e[1], e[2] // fan), (e[2], e[3], e[4], e[5])))
+        inside = lambda e, low=low: low <= e[0] < low + BAND and e[3] > 1
+        nodes = edges.filter(inside).map(lambda e, low=low: ((e[1], e[2] // fan ** (low + BAND - e[0])), (e[0], e[2], e[3], e[4], e[5])))
         if built is not None:
             nodes = nodes.union(built)
-        family = nodes.groupByKey(upper).mapValues(sorted)
+        family = nodes.groupByKey(upper)
         families.append(family)
-        above = family.map(lambda f, level=level: (f[0][0], f[0][1], -(-f[1][0][1] // fan), _digest([c[2] for c in f[1]]), level + 1))
-        roots = roots.union(above.filter(lambda a: a[2] == 1).map(lambda a: (a[0], (a[3], a[4], None))))
-        built = above.filter(lambda a: a[2] > 1).map(lambda a: ((a[0], a[1] // fan), (a[1], a[2], a[3], None)))
-        most, level = -(-most // fan), level + 1
+
+        def top(x: tuple, low: int = low) -> Iterator[tuple]:
+            levels = _finish(x[1], low, fan)
+            level = max(levels)
+            for index, (size, digest, _) in levels[level].items():  # one
+                yield x[0][0], level, index, size, digest
+
+        above = family.flatMap(top)
+        roots = roots.union(above.filter(lambda a: a[3] == 1).map(lambda a: (a[0], (a[4], a[1], None))))
+        built = above.filter(lambda a: a[3] > 1).map(lambda a: ((a[0], a[2] // wide), (a[1], a[2], a[3], a[4], None)))
+        most, low = -(-most // wide), low + BAND
 
     def prove(tails: RDD) -> RDD:
         tops = tails.join(roots, upper)  # (group, (tail, (root, level, partition)))
         sent = tops.filter(lambda t: t[1][1][2] is not None).map(lambda t: (t[1][1][2], (t[0], t[1][1][1], 0, t[1][0])))
         going = None
-        for level in range(len(families), 0, -1):
-            here = tops.filter(lambda t, level=level: t[1][1][1:] == (level, None)).map(lambda t: ((t[0], 0), t[1][0]))
+        for band in range(len(families) - 1, -1, -1):
+            here = tops.filter(lambda t, low=band * BAND: t[1][1][2] is None and low < t[1][1][1] <= low + BAND).map(lambda t: ((t[0], 0), t[1][0]))
             here = here if going is None else here.union(going)
 
-            def down(x: tuple, level: int = level) -> Iterator[tuple]:
-                (group, _), (children, (places, siblings, more)) = x
-                digests = [c[2] for c in children]
-                for at, (index, _, _, part) in enumerate(children):
-                    yield part, group, level - 1, index, ([at, *places], [_others(digests, at), *siblings], more)
-
-            children = families[level - 1].join(here, upper).flatMap(down)
-            sent = sent.union(children.filter(lambda c: c[0] is not None).map(lambda c: (c[0], c[1:])))
-            going = children.filter(lambda c: c[0] is None).map(lambda c: ((c[1], c[3]), c[4]))
+            def down(x: tuple, low: int = band * BAND) -> Iterator[tuple]:
+                (group, _), (nodes, tail) = x
+                levels = _finish(nodes, low, fan)
+                level = max(levels)
+                above = {index: tail for index in levels[level]}
+                for level in range(level - 1, low - 1, -1):
+                    own, tails = levels.get(level, {}), {}
+                    for index, (_, _, part) in own.items():
+                        begin = index // fan * fan
+                        digests = [own[i][1] for i in range(begin, begin + fan) if i in own]
+                        places, siblings, more = above[index // fan]
+                        tails[index] = [index - begin, *places], [_others(digests, index - begin), *siblings], more
+                        if part is not None or level == low:
+                            yield part, (group, level, index, tails[index])
+                    above = tails
+
+            children = families[band].join(here, upper).flatMap(down)
+            sent = sent.union(children.filter(lambda c: c[0] is not None))
+            going = children.filter(lambda c: c[0] is None).map(lambda c: ((c[1][0], c[1][2]), c[1][3]))
 
         def finish(block: tuple) -> Iterator[tuple]:
             ((_, runs), starts), tails = block
