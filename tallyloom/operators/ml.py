@@ -68,54 +68,118 @@ def predicted(train: DataFrame, test: DataFrame, name: str, params: dict, seed:
     return fitted.transform(test).withColumn("p", vector_to_array("probability")[1])
 
 
-def inner_scores(parts: DataFrame, numeric: list[str], categorical: list[str], name: str, options: list[dict], folds: int, seed: int, threads: int = 4) -> list[float]:
-    """The mean AUC over folds 0 to folds - 1 of parts (y, fold, features) for each option. A fold's tables are prepared once; options are fitted side by side."""
+#: Rows of a training table that are worth a part of their own, and fits that run side by side.
+PART_ROWS, THREADS = 50_000, 8
+
+
+def _kept(rows: DataFrame) -> DataFrame:
+    """rows cached in parts by their number: trees and gradients make one job a level or step, each with one task a part."""
+    return rows.coalesce(max(1, -(-rows.count() // PART_ROWS))).cache()
+
+
+def _side_by_side(spark, task, items: list, threads: int) -> list:
     from multiprocessing.pool import ThreadPool
 
     from pyspark.util import inheritable_thread_target
 
-    parts = parts.cache()
-    tables = []
-    for i in range(folds):
-        p = fit_preprocessor(parts.where(F.col("fold") != i), numeric, categorical)
-        tables.append([transform(rows, p).select("y", "fold", "features").cache() for rows in (parts.where(F.col("fold") != i), parts.where(F.col("fold") == i))])
-
-    def auc(params: dict) -> float:
-        every = None
-        for a, b in tables:
-            held = predicted(a, b, name, params, seed).select("y", "p", "fold")
-            every = held if every is None else every.unionAll(held)
-        mean = stats.roc_auc(every, by=("fold",), parts=1).agg(F.avg("auc")).first()[0]
-        return mean if mean is not None else 0.0
-
-    with ThreadPool(min(threads, len(options))) as pool:
-        scores = pool.map(inheritable_thread_target(parts.sparkSession)(auc), options)
-    for table in [parts, *(t for pair in tables for t in pair)]:
+    with ThreadPool(max(1, min(threads, len(items)))) as pool:
+        return pool.map(inheritable_thread_target(spark)(task), items)
+
+
+def _prepared(train: DataFrame, test: DataFrame, numeric: list[str], categorical: list[str], *keep: str) -> tuple[DataFrame, DataFrame]:
+    """The features of both, with the preprocessor that fits train."""
+    p = fit_preprocessor(train, numeric, categorical)
+    return tuple(_kept(transform(x, p).select("y", *keep, "features")) for x in (train, test))
+
+
+def best_options(trains: list[DataFrame], key: str, numeric: list[str], categorical: list[str], name: str, options: list[dict], inner: int, repeats: list[int], seed: int, threads: int = THREADS) -> list[dict]:
+    """For each training table the option with the best mean AUC over its inner folds, the first of equal ones.
+
+    Each inner fold's tables are prepared once; the fits of all tables, folds and options run side by side, and all their predictions are scored by one job.
+    """
+    if len(options) == 1:
+        return [options[0]] * len(trains)
+    spark = trains[0].sparkSession
+
+    def fold_tables(at: tuple[int, int]) -> tuple:
+        i, fold = at
+        return i, fold, *_prepared(dealt[i].where(F.col("fold") != fold), dealt[i].where(F.col("fold") == fold), numeric, categorical)
+
+    dealt = [sampling.stratified_folds(t, key, "y", inner, seed + 1 + i, repeat).cache() for i, (t, repeat) in enumerate(zip(trains, repeats))]
+    tables = _side_by_side(spark, fold_tables, [(i, fold) for i in range(len(trains)) for fold in range(inner)], threads)
+
+    def fit(task: tuple) -> DataFrame:
+        (i, fold, train, test), o = task
+        return predicted(train, test, name, options[o], seed).select(F.lit(i).alias("i"), F.lit(o).alias("o"), F.lit(fold).alias("fold"), "y", "p")
+
+    every = _side_by_side(spark, fit, [(t, o) for t in tables for o in range(len(options))], threads)
+    while len(every) > 1:  # a union of unions, not a chain of them
+        every = [a.unionAll(b) for a, b in zip(every[::2], every[1::2])] + every[len(every) & ~1 :]
+    scores = stats.roc_auc(every[0], by=("i", "o", "fold"), parts=1).groupBy("i", "o").agg(F.avg("auc").alias("auc")).collect()  # one row a table and option
+    score = {(r.i, r.o): r.auc if r.auc is not None else 0.0 for r in scores}
+    for table in [*dealt, *(t for x in tables for t in x[2:])]:
         table.unpersist()
-    return scores
+    return [options[max(range(len(options)), key=lambda o: score.get((i, o), 0.0))] for i in range(len(trains))]
 
 
 def nested_cv(df: DataFrame, key: str, numeric: list[str], categorical: list[str], name: str, outer: int = 5, inner: int = 3, repeats: int = 1, seed: int = 0, grid: list[dict] | None = None, group: str | None = None) -> DataFrame:
     """(key, repeat, fold, y, p): out-of-fold probabilities of df (key, y, features). Each outer fold picks the parameters with the best inner AUC."""
     if support := df.groupBy("y").count().where(F.col("count") < outer).count():
         raise ValueError(f"{support} classes have fewer rows than there are folds")
-    out = None
+    folds = []
     for repeat in range(repeats):
         dealt = sampling.grouped_folds(df, group, "y", outer, seed, repeat) if group else sampling.stratified_folds(df, key, "y", outer, seed, repeat)
-        for fold in range(outer):
-            train, test = dealt.where(F.col("fold") != fold).drop("fold"), dealt.where(F.col("fold") == fold)
-            options = grid or GRIDS[name]
-            best = options[0]
-            if len(options) > 1:
-                scores = inner_scores(sampling.stratified_folds(train, key, "y", inner, seed + 1 + fold, repeat), numeric, categorical, name, options, inner, seed)
-                best = options[max(range(len(options)), key=lambda i: scores[i])]
-            p = fit_preprocessor(train, numeric, categorical)
-            done = predicted(transform(train, p), transform(test, p), name, best, seed)
-            done = done.select(key, F.lit(repeat).alias("repeat"), F.lit(fold).alias("fold"), "y", "p")
-            out = done if out is None else out.unionAll(done)
+        dealt = dealt.cache()
+        folds += [(repeat, fold, dealt.where(F.col("fold") != fold).drop("fold"), dealt.where(F.col("fold") == fold)) for fold in range(outer)]
+    best = best_options([f[2] for f in folds], key, numeric, categorical, name, grid or GRIDS[name], inner, [f[0] for f in folds], seed)
+
+    def fit(task: tuple) -> DataFrame:
+        (repeat, fold, train, test), option = task
+        train, test = _prepared(train, test, numeric, categorical, key)
+        return predicted(train, test, name, option, seed).select(key, F.lit(repeat).alias("repeat"), F.lit(fold).alias("fold"), "y", "p")
+
+    out = None
+    for done in _side_by_side(df.sparkSession, fit, list(zip(folds, best)), THREADS):
+        out = done if out is None else out.unionAll(done)
     return out
 
 
+def permutation_importance(train: DataFrame, test: DataFrame, key: str, numeric: list[str], categorical: list[str], name: str, params: dict, repeats: int = 5, seed: int = 0) -> DataFrame:
+    """(feature, mean, deviation) of how much AUC on test (key, y, features) is lost when a feature's values are dealt out anew, over repeats; deviation of the population.
+
+    One model is fitted on train. test comes once for each feature and repeat, in long form: ranks by two digests pair every row with the row whose value it gets, so
+    one join, one pass of the model and one ranking of scores serve all of them, whatever their number. A null auc, of one class only, gives nulls. key tells the rows of test apart.
+    """
+    from pyspark.ml.functions import vector_to_array
+
+    from ..functions.hashing import rank_hash
+    from .ranking import hash_ranked
+
+    features = [*numeric, *categorical]
+    p = fit_preprocessor(train, numeric, categorical)
+    n, positive = train.agg(F.count(F.lit(1)), F.sum("y")).first()
+    positive = positive or 0
+    rounds = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat")) for f in features for r in range(repeats)])).alias("_round")
+    long = test.select(key, "y", *features, rounds).select("*", "_round.*").drop("_round")
+    digest = lambda end: rank_hash(F.col(key), F.lit(seed), F.col("feature"), F.col("repeat"), seed=end)
+    to = hash_ranked(long, digest("to"), key, by=("feature", "repeat"), name="_i")
+    giver = hash_ranked(long, digest("from"), key, by=("feature", "repeat"), name="_i").select("feature", "repeat", "_i", F.struct(*features).alias("_from"))
+    dealt = to.join(giver, ["feature", "repeat", "_i"]).withColumns({f: F.when(F.col("feature") == f, F.col(f"_from.{f}")).otherwise(F.col(f)) for f in features})
+    rows = dealt.select("feature", "repeat", "y", *features).unionByName(test.select(F.lit(None).cast("string").alias("feature"), F.lit(None).cast("int").alias("repeat"), "y", *features))
+    if name == "dummy" or not 0 < positive < n:
+        scored = rows.withColumn("p", F.lit(positive / max(1, n)))
+    else:
+        weighted = train.withColumn("weight", F.when(F.col("y") == 1, n / (2.0 * positive)).otherwise(n / (2.0 * (n - positive))))
+        fitted = model(name, params, n, seed).fit(_kept(transform(weighted, p).select("y", "weight", "features")))
+        scored = fitted.transform(transform(rows, p)).withColumn("p", vector_to_array("probability")[1])
+    # what is not dealt out has a name of its own, as nulls join with nothing
+    scored = scored.select(F.coalesce("feature", F.lit("")).alias("feature"), F.coalesce("repeat", F.lit(-1)).alias("repeat"), "y", "p")
+    auc = stats.roc_auc(scored, by=("feature", "repeat"), parts=1)
+    base = auc.where("repeat = -1").select(F.col("auc").alias("base"))  # one row
+    lost = auc.where("repeat >= 0").crossJoin(F.broadcast(base)).withColumn("lost", F.col("base") - F.col("auc"))
+    return lost.groupBy("feature").agg(F.avg("lost").alias("mean"), F.stddev_pop("lost").alias("deviation"))
+
+
 def permuted(df: DataFrame, key: str, column: str, seed: int) -> DataFrame:
     """df with the column's values dealt out anew: row of rank i by one digest gets the value of row of rank i by another."""
     from ..functions.hashing import rank_hash

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -52,15 +53,24 @@ def allocation(counts: dict[str, int], size: int, least: int = 50) -> dict[str,
     return out
 
 
+def allocations(counts: DataFrame, stratum: str, size: int, least: int = 50) -> DataFrame:
+    """(stratum as text, n, alloc) of counts (stratum, n), which has one row a class: allocation() in one task, which sees the classes and no rows. All n where there are no more than size."""
+
+    def allot(frame: pd.DataFrame) -> pd.DataFrame:
+        n = dict(zip(frame["stratum"], frame["n"].astype(int)))
+        draws = n if sum(n.values()) <= size else allocation(n, size, least)
+        return pd.DataFrame({"stratum": list(n), "n": list(n.values()), "alloc": [draws[k] for k in n]})
+
+    one = counts.select(F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), F.col("n").cast("bigint").alias("n")).groupBy("stratum").agg(F.sum("n").alias("n"))
+    return one.groupBy().applyInPandas(allot, "stratum string, n bigint, alloc bigint").withColumnRenamed("stratum", stratum)
+
+
 def stratified_sample(df: DataFrame, key: str, stratum: str, size: int, seed: int = 0, least: int = 50) -> DataFrame:
-    """About size rows, drawn by class. Runs one job for the counts of the classes, of which there are few; no more rows than size are all kept."""
-    counts = {r[0]: r[1] for r in df.groupBy(stratum).count().collect()}
-    if sum(counts.values()) <= size:
-        return df
-    draws = allocation({str(k): v for k, v in counts.items()}, size, least)
-    table = df.sparkSession.createDataFrame([(k, v) for k, v in draws.items()], "_s string, _draw bigint")
-    ranked = hash_ranked(df, rank_hash(F.col(key), seed=seed), key, by=(stratum,))
-    return ranked.join(F.broadcast(table), F.col(stratum).cast("string") == F.col("_s")).where("rank <= _draw").drop("rank", "_s", "_draw")
+    """About size rows, drawn by class; a null class counts as an empty text. No more rows than size are all kept."""
+    draws = allocations(df.groupBy(stratum).agg(F.count(F.lit(1)).alias("n")), stratum, size, least).select(F.col(stratum).alias("_s"), "alloc")
+    named = df.withColumn("_name", F.coalesce(F.col(stratum).cast("string"), F.lit("")))
+    ranked = hash_ranked(named, rank_hash(F.col(key), seed=seed), key, by=("_name",))
+    return ranked.join(draws, F.col("_name") == F.col("_s")).where("rank <= alloc").drop("rank", "_s", "alloc", "_name")
 
 
 def stratified_folds(df: DataFrame, key: str, stratum: str, folds: int, seed: int = 0, repeat: int = 0) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -40,26 +41,36 @@ def two_sided(z: pd.Series) -> pd.Series:
     return z.map(lambda x: None if x is None or math.isnan(x) else math.erfc(abs(x) / math.sqrt(2)))
 
 
+#: n0 * n1 up to which exact_u counts; beyond it the smaller group has thousands of neighbours for each of its at most 8 values.
+COUNTED = 4_000_000
+
+
+def u_tail(low: int, a: int, b: int) -> int:
+    """In how many ways a values among a + b have a U of low or less.
+
+    The numbers by U are the coefficients of the product of (1 - q**(b + i)) / (1 - q**i) for i from 1 to a; a factor above is one subtraction of a shifted
+    row, one below a running sum in steps of i. Coefficients up to low are enough; whole numbers, so nothing cancels.
+    """
+    ways = np.zeros(low + 1, dtype=object)
+    ways[0] = 1
+    for i in range(1, min(a, b) + 1):
+        shift = max(a, b) + i
+        if shift <= low:
+            ways[shift:] = ways[shift:] - ways[: low + 1 - shift]
+        for start in range(min(i, low + 1)):
+            ways[start::i] = np.add.accumulate(ways[start::i])
+    return int(ways.sum())
+
+
 @F.pandas_udf(T.DoubleType())
 def exact_u(u: pd.Series, n0: pd.Series, n1: pd.Series) -> pd.Series:
-    """Two-sided p of U without ties from its exact distribution, for small groups (n0 * n1 up to 400); null beyond."""
+    """Two-sided p of U without ties from its exact distribution; null where n0 * n1 is above COUNTED or U is not whole."""
 
     def p(u: float, a: int, b: int) -> float | None:
-        if u is None or math.isnan(u) or not 0 < a * b <= 400 or u != int(u):
+        if u is None or math.isnan(u) or not 0 < a * b <= COUNTED or u != int(u):
             return None
-        ways = {(0, 0): [1]}
-        for i in range(a + 1):
-            for j in range(b + 1):
-                if i or j:
-                    row = [0] * (i * j + 1)
-                    for (x, y), shift in (((i - 1, j), j), ((i, j - 1), 0)):
-                        if x >= 0 and y >= 0:
-                            for k, n in enumerate(ways[x, y]):
-                                row[k + shift] += n
-                    ways[i, j] = row
-        row = ways[a, b]
-        low = min(int(u), a * b - int(u))
-        return min(1.0, 2 * sum(row[: low + 1]) / sum(row))
+        low, all_ways = min(int(u), a * b - int(u)), math.comb(a + b, a)
+        return min(1.0, 2 * u_tail(low, a, b) / all_ways)
 
     return pd.Series([p(*x) for x in zip(u, n0, n1)], dtype="float64")
 
@@ -295,7 +306,7 @@ def paired_delta(mean: DataFrame, reference: str, candidate: str, parts: int = 6
 def univariate(long: DataFrame, least_numeric: float = 0.8) -> DataFrame:
     """(feature, kind, statistic, effect, p, q) of long (feature, value as text, outcome): numbers where at least that share of values parse, else categories.
 
-    Numbers: Mann-Whitney U, by its exact distribution for small groups without ties. Categories: Fisher for two levels, chi-squared for more. One level or
+    Numbers: Mann-Whitney U, by its exact distribution where one group has at most 8 values and none repeats (and n0 * n1 is at most COUNTED). Categories: Fisher for two levels, chi-squared for more. One level or
     one outcome: kind not_testable and nulls. q is over all features.
     """
     text = F.when(F.trim("value") != "", F.trim("value"))

@@ -344,11 +344,11 @@ def colour_channels(spark, sf_dir):
     return v.read(spark, sf_dir, "part").select(k.alias("id"), c.alias("c")).select("id", *[F.col("c")[i].alias(n) for i, n in enumerate("rgb")])
 
 
-@query(f"WITH {v.CELLS} SELECT cell_id, CAST(row_number() OVER (ORDER BY (bbox_x1 - bbox_x0) * (bbox_y1 - bbox_y0) // 1, cell_id) AS BIGINT) AS place FROM cells ORDER BY place LIMIT 500")
+@query(f"WITH {v.CELLS} SELECT cell_id, CAST(row_number() OVER (ORDER BY (bbox_x1 - bbox_x0) * (bbox_y1 - bbox_y0) // 1, cell_id) AS BIGINT) AS place FROM cells")
 def draw_order(spark, sf_dir):
-    """The first cells by area; ties by id."""
+    """All cells by area; ties by id."""
     area = F.floor((F.col("bbox_x1") - F.col("bbox_x0")) * (F.col("bbox_y1") - F.col("bbox_y0")))
-    return af.first_rows(v.cells(spark, sf_dir).select("cell_id", area.alias("area")), [F.col("area"), F.col("cell_id")], 500).select("cell_id", "place")
+    return af.first_rows(v.cells(spark, sf_dir).select("cell_id", area.alias("area")), [F.col("area"), F.col("cell_id")], 0).select("cell_id", "place")
 
 
 @query("SELECT p_type AS id, arg_min(p_name, p_partkey) AS name FROM part GROUP BY 1")
