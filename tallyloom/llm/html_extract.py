@@ -36,6 +36,8 @@ UNWANTED = re.compile(
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+>?", re.I) for tag in RAW}
 #: A block gives points to so many of the elements that it lies in.
 LEVELS = 8
+#: Share of the best container's score with which an article or main element around it takes its place.
+NAMED = 0.5
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
 
 
@@ -47,7 +49,14 @@ class _Node:
         self.score, self.text, self.linked = 0.0, 0, 0
 
 
-def _unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
+def _names_unwanted(value: str, strict: bool) -> bool:
+    """Whether a class or id names a part of a page that is not its article: by any word of it, or if strict only by names all of whose words do."""
+    if not strict:
+        return UNWANTED.search(value) is not None
+    return any(all(UNWANTED.fullmatch(word) for word in re.split("[_-]+", name) if word) for name in value.split())
+
+
+def _unwanted(tag: str, attributes: str, inside_article: bool, strict: bool) -> bool:
     if tag in DROPPED or (tag == "header" and not inside_article):
         return True
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
@@ -60,7 +69,7 @@ def _unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and UNWANTED.search(value):
+        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and _names_unwanted(value, strict):
             return True
         if name in ("class", "id") and tag == "article" and re.search(r"comment|reply|respond|advert|sponsor|promo|related", value, re.I):
             return True
@@ -95,8 +104,8 @@ class _Open:
             self.blocks.pop()
 
 
-def _parse(page: str) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
-    """The elements in page order, and the blocks (innermost block element, text, characters of it inside links)."""
+def _parse(page: str, strict: bool) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
+    """The elements in page order, and the blocks (innermost block element, text, characters of it inside links); strict: see _names_unwanted."""
     root = _Node("", None, False, 0)
     nodes, blocks, opened = [root], [], _Open(root)
     parts: list[tuple[str, bool]] = []
@@ -159,7 +168,7 @@ def _parse(page: str) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
                 pop(opened.places["head"][0])
             close()
         top = opened.stack[-1]
-        dropped = top.dropped or _unwanted(tag, m[3], opened.last("article", "main") > 0)
+        dropped = top.dropped or _unwanted(tag, m[3], opened.last("article", "main") > 0, strict)
         node = _Node(tag, top, dropped, len(nodes))
         nodes.append(node)
         if not m[3].rstrip().endswith("/") or tag in BLOCK or tag == "a":
@@ -172,10 +181,14 @@ def _parse(page: str) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
 def main_text(page: str | None) -> str:
     """The blocks of a page's article, one a line; empty without any.
 
-    The best container and those of its siblings that score or read like it are kept. Where the container lies in an article or main element, that element is the
-    container: its author has named the article's bounds, and paragraphs in sections of their own lie at several depths in it. Takes time in proportion to the page.
+    The best container and those of its siblings that score or read like it are kept. An article or main element around the best container takes its place if it
+    scores at least half as much, as with a title in a header of its own and all paragraphs in one section. Where nothing is left because some word
+    of a class or id names something else (``legal-history``, ``community-garden``), only names all of whose words do are dropped. Takes time in proportion to the page.
     """
-    nodes, blocks = _parse(page or "")
+    return _scored(*_parse(page or "", False)) or _scored(*_parse(page or "", True))
+
+
+def _scored(nodes: list[_Node], blocks: list[tuple[_Node, str, int]]) -> str:
     for node, text, linked in blocks:
         points = 1 + text.count(",") + min(len(text) / 100, 3.0)
         points *= 1 - min(1.0, linked / len(text))
@@ -196,8 +209,10 @@ def main_text(page: str | None) -> str:
     around = best
     while around is not None and around.tag not in ("article", "main"):
         around = around.parent
-    kept = {(around or best).order}
-    if around is None and best.parent is not None:
+    if around is not None and around.score >= NAMED * best.score:
+        best = around
+    kept = {best.order}
+    if best.parent is not None:
         for n in nodes:
             if n.parent is best.parent and n is not best and n.text:
                 density = n.linked / n.text

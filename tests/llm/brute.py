@@ -141,8 +141,10 @@ def article(page, levels=8):
     if not tree.blocks or scores[id(best)] <= 0:
         return ""
     around = next((n for n in [best, *best.above()] if n.tag == "article"), None)
-    keep = [around or best]
-    if around is None and best.up is not None:
+    if around is not None and scores[id(around)] >= 0.5 * scores[id(best)]:
+        best = around
+    keep = [best]
+    if best.up is not None:
         for n in tree.all:
             if n.up is best.up and n is not best and density(n)[1]:
                 d, total = density(n)

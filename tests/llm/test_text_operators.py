@@ -353,3 +353,21 @@ def test_bpe_and_counts_of_odd_tables(spark):
     assert bpe.encode_and_decode(df.limit(0), WORDS).count() == 0
     counted = sorted((str(r[0]), r[1]) for r in token_counts.token_counts(df, PIECES).collect())
     assert [x for x, _ in counted] == ["1", "1", "2", "None"] and counted[0] == counted[1] and counted[3][1] == 300_000
+
+
+def test_pages_whose_names_mislead():
+    """A word of a longer name does not cost a page its text; names that say nothing else still do."""
+    text = "Hello, this, is, the text of the page."
+    for page in (f'<div class="post community-garden"><p>{text}</p></div>', f'<nav><a>x</a></nav><div id="legal-history"><p>{text}</p></div>', f'<main><div class="promo-tours"><section><p>{text}</p></section></div></main>'):
+        assert main_text(page) == text
+    for page in (f'<div class="cookie-notice"><p>{text}</p></div>', f'<div class="comments"><p>{text}</p></div>', f'<div class="wide sidebar"><p>{text}</p></div>', f"<footer>{text}</footer>"):
+        assert main_text(page) == ""
+    assert main_text(f'<div class="social-share"><p>no</p></div><div class="body"><p>{text}</p></div>') == text
+
+
+def test_scores_choose_inside_an_article():
+    """A list of links beside the text of an article is not taken for it; a title in a header of its own is part of it."""
+    text = "It was, as they say, a long way home, " * 8
+    assert main_text(f"<article><header><h1>Title</h1></header><section><p>{text}</p></section></article>") == f"Title\n{text.strip()}"
+    far = "".join(f"<section><ul><li><a>link {i}, and more, of it</a></li></ul></section>" for i in range(40))
+    assert main_text(f"<article><div>{far}</div><div><div><p>{text}</p><p>{text}</p></div></div></article>") == f"{text.strip()}\n{text.strip()}"
