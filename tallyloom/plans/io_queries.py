@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import cohort, linkage
-from ..sources import readers, writers
+from ..sources import arrays, readers, scans, writers
 from ..streaming import ingest
 from . import views as v
 from .queries import _audit, _long, _pivot, query
@@ -114,12 +114,28 @@ def checksum_lines(spark, sf_dir):
     return spark.read.text(path)
 
 
-@query("SELECT CAST(i AS BIGINT) AS i, i * 0.5 AS value FROM range(0, 1000) r(i)")
+@query("SELECT CAST(l_orderkey AS DOUBLE) AS x, CAST(l_extendedprice AS DOUBLE) AS y FROM lineitem")
 def partitioned_arrays(spark, sf_dir):
-    """Coordinates as an array column, written as Parquet and read an element a row."""
+    """Pairs of coordinates written as parts of an array, and read in ranges of 64 KB."""
     path = _path(spark, "arrays")
-    spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(999)), lambda i: i * 0.5).alias("values")).write.parquet(path)
-    return spark.read.parquet(path).select(F.posexplode("values").alias("i", "value")).select(F.col("i").cast("bigint").alias("i"), "value")
+    arrays.register(spark)
+    pairs = v.read(spark, sf_dir, "lineitem").select(F.array(F.col("l_orderkey").cast("double"), F.col("l_extendedprice").cast("double")).alias("values"))
+    pairs.write.format("npy").mode("append").save(path)
+    return arrays.arrays(spark, path, 1 << 16).select(F.col("values")[0].alias("x"), F.col("values")[1].alias("y"))
+
+
+#: Words whose every occurrence is looked for, with their bytes.
+MARKERS = ["the ", "und", "://", "@", "license", "ü"]
+_MARKED = ", ".join(f"('{m}')" for m in MARKERS)
+
+
+@query(f"SELECT m AS marker, CAST(sum((length(text) - length(replace(text, m, ''))) // length(m)) AS BIGINT) AS n FROM documents, (VALUES {_MARKED}) AS v(m) GROUP BY 1 HAVING n > 0")
+def marker_counts(spark, sf_dir):
+    """Texts written as files and searched in ranges of 64 KB by one automaton."""
+    path = _path(spark, "texts")
+    v.read(spark, sf_dir, "documents").select(F.coalesce("text", F.lit("")).alias("value")).write.text(path)
+    hits = scans.marker_hits(spark, path, [m.encode() for m in MARKERS], "*.txt", size=1 << 16)
+    return hits.groupBy(F.decode("marker", "UTF-8").alias("marker")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT user_id, event_type, event_id, round(value, 6) AS value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1")

@@ -1,5 +1,7 @@
+import hashlib
 import math
 import random
+from itertools import combinations
 import re
 
 import pytest
@@ -172,4 +174,50 @@ def test_model_queries_search_the_whole_grids(spark, monkeypatch):
     monkeypatch.setattr(ml, "nested_cv", spy)
     for name in ("elastic_net_auc", "random_forest_auc"):
         assert QUERIES[name](spark, "/root/testdata/sf0.001").first().auc == 1
-    assert searched == [ml.GRIDS["elastic_net"], ml.GRIDS["random_forest"]]
+    assert searched == [ml.GRIDS["elastic_net"], [o | {"trees": 40} for o in ml.GRIDS["random_forest"]]]
+
+
+def test_importances_like_a_plain_loop(spark):
+    """One pass gives what dealing out a feature, scoring and ranking give one after another; the feature that decides is worth most."""
+    r = random.Random(5)
+    rows = [(i, y := r.randrange(2), r.gauss(2 * y, 1) if i % 7 else None, r.gauss(0, 1), "ab"[y] if r.random() < 0.6 else r.choice(["c", None])) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, y int, x double, noise double, c string")
+    train, test = df.where("id < 80").cache(), df.where("id >= 80").cache()
+    found = {r.feature: r for r in ml.permutation_importance(train, test, "id", ["x", "noise"], ["c"], "elastic_net", {"c": 1.0, "l1": 0.5}, repeats=3, seed=6).collect()}
+    p = ml.fit_preprocessor(train, ["x", "noise"], ["c"])
+
+    def auc(rows):
+        out = ml.predicted(ml.transform(train, p), ml.transform(rows, p), "elastic_net", {"c": 1.0, "l1": 0.5}, 6).select("y", "p").collect()
+        pairs = [(a.p > b.p) + (a.p == b.p) / 2 for a in out for b in out if a.y > b.y]
+        return sum(pairs) / len(pairs)
+
+    base, held = auc(test), {t.id: t for t in test.collect()}
+    for f in ("x", "noise", "c"):
+        lost = []
+        for k in range(3):
+            order = {end: sorted(held, key=lambda i, end=end: hashlib.md5(f"{i}|6|{f}|{k}|{end}".encode()).hexdigest()) for end in ("to", "from")}
+            gets = {to: held[giver][f] for to, giver in zip(order["to"], order["from"])}
+            lost.append(base - auc(spark.createDataFrame([tuple(gets[t.id] if c == f else t[c] for c in df.columns) for t in held.values()], df.schema)))
+        mean = sum(lost) / 3
+        assert abs(found[f].mean - mean) < 1e-9 and abs(found[f].deviation - math.sqrt(sum((x - mean) ** 2 for x in lost) / 3)) < 1e-9
+    assert found["x"].mean > found["noise"].mean and len(found) == 3
+    alone = ml.permutation_importance(train.where("y = 1"), test, "id", ["x"], ["c"], "elastic_net", {"c": 1.0, "l1": 0.5}, repeats=2).collect()
+    assert {r.mean for r in alone} == {0.0}
+
+
+def test_exact_u_of_unequal_groups(spark):
+    """8 against 60, as counted one value at a time; small groups by listing all of them."""
+    ways = {(0, 0): 1}  # (values of the smaller group so far, U) among the ranks so far
+    for rank in range(68):
+        more = dict(ways)
+        for (k, u), n in ways.items():
+            if k < 8:
+                more[k + 1, u + rank - k] = more.get((k + 1, u + rank - k), 0) + n
+        ways = more
+    p = 2 * sum(n for (k, u), n in ways.items() if k == 8 and u <= 150) / math.comb(68, 8)
+    got = spark.createDataFrame([(150.0, 8, 60), (330.0, 60, 8), (3.0, 3, 4), (2.5, 3, 4), (1.0, 3000, 3000)], "u double, a int, b int").select(stats.exact_u("u", "a", "b").alias("p")).collect()
+    assert abs(got[0].p - p) < 1e-12 and got[0].p == got[1].p and got[3].p is None and got[4].p is None
+    assert abs(got[2].p - 2 * sum(sum(c) - 6 <= 3 for c in combinations(range(1, 8), 3)) / 35) < 1e-12
+    long = [("f", float(i), int(i < 60)) for i in range(68)]
+    u = stats.univariate(spark.createDataFrame([(f, str(v), y) for f, v, y in long], "feature string, value string, outcome int")).first()
+    assert u.kind == "mann_whitney" and u.statistic == 0 and abs(u.p - 2 / math.comb(68, 8)) < 1e-15
