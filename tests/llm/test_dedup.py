@@ -323,3 +323,21 @@ def test_exact_rows_come_through_the_index(spark, monkeypatch):
 
 
 kept = exact_dedup.index_entries
+
+
+def test_few_links_among_many_vectors(spark, monkeypatch):
+    """Pairs of just the threshold's cosine that a few trees part: an audit with few linked nodes does not pass before all trees are there."""
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 8)
+    r = np.random.default_rng(7)
+    x = r.standard_normal((5000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    for i in range(20):
+        away = r.standard_normal(32)
+        away -= away @ x[i] * x[i]
+        x[100 + i] = 0.9805 * x[i] + np.sqrt(1 - 0.9805**2) * away / np.linalg.norm(away)
+    asked, audit = [], embedding_dedup._audit
+    monkeypatch.setattr(embedding_dedup, "_audit", lambda *a: asked.append(audit(*a)) or asked[-1])
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.component_id for r in embedding_dedup.near_vectors(df).where("n_links > 0").collect()}
+    assert got == {i + k: i for i in range(20) for k in (0, 100)}
+    assert len(asked) == 2 and asked[0][1] < embedding_dedup.NEEDED
