@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -182,3 +183,35 @@ def signature(parameters: dict[str, Column]) -> Column:
 def companion_fingerprint(used: Column, exists: Column, digest: Column) -> Column:
     """JSON of a companion file: null where it isn't used, unavailable where it is missing, else its digest."""
     return F.when(~used, F.lit(None)).when(~exists, F.to_json(F.struct(F.lit(False).alias("available")))).otherwise(F.to_json(F.struct(F.lit(True).alias("available"), digest.alias("sha256"))))
+
+
+def tree_lines(files: DataFrame, root: str, depth: int = 4, lines: int = 500, shown: int = 25) -> DataFrame:
+    """(root, place, line): an indented listing of each root's files (root, relative_path), as a walk from the top meets them.
+
+    A folder lists its folders, then its files, each by bytes of their names; then its folders are walked in that order. Names with a leading dot are left out, with all that lies
+    below them. Folders more than ``depth`` deep are not walked, of a folder's files ``shown`` are listed and the others counted. The listing ends with a line that says so where more
+    than ``lines`` would be needed; the root's own line is place 0. Folders are known from their files alone. Null paths are left out, repeated ones listed once; a null root is a root
+    of its own, shown as an empty name. Rows are cut by rank before they meet, so a root or folder may hold any number of files.
+    """
+    parts = F.split("relative_path", "/")
+    rows = files.where(F.col("relative_path").isNotNull()).select(F.col(root).alias("_root"), parts.alias("_p"))
+    size = F.size("_p")
+    visible = lambda a: ~F.exists(a, lambda c: c.startswith("."))
+    upper = F.transform(F.sequence(F.lit(1), F.least(size - 1, F.lit(depth))), lambda n: F.slice("_p", 1, n))
+    folders = rows.where((size > 1) & F.lit(depth > 0)).select("_root", F.explode(upper).alias("_f")).where(visible(F.col("_f"))).distinct()
+    folders = folders.select("_root", F.slice("_f", 1, F.size("_f") - 1).alias("_in"), F.lit(0).alias("_kind"), F.element_at("_f", -1).alias("_name"))
+    listed = rows.where((size <= depth + 1) & visible(F.col("_p"))).select("_root", F.slice("_p", 1, size - 1).alias("_in"), F.element_at("_p", -1).alias("_name")).distinct()
+    ranked = listed.withColumn("_n", F.row_number().over(W.partitionBy("_root", "_in").orderBy("_name"))).where(F.col("_n") <= shown)
+    more = listed.groupBy("_root", "_in").agg(F.count(F.lit(1)).alias("_all")).where(F.col("_all") > shown)
+    more = more.select("_root", "_in", F.lit(2).alias("_kind"), F.concat(F.lit("... "), (F.col("_all") - shown).cast("string"), F.lit(" more file(s)")).alias("_name"))
+    entries = folders.unionByName(ranked.select("_root", "_in", F.lit(1).alias("_kind"), "_name")).unionByName(more)
+    place = F.row_number().over(W.partitionBy("_root").orderBy("_in", "_kind", "_name"))
+    entries = entries.withColumn("place", place).where(F.col("place") <= lines + 1)
+    cut = (F.col("place") >= lines) & (F.col("_kind") != 2)
+    first = F.min(F.when(cut, F.col("place"))).over(W.partitionBy("_root"))  # at most lines + 1 rows a root
+    entries = entries.withColumn("_cut", first).where(F.col("_cut").isNull() | (F.col("place") <= F.col("_cut")))
+    mark = F.when(F.col("_kind") == 2, "└── ").otherwise("├── ")
+    line = F.concat(F.repeat(F.lit("  "), F.size("_in")), mark, "_name", F.when(F.col("_kind") == 0, "/").otherwise(""))
+    line = F.when(F.col("place") == F.col("_cut"), "  ... [truncated]").otherwise(line)
+    head = files.select(F.col(root).alias("_root")).distinct().select("_root", F.lit(0).alias("place"), F.coalesce(F.col("_root").cast("string"), F.lit("")).alias("line"))
+    return head.unionByName(entries.select("_root", "place", line.alias("line"))).withColumnRenamed("_root", root)

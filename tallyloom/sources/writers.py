@@ -65,27 +65,68 @@ def replace_file(spark: SparkSession, path: str, text: str) -> None:
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(target).toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(fs.makeQualified(beside), fs.makeQualified(target), how)
 
 
+def _pointed(spark: SparkSession, path: str) -> str | None:
+    """The version that the file ``CURRENT`` below path names, or None before the first."""
+    jvm, _, fs = _hadoop(spark, path)
+    return spark.read.text(f"{path}/CURRENT").first()[0] if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/CURRENT")) else None
+
+
+def _publish(spark: SparkSession, path: str, version: str) -> None:
+    """Makes a version current by one rename and deletes all others but the one before, so that running readers may finish."""
+    before = _pointed(spark, path)
+    replace_file(spark, f"{path}/CURRENT", version)
+    _, target, fs = _hadoop(spark, path)
+    for status in fs.listStatus(target):
+        name = status.getPath().getName()
+        if name.startswith("v-") and name not in (version, before):
+            fs.delete(status.getPath(), True)
+
+
 def staged(df: DataFrame, path: str, kind: str = "parquet") -> None:
     """Writes df as a new version below path, then makes it the current one by replacing the file ``CURRENT`` in one rename.
 
     Readers by current() see the version before or this one, also when the write fails. Older versions but the one before are deleted, so that running readers may finish.
     """
-    spark = df.sparkSession
     version = f"v-{uuid.uuid4().hex[:12]}"
     df.write.format(kind).save(f"{path}/{version}")
-    jvm, target, fs = _hadoop(spark, path)
-    pointer = jvm.org.apache.hadoop.fs.Path(f"{path}/CURRENT")
-    before = spark.read.text(f"{path}/CURRENT").first()[0] if fs.exists(pointer) else None
-    replace_file(spark, f"{path}/CURRENT", version)
-    for status in fs.listStatus(target):
-        name = status.getPath().getName()
-        if name.startswith("v-") and name not in (version, before):
-            fs.delete(status.getPath(), True)
+    _publish(df.sparkSession, path, version)
 
 
 def current(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
     """The version of a staged() table that is current now."""
-    return spark.read.format(kind).load(f"{path}/{spark.read.text(f'{path}/CURRENT').first()[0]}")
+    return spark.read.format(kind).load(f"{path}/{_pointed(spark, path)}")
+
+
+def staged_set(tables: dict[str, DataFrame], path: str, kind: str = "parquet") -> None:
+    """Writes all tables of a run as one version below path, then makes them current together by replacing one file.
+
+    Names are letters, digits and underscores. If any table fails, what was written of the version is deleted, the error is raised and the old set stays. Versions but the
+    last two are deleted. One writer a path at a time.
+    """
+    if not tables:
+        raise ValueError("a set needs tables")
+    if wrong := [n for n in tables if not (n.isidentifier() and n.isascii()) or n.startswith("_")]:  # Spark takes files with a leading underscore for hidden
+        raise ValueError(f"not names of tables: {', '.join(sorted(wrong))}")
+    spark = next(iter(tables.values())).sparkSession
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    try:
+        for name, df in tables.items():
+            df.write.format(kind).save(f"{path}/{version}/{name}")
+    except BaseException:
+        _, half, fs = _hadoop(spark, f"{path}/{version}")
+        fs.delete(half, True)
+        raise
+    _publish(spark, path, version)
+
+
+def current_set(spark: SparkSession, path: str, kind: str = "parquet") -> dict[str, DataFrame]:
+    """The tables of the version that is current now, by name: the pointer is read once, so all are of one run. FileNotFoundError before the first run."""
+    version = _pointed(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no set of tables below {path}")
+    _, folder, fs = _hadoop(spark, f"{path}/{version}")
+    names = sorted(s.getPath().getName() for s in fs.listStatus(folder))
+    return {n: spark.read.format(kind).load(f"{path}/{version}/{n}") for n in names}
 
 
 def checksum_lines(df: DataFrame, digest: str = "sha256", path: str = "path") -> DataFrame:

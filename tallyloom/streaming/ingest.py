@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.integrity import upsert
 from ..sources.writers import _hadoop
@@ -69,3 +73,83 @@ def latest_by_key(stream: DataFrame, path: str, checkpoint: str, keys: list[str]
                 fs.delete(folder, True)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+#: What run_markers() needs of a session: states that hold values by key and timers.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+class _Markers(StatefulProcessor):
+    """The open run of one slide: since when it works, and its deadline as a timer. One value a slide, whatever number of reports."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", "since bigint")
+
+    def _since(self) -> int | None:
+        return self.open.get()[0] if self.open.exists() else None
+
+    def _close(self, since: int) -> None:
+        self.handle.deleteTimer(since + self.limit)
+        self.open.clear()
+
+    @staticmethod
+    def _rows(key: tuple, changes: list[tuple[int, str]]) -> pd.DataFrame:
+        texts = pd.DataFrame({"slide_id": [key[0]] * len(changes), "status": [s for _, s in changes]}, dtype=object)
+        texts.insert(1, "millis", pd.Series([a for a, _ in changes], dtype="int64"))
+        return texts
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        changes = []
+        reports = pd.concat(list(rows))  # those of one slide in one batch
+        reports = sorted(zip(reports["millis"], reports["report"] != "started"))
+        for at, ends in reports:
+            at, since = int(at), self._since()
+            if since is not None and at >= since + self.limit:
+                changes.append((since + self.limit, "expired"))
+                self._close(since)
+                since = None
+            if not ends:
+                if since is not None:
+                    self._close(since)
+                self.open.update((at,))
+                self.handle.registerTimer(at + self.limit)
+                changes.append((at, "withdrawn"))
+            elif since is not None:
+                self._close(since)
+                changes.append((at, "published"))
+        yield self._rows(key, changes)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        since = self._since()
+        if since is None or since + self.limit != expiredTimerInfo.getExpiryTimeInMs():
+            yield self._rows(key, [])
+            return
+        self.open.clear()
+        yield self._rows(key, [(since + self.limit, "expired")])
+
+    def close(self) -> None:
+        pass
+
+
+def run_markers(reports: DataFrame, limit: int, late: str) -> DataFrame:
+    """(slide_id, at, status): changes of slides' completion markers, from a stream of reports (slide_id, at timestamp, report started or finished).
+
+    A start withdraws the marker at once (withdrawn), also while another run is open, which it replaces; the end of an open run publishes it (published), ends of no open run are passed
+    over. A run that is still open limit milliseconds after its start, by the stream's own time, has expired: its end no longer publishes. Times are counted in milliseconds; of reports of
+    one slide at one time starts come first. Reports more than late behind the latest time are left out; null times and slides and other reports too. The state holds one value for each
+    slide that has an open run and survives restarts. Output mode append; the session needs STATE_STORE when the query starts.
+    """
+    kept = reports.where("slide_id is not null and at is not null and report in ('started', 'finished')").select(F.col("slide_id").cast("string").alias("slide_id"), "at", F.unix_millis("at").alias("millis"), "report")
+    grouped = kept.withWatermark("at", late).groupBy("slide_id")
+    changes = grouped.transformWithStateInPandas(_Markers(limit), "slide_id string, millis bigint, status string", "append", "eventTime")
+    return changes.select("slide_id", F.timestamp_millis("millis").alias("at"), "status")
+
+
+def markers(changes: DataFrame) -> DataFrame:
+    """(slide_id, at, status): the last change of each slide; of changes at one time an expiry or an end comes before a start."""
+    order = F.struct("at", F.col("status") == "withdrawn")
+    return changes.groupBy("slide_id").agg(F.max_by(F.struct("at", "status"), order).alias("m")).select("slide_id", "m.at", "m.status")
