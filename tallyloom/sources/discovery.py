@@ -13,24 +13,24 @@ from .readers import files, text_table
 POLICIES = ("ignore", "optional", "required")
 
 
-def companions(found: DataFrame, policy: str = "ignore", suffix: tuple[str, str] = ("_L0_", "_L2_")) -> DataFrame:
-    """found (relative_path, length) with l2_path, l2_exists and l2_state: not_used, present or missing. Nothing is looked up under the policy ignore."""
+def companions(found: DataFrame, policy: str = "ignore", suffix: tuple[str, str] = ("_L0_", "_L2_"), listing: DataFrame | None = None) -> DataFrame:
+    """found (relative_path, length) with l2_path, l2_exists and l2_state: not_used, present or missing, looked up in listing or else in found. Nothing is looked up under the policy ignore."""
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {', '.join(POLICIES)}")
     if policy == "ignore":
         return found.withColumn("l2_path", F.lit(None).cast("string")).withColumn("l2_exists", F.lit(False)).withColumn("l2_state", F.lit("not_used"))
-    other = found.select(F.col("relative_path").alias("l2_path"), F.lit(True).alias("_there"))
+    other = (listing or found).select(F.col("relative_path").alias("l2_path"), F.lit(True).alias("_there"))
     out = found.where(F.col("relative_path").contains(suffix[0])).withColumn("_l2", F.replace("relative_path", F.lit(suffix[0]), F.lit(suffix[1])))
     out = out.join(other, F.col("_l2") == F.col("l2_path"), "left").withColumn("l2_exists", F.coalesce("_there", F.lit(False)))
     return out.withColumn("l2_path", F.col("_l2")).withColumn("l2_state", F.when(F.col("l2_exists"), "present").otherwise("missing")).drop("_l2", "_there")
 
 
-def manifest(found: DataFrame, policy: str = "ignore", include: list[str] = (), exclude: list[str] = ()) -> DataFrame:
+def manifest(found: DataFrame, policy: str = "ignore", include: list[str] = (), exclude: list[str] = (), listing: DataFrame | None = None) -> DataFrame:
     """(sample_id, relative_path, size_bytes, modified, fingerprint, l2_*) of found files (relative_path, length, modified[, sample_id]) in natural order of their ids.
 
     Raises ConstraintError for blank, reserved or repeated ids, repeated paths, an empty table, and companions that the policy requires and that are missing.
     """
-    rows = companions(found, policy)
+    rows = companions(found, policy, listing=listing)
     if "sample_id" not in rows.columns:
         rows = rows.withColumn("sample_id", tx.sample_id(F.col("relative_path")))
     rows = rows.where(tx.matches(F.col("sample_id"), list(include), list(exclude)))
@@ -49,10 +49,10 @@ def discover(spark: SparkSession, root: str, patterns: list[str], excluded: list
 
 
 def from_sheet(spark: SparkSession, sheet: str, listing: DataFrame, policy: str = "ignore") -> DataFrame:
-    """manifest() of a sample sheet (sample_id, slide_path relative to the listing's root); paths that the listing lacks raise ConstraintError."""
+    """manifest() of a sample sheet (sample_id, slide_path relative to the listing's root); paths that the listing lacks raise ConstraintError. Companions are looked up in the listing."""
     rows = text_table(spark, sheet, ["sample_id", "slide_path"]).withColumnRenamed("slide_path", "relative_path")
     v.enforce(v.violations(rows, "sample_id", [v.Rule("blank_path", F.col("relative_path").isNull())]), v.missing(rows, listing, "relative_path"))
-    return manifest(rows.select("sample_id", "relative_path").join(listing, "relative_path"), policy)
+    return manifest(rows.select("sample_id", "relative_path").join(listing, "relative_path"), policy, listing=listing)
 
 
 def workflow_roster(wanted: DataFrame, results: DataFrame) -> DataFrame:
