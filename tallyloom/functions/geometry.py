@@ -78,7 +78,8 @@ def rgb_of_hex(color: Column) -> Column:
 def stain_proxies(r: Column, g: Column, b: Column) -> dict[str, Column]:
     """Shades by which stains are told apart, from channels of 0 to 1."""
     gray = 0.299 * r + 0.587 * g + 0.114 * b
-    return {"gray": gray, "saturation": F.greatest(r, g, b) - F.least(r, g, b), "purple": (r + b) / 2 - g, "eosin": r - (g + b) / 2, "darkness": 1 - gray}
+    most = F.greatest(r, g, b)
+    return {"gray": gray, "saturation": (most - F.least(r, g, b)) / F.greatest(most, F.lit(1e-6)), "purple": (r + b) / 2 - g, "eosin": r - b, "darkness": 1 - gray}
 
 
 def nearest_multiple(x: Column, divisor: int) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geometry as geo
 from .ranking import quantiles
 
 
@@ -37,6 +38,39 @@ def log_counts(long: DataFrame, by: str = "sample_id", value: str = "n") -> Data
     return long.join(totals, by).withColumn("v", F.log1p(F.col(value).cast("double"))).withColumn("zero", (F.col("_t") == 0).cast("int")).drop("_t")
 
 
+def standardised(df: DataFrame, key: str, names: list[str], flat: float = 1e-8) -> DataFrame:
+    """(key, vector array<double>): standard scores of the columns in that order, by the rules of zscores(); one pass for all moments, which are one row."""
+    x = {n: F.col(f"`{n}`").cast("double") for n in names}
+    clean = df.select(key, *[F.when(c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")), F.lit(0.0)).otherwise(c).alias(f"_x{i}") for i, c in enumerate(x.values())])
+    moments = clean.agg(*[F.avg(f"_x{i}").alias(f"_m{i}") for i in range(len(names))], *[F.stddev_pop(f"_x{i}").alias(f"_s{i}") for i in range(len(names))])
+    z = [(F.col(f"_x{i}") - F.col(f"_m{i}")) / F.when(F.col(f"_s{i}") <= flat, 1.0).otherwise(F.col(f"_s{i}")) for i in range(len(names))]
+    return clean.crossJoin(F.broadcast(moments)).select(key, F.array(*z).alias("vector"))
+
+
+def cell_features(cells: DataFrame, width: int, height: int, mpp: float, rgb: tuple[str, str, str] | None = None, rings: str | None = None) -> tuple[DataFrame, list[str]]:
+    """cells with the columns that an embedding takes, and their names in order: place, box, colour, polygon, and a 0/1 column for each class name that occurs.
+
+    cells has class_name, x, y, bbox_x0 to bbox_y1; rgb names columns of 0 to 255, rings one of arrays of points x, y. Lengths are in units of mpp, log_area is of pixels. A cell without a
+    polygon gets the median of those that have one, 0 if none has; a cell without a class is of none. Runs a job for the class names, of which there are few.
+    """
+    box = geo.box_features(*[F.col(f"bbox_{c}").cast("double") for c in ("x0", "y0", "x1", "y1")])
+    made = {
+        "x_norm": F.col("x").cast("double") / max(width, 1), "y_norm": F.col("y").cast("double") / max(height, 1), "bbox_w_um": box["w"] * mpp, "bbox_h_um": box["h"] * mpp,
+        "bbox_area_um2": box["area"] * mpp * mpp, "log_area": box["log_area"], "aspect": box["aspect"],
+    }
+    if rgb:
+        r, g, b = (F.col(c).cast("double") for c in rgb)
+        made |= {"he_r": r, "he_g": g, "he_b": b} | {f"he_{n}": c for n, c in geo.stain_proxies(r / 255.0, g / 255.0, b / 255.0).items()}
+    shape = {}
+    if rings:
+        shape = {f"poly_{n}{u}": F.when(F.size(rings) > 0, p) for (n, p), u in zip(geo.polygon_features(F.col(rings), mpp).items(), ("_um2", "_um", "", ""))}
+    out = cells.withColumns(made | shape)
+    if shape:
+        out = median_filled(out, list(shape)).fillna(0.0, list(shape))
+    classes = sorted(r[0] for r in cells.where(F.col("class_name").isNotNull()).select("class_name").distinct().collect())
+    return one_hot(out, "class_name", classes), [*made, *shape, *[f"class_{c}" for c in classes]]
+
+
 def median_filled(df: DataFrame, columns: list[str]) -> DataFrame:
     """df with nulls of the columns replaced by the column's median; a column without any value stays null. Runs a job a column."""
     if not columns:

@@ -306,7 +306,7 @@ def polygon_features(spark, sf_dir):
 _RGB = "c AS (SELECT p_partkey, (p_partkey * 7 % 256) / 255.0::DOUBLE AS r, (p_partkey * 13 % 256) / 255.0::DOUBLE AS g, (p_size * 5 % 256) / 255.0::DOUBLE AS b FROM part)"
 
 
-@query(f"WITH {_RGB}, d AS (SELECT *, 0.299::DOUBLE * r + 0.587::DOUBLE * g + 0.114::DOUBLE * b AS gray FROM c) SELECT p_partkey AS id, round(gray, 6) AS gray, round(greatest(r, g, b) - least(r, g, b), 6) AS saturation, round((r + b) / 2 - g, 6) AS purple, round(r - (g + b) / 2, 6) AS eosin, round(1 - gray, 6) AS darkness FROM d")
+@query(f"WITH {_RGB}, d AS (SELECT *, 0.299::DOUBLE * r + 0.587::DOUBLE * g + 0.114::DOUBLE * b AS gray FROM c) SELECT p_partkey AS id, round(gray, 6) AS gray, round((greatest(r, g, b) - least(r, g, b)) / greatest(greatest(r, g, b), 1e-6::DOUBLE), 6) AS saturation, round((r + b) / 2 - g, 6) AS purple, round(r - b, 6) AS eosin, round(1 - gray, 6) AS darkness FROM d")
 def stain_proxies(spark, sf_dir):
     p = v.read(spark, sf_dir, "part")
     channel = lambda c, k: (F.col(c) * k % 256) / F.lit(255.0)

@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.text import CLASS_NAMES
 from ..operators import artifacts as af
 from ..operators import cohort
+from ..operators import features as ft
 from ..sources import discovery, readers, workbooks, writers
 from ..streaming import ingest
+from . import pipelines
 from . import views as v
 from .artifact_queries import _LISTING
 from .io_queries import _path
-from .queries import query
+from .queries import _LINK, query
 
 # ---- a cohort from written inputs, its tables under one pointer
 
@@ -156,3 +159,54 @@ def stream_run_markers(spark, sf_dir):
         spark.conf.set(store, before) if before else spark.conf.unset(store)
     seen = spark.read.schema("slide_id string, at timestamp, status string").parquet(f"{path}/out")
     return ingest.markers(seen).select("slide_id", "status", F.unix_millis("at").alias("at_ms"))
+
+
+# ---- features of cells, a whole analysis
+
+WIDTH, HEIGHT, MPP = 100000, 60000, 0.25
+_SHADE = "0.299::DOUBLE * r + 0.587::DOUBLE * g + 0.114::DOUBLE * b"
+#: Each feature of a cell in SQL; every fifth cell has no polygon.
+_FEATURES = {
+    "x_norm": f"x::DOUBLE / {WIDTH}", "y_norm": f"y::DOUBLE / {HEIGHT}", "bbox_w_um": f"w * {MPP}", "bbox_h_um": f"h * {MPP}", "bbox_area_um2": f"w * h * {MPP * MPP}", "log_area": "ln(1 + w * h)", "aspect": "w / h",
+    "he_r": "r", "he_g": "g", "he_b": "b", "he_gray": f"({_SHADE}) / 255", "he_saturation": "(greatest(r, g, b) - least(r, g, b)) / 255 / greatest(greatest(r, g, b) / 255, 1e-6::DOUBLE)",
+    "he_purple": "((r + b) / 2 - g) / 255", "he_eosin": "(r - b) / 255", "he_darkness": f"1 - ({_SHADE}) / 255",
+    "poly_area_um2": f"coalesce(area, median(area) OVER ()) * {MPP * MPP}", "poly_perimeter_um": f"coalesce(around, median(around) OVER ()) * {MPP}", "poly_vertices": "3.0::DOUBLE",
+    "poly_compactness": "coalesce(4 * pi() * area / (around * around), median(4 * pi() * area / (around * around)) OVER ())",
+}
+_FEATURES |= {f"class_{n}": f"CAST(class_name = '{n}' AS DOUBLE)" for n in CLASS_NAMES}
+_made = ", ".join(f'{x} AS "{n}"' for n, x in _FEATURES.items())
+_scored = ", ".join(f'round(("{n}" - avg("{n}") OVER ()) / CASE WHEN stddev_pop("{n}") OVER () > 1e-8 THEN stddev_pop("{n}") OVER () ELSE 1 END, 4) + 0.0 AS "{n}"' for n in _FEATURES)
+
+
+@query(f"""WITH {v.CELLS}, c AS (SELECT cell_id, class_name, x, y, (bbox_x1 - bbox_x0)::DOUBLE AS w, (bbox_y1 - bbox_y0)::DOUBLE AS h, (floor(x) % 256)::DOUBLE AS r, (floor(y) % 256)::DOUBLE AS g, (class_id * 17)::DOUBLE AS b, floor(x) % 5 <> 0 AS shaped FROM cells),
+s AS (SELECT *, CASE WHEN shaped THEN w * h / 2 END AS area, CASE WHEN shaped THEN w + h + sqrt(w * w + h * h) END AS around FROM c), f AS (SELECT cell_id, {_made} FROM s) SELECT cell_id, {_scored} FROM f""")
+def embedding_features(spark, sf_dir):
+    """Standard scores of all features of all cells: place, box, colour, polygon (three corners of the box; the median where there is none) and class."""
+    x, y = F.floor("x"), F.floor("y")
+    corner = lambda a, b: F.struct(F.col(f"bbox_{a}").cast("double").alias("x"), F.col(f"bbox_{b}").cast("double").alias("y"))
+    ring = F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"))
+    c = v.cells(spark, sf_dir).withColumns({"r": x % 256, "g": y % 256, "b": F.col("class_id") * 17, "rings": F.when(x % 5 != 0, F.array(ring))})
+    made, names = ft.cell_features(c, WIDTH, HEIGHT, MPP, ("r", "g", "b"), "rings")
+    z = ft.standardised(made, "cell_id", names)
+    return z.select("cell_id", *[(F.round(F.col("vector")[i], 4) + 0.0).alias(n) for i, n in enumerate(names)])
+
+
+@query(f"""WITH {_LINK}, d AS (SELECT 'DOC-' || doc_id AS key, lang, n_chars FROM documents), r AS (SELECT outcome, lang, n_chars FROM linked JOIN d USING (key) WHERE included),
+u AS (SELECT outcome, n_chars, rank() OVER (ORDER BY n_chars) + (count(*) OVER (PARTITION BY n_chars) - 1) / 2.0 AS p FROM r WHERE n_chars IS NOT NULL)
+SELECT 'flow' AS name, unnest(['clinical', 'completed', 'included', 'negative', 'positive']) AS key, unnest([count_if(in_clinical), count_if(completed), count_if(included), count_if(included AND outcome = 0), count_if(included AND outcome = 1)])::DOUBLE AS value FROM linked
+UNION ALL SELECT 'missing', 'lang', count_if(lang IS NULL OR trim(lang) = '') FROM r UNION ALL SELECT 'missing', 'n_chars', count_if(n_chars IS NULL) FROM r
+UNION ALL SELECT 'levels', 'CLIN__LANG', count(DISTINCT lower(lang)) FROM r UNION ALL SELECT 'levels', 'CLIN__N_CHARS', NULL
+UNION ALL SELECT 'statistic', 'n_chars', round(sum(p) FILTER (outcome = 1) - count_if(outcome = 1) * (count_if(outcome = 1) + 1) / 2.0, 4) FROM u""")
+def analysis_report(spark, sf_dir):
+    """A whole analysis without a model: linkage of clinical ids, samples and audit, its flow, missing values, levels and the test of a number."""
+    d = v.read(spark, sf_dir, "documents")
+    c = v.clinical(spark, sf_dir).where("doc_id % 10 <> 1").withColumn("outcome", F.when(F.col("outcome") == 1, " Good").when(F.col("outcome") == 0, "bad"))
+    c = c.withColumn("id", F.concat(F.lit("doc_"), "doc_id", F.lit(".svs"))).withColumnRenamed("outcome", "status").select("id", "status", "lang", "n_chars")
+    samples = d.where("doc_id % 10 <> 2").select(F.concat(F.lit(" Doc "), "doc_id", F.lit(" L0 RGB HE 1")).alias("sample_id"))
+    audit = d.where("doc_id % 10 <> 3").select(F.concat(F.lit("DOC-"), "doc_id", F.lit("_HE_1")).alias("sample_id"), (F.col("doc_id") % 10 != 4).alias("included"))
+    a = pipelines.analyse(c, "id", "status", "good", "bad", samples, audit, ["n_chars"], ["lang"])
+    row = lambda df, name, key, value: df.select(F.lit(name).alias("name"), key.alias("key"), F.col(value).cast("double").alias("value"))
+    flow = a.flow.unpivot([], a.flow.columns, "key", "value")
+    tests = a.univariate.where("feature = 'n_chars'").withColumn("statistic", F.round("statistic", 4))
+    out = row(flow, "flow", F.col("key"), "value").unionByName(row(a.missing, "missing", F.col("feature"), "n_missing"))
+    return out.unionByName(row(a.manifest, "levels", F.col("feature_name"), "n_levels")).unionByName(row(tests, "statistic", F.col("feature"), "statistic"))

@@ -46,6 +46,13 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}/tables"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder, read back: what follows starts from files that outlive executors. Runs a job."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _hadoop(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
