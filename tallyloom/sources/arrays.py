@@ -115,10 +115,15 @@ class Written(WriterCommitMessage):
 
 
 class Writer(DataSourceArrowWriter):
-    """Each task writes a part of its own; commit() names the parts in the manifest, which it moves into place, so readers see all of a write or nothing."""
+    """Each task writes a part of its own into this write's folder; commit() names the parts in the manifest, which it moves into place, so readers see all of a write or nothing.
+
+    The folder is made before tasks start and by none of them: a task that is still writing when abort() has deleted it fails too, and leaves nothing.
+    """
 
     def __init__(self, path: str, flat: bool, overwrite: bool, palette: str | None):
         self.path, self.flat, self.overwrite, self.palette, self.version = path, flat, overwrite, palette, uuid.uuid4().hex[:12]
+        files, inner = store(path)
+        files.create_dir(f"{inner}/write-{self.version}", recursive=True)
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
         """A row's values must be as many as those of the other rows; a null value becomes NaN."""
@@ -141,9 +146,8 @@ class Writer(DataSourceArrowWriter):
         held = [h for h in held if len(h)]
         if not held:
             return Written("", 0)
-        name = f"part-{self.version}-{task.partitionId():05d}-{task.taskAttemptId()}.npy"
+        name = f"write-{self.version}/part-{task.partitionId():05d}-{task.taskAttemptId()}.npy"
         files, inner = store(self.path)
-        files.create_dir(inner, recursive=True)
         rows = sum(map(len, held))
         with files.open_output_stream(f"{inner}/{name}") as out:
             np.lib.format.write_array_header_1_0(out, {"descr": "<f8", "fortran_order": False, "shape": (rows,) if self.flat else (rows, held[0].shape[1])})
@@ -153,7 +157,6 @@ class Writer(DataSourceArrowWriter):
 
     def commit(self, messages: list[Written | None]) -> None:
         files, inner = store(self.path)
-        files.create_dir(inner, recursive=True)
         before = _manifest(files, inner) if not self.overwrite else None
         parts = (before or {"parts": []})["parts"] + [{"name": m.name, "rows": m.rows} for m in messages if m and m.rows]
         said = json.dumps({"parts": parts, "palette": json.loads(self.palette) if self.palette else (before or {}).get("palette")})
@@ -162,13 +165,16 @@ class Writer(DataSourceArrowWriter):
         files.move(f"{inner}/{MANIFEST}.{self.version}", f"{inner}/{MANIFEST}")
 
     def abort(self, messages: list[Written | None]) -> None:
-        """Deletes the parts of this write, also of tasks that failed before they could report theirs."""
-        from pyarrow import fs
-
+        """Deletes the folder of this write, with the parts of tasks that failed before they could report theirs; again if a task put one there meanwhile."""
         files, inner = store(self.path)
-        for entry in files.get_file_info(fs.FileSelector(inner, allow_not_found=True)):
-            if entry.base_name.startswith(f"part-{self.version}-"):
-                files.delete_file(entry.path)
+        for left in (2, 1, 0):
+            try:
+                files.delete_dir(f"{inner}/write-{self.version}")
+            except FileNotFoundError:
+                return
+            except OSError:
+                if not left:
+                    raise
 
 
 def _manifest(files, inner: str) -> dict | None:

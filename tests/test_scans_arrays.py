@@ -66,10 +66,11 @@ def test_written_arrays(spark, tmp_path):
     assert sorted(r["values"] for r in arrays.arrays(spark, path).collect()) == [[i * 1.0, i * 2.0] for i in range(100)] and arrays.palette(path) == {"tumor": "#ff0000"}
     # a task that fails leaves nothing, and what was there stays
     bad = points.select(F.when(F.col("values")[0] == 77, F.array(F.lit(1.0))).otherwise(F.col("values")).alias("values"))
-    names = sorted(p.name for p in (tmp_path / "out").iterdir() if p.suffix == ".npy")
+    names = sorted(p.name for p in (tmp_path / "out").rglob("*.npy"))
+    assert len(names) == 5
     with pytest.raises(Exception, match="different lengths"):
         bad.write.format("npy").mode("overwrite").save(path)
-    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.suffix == ".npy") == names and arrays.arrays(spark, path).count() == 100
+    assert sorted(p.name for p in (tmp_path / "out").rglob("*.npy")) == names and arrays.arrays(spark, path).count() == 100
     points.limit(3).write.format("npy").mode("append").save(path)
     assert arrays.arrays(spark, path).count() == 103
     points.limit(4).write.format("npy").mode("overwrite").save(path)
