@@ -60,11 +60,15 @@ def test_analysis(spark):
     clinical = spark.createDataFrame(rows, "id string, status string, age double, sex string")
     samples = spark.createDataFrame([(f"CASE-{i}",) for i in range(40)], "sample_id string")
     audit = spark.createDataFrame([(f"case_{i}", i != 3) for i in range(40)], "sample_id string, included boolean")
-    out = pipelines.analyse(clinical, "id", "status", "yes", "NO", samples, audit, ["age"], ["sex"], model="dummy", folds=3)
+    out = pipelines.analyse(clinical, "id", "status", "yes", "NO", samples, audit, ["age"], ["sex"], model="dummy", folds=3, repeats=20)
     assert out.cohort.count() == 39 and out.predictions.count() == 39
     reasons = {r.key: r.reason for r in out.linked.where("not included").collect()}
     assert reasons == {"CASE-3": "slide_not_completed", "CASE-90": "missing_matrix_column;missing_audit_row"}
     assert {r.feature: r.kind for r in out.univariate.collect()} == {"age": "mann_whitney", "sex": "fisher"}
+    spans = {r.metric: r for r in out.intervals.collect()}
+    assert len(spans) == 10 and all(r.n_units == 39 for r in spans.values()) and spans["roc_auc"].low <= spans["roc_auc"].point <= spans["roc_auc"].high
+    assert out.problems.count() == 0 and {r.source_column: r.n_levels for r in out.manifest.collect()} == {"age": None, "sex": 2}
+    assert out.flow.first().asDict() == {"clinical": 41, "completed": 39, "included": 39, "negative": 20, "positive": 19}
     with pytest.raises(validate.ConstraintError):
         pipelines.analyse(clinical.unionAll(clinical.limit(1)), "id", "status", "yes", "no", samples, audit, ["age"], ["sex"])
 
