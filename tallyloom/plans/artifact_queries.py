@@ -347,7 +347,7 @@ def colour_channels(spark, sf_dir):
 @query(f"WITH {v.CELLS} SELECT cell_id, CAST(row_number() OVER (ORDER BY (bbox_x1 - bbox_x0) * (bbox_y1 - bbox_y0) // 1, cell_id) AS BIGINT) AS place FROM cells")
 def draw_order(spark, sf_dir):
     """All cells by area; ties by id."""
-    area = F.floor((F.col("bbox_x1") - F.col("bbox_x0")) * (F.col("bbox_y1") - F.col("bbox_y0")))
+    area = (F.col("bbox_x1") - F.col("bbox_x0")) * (F.col("bbox_y1") - F.col("bbox_y0"))  # of doubles DuckDB's // is the plain quotient
     return af.first_rows(v.cells(spark, sf_dir).select("cell_id", area.alias("area")), [F.col("area"), F.col("cell_id")], 0).select("cell_id", "place")
 
 
