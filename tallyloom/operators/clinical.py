@@ -88,17 +88,17 @@ def evaluation_units(averaged: DataFrame, groups: DataFrame | None = None, key:
     return rows.groupBy("evaluation_id", "feature_set", "model").agg(F.min("y").alias("y"), F.avg("p").alias("p"))
 
 
-def bootstrap_draws(units: DataFrame, repeats: int, seed: int) -> DataFrame:
-    """(repeat, evaluation_id, drawn): how often each unit (evaluation_id, y) is drawn, with replacement inside its outcome, as many as there are. Units that are not drawn have no row."""
-    one = units.groupBy("evaluation_id").agg(F.min("y").alias("y"))
-    return sampling.bootstrap_draws(one, "evaluation_id", "y", repeats, seed).groupBy("repeat", "evaluation_id").agg(F.count(F.lit(1)).alias("drawn"))
+def bootstrap_counts(units: DataFrame, repeats: int, seed: int) -> DataFrame:
+    """(feature_set, model, y, p, repeat, drawn): how often units (evaluation_id, y) with these values are drawn, with replacement inside their outcome, as many as there are."""
+    one = units.groupBy("evaluation_id").agg(F.min("y").alias("stratum"))
+    return sampling.bootstrap_counts(one, "evaluation_id", "stratum", repeats, seed, ["feature_set", "model", "y", "p"], units)
 
 
 def metric_intervals(units: DataFrame, repeats: int = 1000, seed: int = 0) -> DataFrame:
     """(feature_set, model, metric, point, low, high, n_units) for each metric of stats.METRICS: over all units, and the 2.5 and 97.5 percentiles of bootstrap draws of units."""
     keys = ["feature_set", "model"]
     point = stats.metrics(units, by=tuple(keys)).unpivot(keys, list(stats.METRICS), "metric", "point")
-    drawn = units.join(bootstrap_draws(units, repeats, seed), "evaluation_id")
+    drawn = bootstrap_counts(units, repeats, seed)
     values = stats.metrics(drawn, by=(*keys, "repeat"), weight="drawn").unpivot([*keys, "repeat"], list(stats.METRICS), "metric", "value")
     size = units.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_units"))
     return point.join(stats.intervals(values, "value", (*keys, "metric")), [*keys, "metric"], "left").join(size, keys)
@@ -117,7 +117,8 @@ def paired_intervals(units: DataFrame, pairs: list[tuple[str, str]], repeats: in
     for candidate, reference in pairs:
         both = units.where(F.col("feature_set") == candidate).select("evaluation_id", "model").join(units.where(F.col("feature_set") == reference).select("evaluation_id", "model"), ["evaluation_id", "model"], "left_semi")
         sides = units.where(F.col("feature_set").isin(candidate, reference)).join(both, ["evaluation_id", "model"], "left_semi")
-        drawn = sides.join(bootstrap_draws(sides, repeats, seed), "evaluation_id").unionByName(sides.withColumn("repeat", F.lit(0)).withColumn("drawn", F.lit(1).cast("bigint")))
+        whole = sides.select("feature_set", "model", "y", "p", F.lit(0).alias("repeat"), F.lit(1).cast("bigint").alias("drawn"))
+        drawn = bootstrap_counts(sides, repeats, seed).unionByName(whole)
         m = stats.metrics(drawn, by=("model", "repeat", "feature_set"), weight="drawn").unpivot(["model", "repeat", "feature_set"], list(COMPARED), "metric", "value")
         value = lambda s: F.max(F.when(F.col("feature_set") == s, F.col("value")))
         sign = F.when(F.col("metric") == "brier", -1.0).otherwise(1.0)

@@ -281,8 +281,8 @@ d AS (SELECT b.b, n.y, CAST(('0x' || substr(md5(concat_ws('|', b.b, n.y, n.i, 9)
 s AS (SELECT d.b, n.y, n.p, rank() OVER (PARTITION BY d.b ORDER BY n.p) + (count(*) OVER (PARTITION BY d.b, n.p) - 1) / 2.0 AS r FROM d JOIN n ON n.y = d.y AND n.i = d.i),
 a AS (SELECT b, {_AUC} AS auc FROM s GROUP BY 1) SELECT 'roc_auc' AS metric, round(quantile_cont(auc, 0.025), 8) AS low, round(quantile_cont(auc, 0.975), 8) AS high FROM a""")
 def bootstrap_auc_ci(spark, sf_dir):
-    draws = sampling.bootstrap_draws(v.scores(spark, sf_dir).select("doc_id", "y", "p"), "doc_id", "y", 1000, 9)
-    auc = stats.roc_auc(draws, by=("repeat",), parts=1)
+    draws = sampling.bootstrap_counts(v.scores(spark, sf_dir).select("doc_id", "y", "p"), "doc_id", "y", 1000, 9, ["y", "p"])
+    auc = stats.metrics(draws, by=("repeat",), weight="drawn").select("repeat", F.col("roc_auc").alias("auc"))
     return stats.intervals(auc, "auc").select(F.lit("roc_auc").alias("metric"), F.round("low", 8).alias("low"), F.round("high", 8).alias("high"))
 
 
