@@ -151,7 +151,10 @@ def nonempty_folders(files: DataFrame, folder: str = "folder", size: str = "leng
 def patch_reports(files: DataFrame, expected: DataFrame, artifacts: list[str]) -> DataFrame:
     """(slide, complete, lacking): whether each patch 1 to n of expected (slide, n) has every artifact of files (slide, patch, artifact, valid); lacking counts what it hasn't."""
     want = expected.select("slide", F.explode(F.when(F.col("n") > 0, F.sequence(F.lit(1), F.col("n").cast("int"))).otherwise(F.array(F.lit(None).cast("int")))).alias("patch"))
-    have = files.where(F.col("valid") & F.col("artifact").isin(artifacts)).select("slide", "patch", "artifact").distinct().groupBy("slide", "patch").agg(F.count(F.lit(1)).alias("n"))
+    # dealt out before they are grouped: no task that reads files holds all their keys
+    found = files.where(F.col("valid") & F.col("artifact").isin(artifacts)).select("slide", "patch", "artifact").repartition("slide", "patch")
+    each = found.groupBy("slide", "patch").agg(*[F.max(F.col("artifact") == a).cast("int").alias(f"_h{i}") for i, a in enumerate(artifacts)])
+    have = each.select("slide", "patch", sum((F.col(f"_h{i}") for i in range(len(artifacts))), F.lit(0)).cast("bigint").alias("n"))
     both = want.join(have, ["slide", "patch"], "left")
     lacking = F.sum(F.lit(len(artifacts)) - F.coalesce("n", F.lit(0)))
     return both.groupBy("slide").agg(((F.count("patch") > 0) & (lacking == 0)).alias("complete"), F.when(F.count("patch") > 0, lacking).alias("lacking"))
