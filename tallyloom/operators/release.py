@@ -118,7 +118,8 @@ def checksum_problems(lines: DataFrame, rows: DataFrame, field: str = "sha256",
     """(code, key): lines that are no entries (bad_line), names with several (duplicate), and differences from the manifest (missing, extra, differs)."""
     entries = checksum_entries(lines, SHA256 if field == "sha256" else MD5, value)
     bad = entries.where("digest is null").select(F.lit("bad_line").alias("code"), F.col(value).alias("key"))
-    good = entries.where("digest is not null")
+    # dealt out before they are grouped: no task that reads lines holds all their names
+    good = entries.where("digest is not null").repartition("filename")
     again = duplicates(good, "filename").select(F.lit("duplicate").alias("code"), F.col("filename").alias("key"))
     have = good.groupBy("filename").agg(F.max("digest").alias("have"))
     both = rows.select("filename", F.col(field).alias("want")).join(have, "filename", "full_outer")
