@@ -92,10 +92,6 @@ class _Markers(StatefulProcessor):
     def _since(self) -> int | None:
         return self.open.get()[0] if self.open.exists() else None
 
-    def _close(self, since: int) -> None:
-        self.handle.deleteTimer(since + self.limit)
-        self.open.clear()
-
     @staticmethod
     def _rows(key: tuple, changes: list[tuple[int, str]]) -> pd.DataFrame:
         texts = pd.DataFrame({"slide_id": [key[0]] * len(changes), "status": [s for _, s in changes]}, dtype=object)
@@ -105,22 +101,26 @@ class _Markers(StatefulProcessor):
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         changes = []
         reports = pd.concat(list(rows))  # those of one slide in one batch
-        reports = sorted(zip(reports["millis"], reports["report"] != "started"))
-        for at, ends in reports:
-            at, since = int(at), self._since()
+        before = since = self._since()
+        for at, ends in sorted(zip(reports["millis"].tolist(), (reports["report"] != "started").tolist())):
             if since is not None and at >= since + self.limit:
                 changes.append((since + self.limit, "expired"))
-                self._close(since)
                 since = None
             if not ends:
-                if since is not None:
-                    self._close(since)
-                self.open.update((at,))
-                self.handle.registerTimer(at + self.limit)
+                since = at
                 changes.append((at, "withdrawn"))
             elif since is not None:
-                self._close(since)
+                since = None
                 changes.append((at, "published"))
+        # every call to the store is a round trip: one read and one write a batch, not some a report
+        if since != before:
+            if before is not None:
+                self.handle.deleteTimer(before + self.limit)
+            if since is None:
+                self.open.clear()
+            else:
+                self.open.update((since,))
+                self.handle.registerTimer(since + self.limit)
         yield self._rows(key, changes)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
