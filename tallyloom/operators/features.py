@@ -72,14 +72,12 @@ def cell_features(cells: DataFrame, width: int, height: int, mpp: float, rgb: tu
 
 
 def median_filled(df: DataFrame, columns: list[str]) -> DataFrame:
-    """df with nulls of the columns replaced by the column's median; a column without any value stays null. Runs a job a column."""
+    """df with nulls of the columns replaced by the column's median; a column without any value stays null. Runs two jobs for all columns together."""
     if not columns:
         return df
-    medians = None
-    for c in columns:
-        one = quantiles(df, c, [0.5], name=f"_m_{c}").select(F.col(f"_m_{c}")[0].alias(f"_m_{c}"))
-        medians = one if medians is None else medians.crossJoin(F.broadcast(one))
-    return df.crossJoin(F.broadcast(medians)).withColumns({c: F.coalesce(c, f"_m_{c}") for c in columns}).drop(*[f"_m_{c}" for c in columns])
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c).cast("double").alias("_x")) for i, c in enumerate(columns)])))
+    medians = {r[0]: r[1] for r in quantiles(long, "_x", [0.5], ("_i",), name="_m").select("_i", F.col("_m")[0]).collect()}  # one number a column
+    return df.withColumns({c: F.coalesce(c, F.lit(medians[i])) for i, c in enumerate(columns) if i in medians})
 
 
 def principal_components(df: DataFrame, key: str, vector: str, k: int = 2) -> DataFrame:
