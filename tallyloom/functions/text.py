@@ -7,7 +7,7 @@ import unicodedata
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -179,6 +179,11 @@ def natural_key(x: Column) -> Column:
     return F.transform(parts, lambda p: F.struct((~p.rlike(r"^\d")).alias("text"), p.try_cast("decimal(38,0)").alias("number"), F.when(p.rlike(r"^\D"), F.lower(p)).alias("word")))
 
 
+def in_natural_order(df: DataFrame, column: str) -> DataFrame:
+    """df by natural_key() of a column. The key is a column while rows are sorted: as an expression it is made anew at every comparison."""
+    return df.withColumn("_natural", natural_key(F.col(column))).orderBy("_natural", column).drop("_natural")
+
+
 def tile_position(x: Column) -> Column:
     """row and column of a tile name ``row_column``; null if it is no such name."""
     ok = x.rlike(r"^\d+_\d+$")

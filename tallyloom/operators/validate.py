@@ -76,11 +76,20 @@ def columns(df: DataFrame, required: list[str], exact: bool = False) -> list[str
 
 
 def enforce(*tables: DataFrame, shown: int = 10) -> None:
-    """Raises ConstraintError if any table of violations has rows; the first table, and in it the rule of lowest rank, is named."""
-    for table in tables:
+    """Raises ConstraintError if any table of violations has rows; the first table, and in it the rule of lowest rank, is named.
+
+    One job for all tables, so what they share is made once. A table of the one column problem is told as it is.
+    """
+    found = None
+    for i, table in enumerate(tables):
         order = [c for c in ("rank", "code", "key") if c in table.columns] or table.columns
-        if rows := table.orderBy(*order).limit(shown).collect():
-            raise ConstraintError("; ".join(", ".join(f"{k}={v}" for k, v in r.asDict().items()) for r in rows))
+        shows = [F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in table.columns]
+        text = shows[0] if table.columns == ["problem"] else F.concat_ws(", ", *[F.concat(F.lit(f"{c}="), x) for c, x in zip(table.columns, shows)])
+        one = table.orderBy(*order).limit(shown).select(F.lit(i).alias("table"), F.monotonically_increasing_id().alias("at"), text.alias("text"))
+        found = one if found is None else found.unionAll(one)
+    rows = sorted(found.collect()) if found is not None else []  # shown rows of each table at most
+    if rows:
+        raise ConstraintError("; ".join(r.text for r in rows if r.table == rows[0].table))
 
 
 def close(a: Column, b: Column, relative: float = 1e-9, absolute: float = 0.0) -> Column:

@@ -35,12 +35,11 @@ def manifest(found: DataFrame, policy: str = "ignore", include: list[str] = (),
         rows = rows.withColumn("sample_id", tx.sample_id(F.col("relative_path")))
     rows = rows.where(tx.matches(F.col("sample_id"), list(include), list(exclude)))
     broken = v.violations(rows, "relative_path", v.id_rules("sample_id") + [v.Rule("companion_missing", F.lit(policy == "required") & ~F.col("l2_exists"))])
-    v.enforce(broken, v.duplicates(rows, "sample_id"), v.duplicates(rows, "relative_path"))
-    if not rows.take(1):
-        raise v.ConstraintError("no slide was found")
+    none = rows.limit(1).agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(F.lit("no slide was found").alias("problem"))
+    v.enforce(broken, v.duplicates(rows, "sample_id"), v.duplicates(rows, "relative_path"), none)
     mark = hs.fingerprint(F.col("relative_path"), F.col("length"), F.unix_micros("modified"), digits=16)
     out = rows.select("sample_id", "relative_path", F.col("length").alias("size_bytes"), "modified", mark.alias("fingerprint"), "l2_path", "l2_exists", "l2_state")
-    return out.orderBy(tx.natural_key(F.col("sample_id")), "sample_id")
+    return tx.in_natural_order(out, "sample_id")
 
 
 def discover(spark: SparkSession, root: str, patterns: list[str], excluded: list[str] = (), policy: str = "ignore", include: list[str] = (), exclude: list[str] = ()) -> DataFrame:

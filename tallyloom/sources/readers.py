@@ -40,7 +40,7 @@ def files(spark: SparkSession, root: str, patterns: list[str], excluded: list[st
     kept = listing.where(tx.matches(name, list(patterns))).where(~F.col("relative_path").rlike(r"(^|/)\.[^/]"))
     for e in excluded:
         kept = kept.where(~tx.within(F.col("relative_path"), e))
-    return kept.dropDuplicates(["path"]).orderBy(tx.natural_key(F.col("relative_path")), "relative_path")
+    return tx.in_natural_order(kept.dropDuplicates(["path"]), "relative_path")
 
 
 def text_table(spark: SparkSession, path: str | list[str], required: list[str], exact: bool = False, sep: str | None = None) -> DataFrame:
