@@ -202,9 +202,11 @@ def _meetings(docs: DataFrame, rest: DataFrame, size: int, percent: int) -> Data
     sets = texts.mapInArrow(spread, "node bigint, label bigint, n bigint, own bigint, shingles array<bigint>").dropDuplicates(["node", "n", "own"])
     rows = stored(sets.select("node", "label", "n", "own", F.explode("shingles").alias("shingle")), "shingles")
     often = stored(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1"), "often")
-    order = F.row_number().over(W.partitionBy("node", "n", "own").orderBy("often", "shingle"))
-    placed = rows.join(often, "shingle", "left").withColumn("often", F.coalesce("often", F.lit(1))).withColumn("place", order)
-    placed = stored(placed.where((F.col("often") > 1) & (F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).select("node", "label", "n", "shingle"), "prefixes")
+    # shingles that only one set has meet nothing and are the rarest: n tells how many they are, so they make no rows here
+    own = W.partitionBy("node", "n", "own")
+    place = F.row_number().over(own.orderBy("often", "shingle")) + F.col("n") - F.count(F.lit(1)).over(own)
+    placed = rows.join(often, "shingle").withColumn("place", place)
+    placed = stored(placed.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).select("node", "label", "n", "shingle"), "prefixes")
     x, y = placed.alias("x"), placed.alias("y")
     near = (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent) & (F.col("x.label") != F.col("y.label"))
     met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & near)
