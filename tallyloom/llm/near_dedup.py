@@ -34,6 +34,8 @@ SKETCH = 512
 MARGIN = 0.25
 #: Rounds with one hub a bucket; what is left then meets by rare shingles.
 BALLS = 2
+#: Most slots, a power of two, by which shingles of one set only are told from others; a bit each.
+SLOTS = 1 << 27
 
 _random = np.random.default_rng(20250101)
 _A = _random.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -181,16 +183,44 @@ def _inside(balls: DataFrame, percent: int) -> DataFrame:
     return stored(met.where((100 + percent) * both <= (100 - percent) * total).select("a", "b").distinct(), "inside")
 
 
+def _shared_slots(sets: DataFrame) -> tuple[np.ndarray, int]:
+    """(bits, shift): bit ``shingle >> shift`` tells whether that slot holds several shingles of the stored sets (shingles), so a slot without it one shingle of one set.
+
+    There are about 16 slots a shingle, up to SLOTS; with more shingles than slots, fewer slots hold one only. Each batch leaves a row for a block of 2**18 slots.
+    """
+    spark = sets.sparkSession
+    width = min(SLOTS.bit_length() - 1, max(18, (16 * (sets.agg(F.sum("n")).first()[0] or 0)).bit_length()))
+    shift, inside = U(64 - width), 18
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = np.sort(batch.column("shingles").flatten().to_numpy().view(U) >> shift).astype(np.int32)
+            blocks, starts = np.unique(slots >> inside, return_index=True)
+            slots = pa.ListArray.from_arrays(pa.array(np.append(starts, len(slots)), pa.int32()), pa.array(slots & ((1 << inside) - 1)))
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), slots], names=["block", "slots"])
+
+    def meet(block: pa.Table) -> pa.Table:
+        counts = np.bincount(np.concatenate([c.flatten().to_numpy() for c in block["slots"].chunks]), minlength=1 << inside)
+        return pa.table({"block": block["block"][:1], "bits": pa.array([np.packbits(counts > 1).tobytes()])})
+
+    bits = np.zeros((1 << (width - inside), 1 << (inside - 3)), dtype=np.uint8)
+    dealt = sets.select("shingles").mapInArrow(deal, "block int, slots array<int>")
+    for row in dealt.groupBy("block").applyInArrow(meet, "block int, bits binary").collect():  # SLOTS / 8 bytes at most
+        bits[row.block] = np.frombuffer(row.bits, dtype=np.uint8)
+    return bits.ravel(), int(shift)
+
+
 def _meetings(docs: DataFrame, rest: DataFrame, size: int, percent: int) -> DataFrame:
     """(hub, node): every pair of nodes left in rest (node, label) with different labels that may be linked, and few others.
 
-    Linked sets share at least percent of the larger one, so of each set's shingles, rarest first, those before the last ceil(percent * n / 100) - 1
-    hold one of the other's (prefix filtering); what many of these documents share comes last and joins nothing.
+    Linked sets share at least percent of the larger one. So a set with more shingles of its own than the rest of that is linked with nothing, and makes no rows.
+    Of each other set's shingles, rarest first, those before the last ceil(percent * n / 100) - 1 hold one of the other's (prefix filtering); what many of these
+    documents share comes last and joins nothing.
     """
     nodes = stored(rest.groupBy("node").agg(F.min("label").alias("label")), "left")
     texts = docs.join(small(nodes), docs.doc_id == nodes.node).select("node", "label", "text")
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = shingle_sets(batch.column("text"), size)
             n = pa.array([len(s) for s in sets], pa.int64())
@@ -198,9 +228,27 @@ def _meetings(docs: DataFrame, rest: DataFrame, size: int, percent: int) -> Data
             columns = [batch.column("node"), batch.column("label"), n, own, pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["node", "label", "n", "own", "shingles"])
 
+    schema = "node bigint, label bigint, n bigint, own bigint, shingles array<bigint>"
     # rows that share a doc_id may have several sets: each has its own order
-    sets = texts.mapInArrow(spread, "node bigint, label bigint, n bigint, own bigint, shingles array<bigint>").dropDuplicates(["node", "n", "own"])
-    rows = stored(sets.select("node", "label", "n", "own", F.explode("shingles").alias("shingle")), "shingles")
+    sets = stored(texts.mapInArrow(cut, schema).where("n > 0").dropDuplicates(["node", "n", "own"]), "sets")
+    bits, shift = _shared_slots(sets)
+    told = sets.sparkSession.sparkContext.broadcast(bits)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("n").to_numpy()
+            shingles = batch.column("shingles").flatten()
+            slots = shingles.to_numpy().view(U) >> U(shift)
+            shared = (told.value[slots >> U(3)] >> (U(7) - (slots & U(7))).astype(np.uint8)) & 1 == 1
+            many = np.diff(np.append(0, np.cumsum(shared))[np.append(0, np.cumsum(n))])
+            may = 100 * many >= percent * n
+            left = shingles.filter(pa.array(shared & np.repeat(may, n)))
+            ends = np.append(0, np.cumsum(many[may]))
+            columns = [batch.column(c).filter(pa.array(may)) for c in ("node", "label", "n", "own")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), left)], names=batch.schema.names)
+
+    rows = sets.mapInArrow(spread, schema)
+    rows = stored(rows.select("node", "label", "n", "own", F.explode("shingles").alias("shingle")), "shingles")
     often = stored(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1"), "often")
     # shingles that only one set has meet nothing and are the rarest: n tells how many they are, so they make no rows here
     own = W.partitionBy("node", "n", "own")

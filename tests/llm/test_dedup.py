@@ -341,3 +341,20 @@ def test_few_links_among_many_vectors(spark, monkeypatch):
     got = {r.vec_id: r.component_id for r in embedding_dedup.near_vectors(df).where("n_links > 0").collect()}
     assert got == {i + k: i for i in range(20) for k in (0, 100)}
     assert len(asked) == 2 and asked[0][1] < embedding_dedup.NEEDED
+
+
+def test_sets_that_nothing_can_be_linked_with_make_no_rows(spark, monkeypatch):
+    """Of sets that share a passage, but have most shingles for themselves, none leaves rows for the last meetings; the links do, however full the slots are."""
+    made, stored = {}, near_dedup.stored
+    monkeypatch.setattr(near_dedup, "stored", lambda df, name, *a: made.setdefault(name, []).append(stored(df, name, *a)) or made[name][-1])
+    docs = [(i, " ".join([f"p{k}" for k in range(10)] + [f"{i}w{k}" for k in range(40)])) for i in range(200)]
+    docs += [(200, docs[7][1] + " more"), (201, "a b"), (3, "one other text of the same id"), (4, " "), (5, None)]
+    rest = spark.createDataFrame([(i, i) for i in range(202)], "node long, label long")
+    meetings = lambda: near_dedup._meetings(spark.createDataFrame(docs, DOCS), rest, 2, 80).collect()
+    assert list(map(tuple, meetings())) == [(7, 200)]
+    assert sum(len(shingles(t, 2)) for _, t in docs) > 9800 and 98 <= made["shingles"][-1].count() <= 100
+    monkeypatch.setattr(near_dedup, "_shared_slots", lambda sets: (np.full(1 << 15, 255, np.uint8), 46))
+    assert (7, 200) in set(map(tuple, meetings())) and made["shingles"][-1].count() > 9800
+    none = spark.createDataFrame([(4, 4), (5, 5)], "node long, label long")
+    monkeypatch.undo()
+    assert near_dedup._meetings(spark.createDataFrame([(4, " "), (5, None)], DOCS), none, 2, 80).count() == 0
